@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import pg_trim
 
+# Whitespace Python's float() and str.strip() remove (ASCII part).
+PY_WS = r"[ \t\n\x0B\f\r\x1c-\x1f]"
 _DIGITS = r"\d(?:_?\d)*"                      # digits, single '_' between them
 _PY_FLOAT = (
     rf"\A[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
@@ -24,7 +26,7 @@ def python_float_nonpositive(c: Column) -> Column:
     ``float()``: surrounding whitespace, sign, '_' digit groups, exponent,
     inf/nan words) and the value is <= 0. Unparseable text, NaN and +inf give
     False; NULL gives False."""
-    s = F.regexp_replace(F.coalesce(c, F.lit("")), r"\A\s+|\s+\z", "")
+    s = F.regexp_replace(F.coalesce(c, F.lit("")), rf"\A{PY_WS}+|{PY_WS}+\z", "")
     numeric = s.rlike(_PY_FLOAT)
     value = F.regexp_replace(s, "_", "").try_cast("double")
     return F.coalesce(
@@ -35,7 +37,7 @@ def python_float_nonpositive(c: Column) -> Column:
 
 def is_return_invoice(c: Column) -> Column:
     """Invoice text whose upper-cased, stripped form starts with 'C'."""
-    return F.coalesce(c, F.lit("")).rlike(r"\A\s*[cC]")
+    return F.coalesce(c, F.lit("")).rlike(rf"\A{PY_WS}*[cC]")
 
 
 def safe_integer(c: Column) -> Column:

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Whitespace as the SQL `\s` class defines it (space, tab, LF, VT, FF, CR),
+# spelled out so every regex engine agrees on it.
+WS = r"[ \t\n\x0B\f\r]"
+
 
 def pg_trim(c: Column) -> Column:
     """Trim spaces at both ends (only the space character, like BTRIM)."""
@@ -19,13 +23,13 @@ def blank_to_null(c: Column) -> Column:
 
 def normalize_code(c: Column) -> Column:
     """Invoice / stock code: trim, delete every whitespace run, upper-case."""
-    return F.upper(F.regexp_replace(pg_trim(c), r"\s+", ""))
+    return F.upper(F.regexp_replace(pg_trim(c), WS + "+", ""))
 
 
 def normalize_description(c: Column) -> Column:
     """Free text (description, country): trim, collapse whitespace runs to
     one space, upper-case."""
-    return F.upper(F.regexp_replace(pg_trim(c), r"\s+", " "))
+    return F.upper(F.regexp_replace(pg_trim(c), WS + "+", " "))
 
 
 # Fixed value: the customer id given to lines without one.

@@ -29,8 +29,9 @@ def parse_feed_timestamp(c: Column, layout: str) -> Column:
         return F.regexp_extract(t, pattern, idx).cast("int")
 
     y, mo, d, h, mi, s = (part(g) for g in groups)
+    # A seconds field of 60 is rejected like any other impossible time.
     return F.when(
-        t.rlike(pattern),
+        t.rlike(pattern) & (s < 60),
         F.try_make_timestamp_ntz(y, mo, d, h, mi, s.cast("decimal(8,6)")),
     ).otherwise(F.lit(None).cast("timestamp_ntz"))
 

@@ -14,28 +14,51 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators import dimensions, facts, ingest, mart, staging
+from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.derived_feed import derived_feeds
 from ledgerline.sources.feeds import ECOMMERCE, FEEDS, ONLINE_RETAIL, FeedSpec
 
 FEED_BY_NAME = {f.name: f for f in FEEDS}
 
+_LANDED: dict[tuple[int, str], dict[str, DataFrame]] = {}
+
+
+def landed_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Derived feeds checkpointed (reliable checkpoint, shared folder)."""
+    ensure_checkpoint_dir(spark)
+    key = (id(spark), sf_dir)
+    if key not in _LANDED:
+        _LANDED[key] = {name: df.checkpoint(eager=True) for name, df in derived_feeds(spark, sf_dir).items()}
+    return _LANDED[key]
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, feeds: dict[str, DataFrame] | None = None,
                  tables: dict[str, DataFrame] | None = None,
-                 dim_rows: dict[str, int] | None = None):
+                 dim_rows: dict[str, int] | None = None, cut_lineage: bool = False):
         """``feeds``: feed name -> all-STRING frame with CSV header names.
         ``tables``: already materialised layers by table name (optional).
         ``dim_rows``: known row counts of materialised dimensions, used to
-        decide broadcasts."""
+        decide broadcasts.
+        ``cut_lineage``: checkpoint the unified lines (six consumers read
+        them) instead of letting every consumer recompute the chain."""
         self.spark = spark
         self._feeds = feeds or {}
         self._tables = dict(tables or {})
         self.dim_rows = dict(dim_rows or {})
+        self.cut_lineage = cut_lineage
 
     @classmethod
-    def from_driver_tables(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
-        return cls(spark, feeds=derived_feeds(spark, sf_dir))
+    def from_driver_tables(cls, spark: SparkSession, sf_dir: str, *, cut_lineage: bool = True) -> "Warehouse":
+        """Warehouse over the feeds derived from the driver tables.
+
+        With ``cut_lineage`` the derived feeds (the stand-in for landed CSV
+        files) are checkpointed to the shared checkpoint folder once per
+        session and directory, so later plans start from plain columns
+        instead of re-deriving them inline.
+        """
+        feeds = landed_feeds(spark, sf_dir) if cut_lineage else derived_feeds(spark, sf_dir)
+        return cls(spark, feeds=feeds, cut_lineage=cut_lineage)
 
     def _given(self, name: str) -> DataFrame | None:
         return self._tables.get(name)
@@ -74,8 +97,12 @@ class Warehouse:
         given = self._given("staging.stg_transactions_unified")
         if given is not None:
             return given
-        return staging.unified_transactions(
+        unified = staging.unified_transactions(
             [(self.staged(f), f.priority) for f in (ECOMMERCE, ONLINE_RETAIL)])
+        if self.cut_lineage:
+            ensure_checkpoint_dir(self.spark)
+            unified = unified.checkpoint(eager=True)
+        return unified
 
     # ---- marts -----------------------------------------------------------
     def _mart_table(self, name: str, build) -> DataFrame:

@@ -27,14 +27,19 @@ _SUFFIX_BY_PART_MOD7 = (" lamp", " Bag", " clock", " HEART", " postage", " heart
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Joined order lines with only the columns the feeds need.
 
-    Dimension tables (part, customer, nation) are joined by key; AQE turns
-    each into a broadcast when its runtime size is under the threshold and
-    keeps a shuffle join otherwise, so nothing is broadcast unchecked.
+    lineitem and orders are both hash-partitioned on the order key, which is
+    exactly the exchange a large-large join needs, and it spreads the work
+    over ``spark.sql.shuffle.partitions`` tasks even when a scan yields a
+    single split. part, customer and nation are joined by key; AQE turns
+    each into a broadcast only when its measured size is under the
+    threshold and keeps a shuffle join otherwise.
     """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag")
-    od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        "l_extendedprice", "l_returnflag").repartition(n, "l_orderkey")
+    od = (read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+          .repartition(n, "o_orderkey"))
     pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
