@@ -28,7 +28,8 @@ from ledgerline.plans.present import as_output
 from ledgerline.plans.warehouse import Warehouse, landed_feeds
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.csv_feed import read_feed_csv
-from ledgerline.sources.feeds import ECOMMERCE, FEEDS, ONLINE_RETAIL, FeedSpec
+from ledgerline.sources.feeds import ECOMMERCE, ONLINE_RETAIL, FeedSpec
+from ledgerline.sources.landing import write_feed_csv
 
 _WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
 
@@ -57,11 +58,7 @@ def _csv_roundtrip(spec: FeedSpec) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = ensure_checkpoint_dir(spark)
         path = os.path.join(base, "landing", f"{spec.name}-{uuid.uuid4().hex}")
-        feed = landed_feeds(spark, sf_dir)[spec.name]
-        (feed.write.option("header", True).option("encoding", spec.encoding)
-         .option("quote", '"').option("escape", '"')
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-         .mode("overwrite").csv(path))
+        write_feed_csv(landed_feeds(spark, sf_dir)[spec.name], path, spec)
         return ingest.feed_cells(read_feed_csv(spark, path, spec), spec)
     run.__name__ = f"csv_ingest_{spec.name}"
     return run
