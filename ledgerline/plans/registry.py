@@ -30,6 +30,7 @@ from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.csv_feed import read_feed_csv
 from ledgerline.sources.feeds import ECOMMERCE, ONLINE_RETAIL, FeedSpec
 from ledgerline.sources.landing import write_feed_csv
+from ledgerline.streaming.landing_ingest import run_feed_ingest_once
 
 _WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
 
@@ -64,6 +65,20 @@ def _csv_roundtrip(spec: FeedSpec) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _stream_ingest(spec: FeedSpec) -> Callable[[SparkSession, str], DataFrame]:
+    """Land the derived feed as CSV files and load it with the streaming
+    ingest (availableNow); the result must equal the batch raw table."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = os.path.join(ensure_checkpoint_dir(spark), "stream-ingest", f"{spec.name}-{uuid.uuid4().hex}")
+        landing = os.path.join(base, "landing")
+        write_feed_csv(landed_feeds(spark, sf_dir)[spec.name], landing, spec)
+        raw = run_feed_ingest_once(spark, landing, os.path.join(base, "out"), spec,
+                                   checkpoint=os.path.join(base, "checkpoint"), max_files_per_trigger=2)
+        return raw.drop("_loaded_at")
+    run.__name__ = f"stream_ingest_{spec.name}"
+    return run
+
+
 def _per_feed(build: Callable[[Warehouse, FeedSpec], DataFrame]) -> Callable[[Warehouse], DataFrame]:
     def fn(wh: Warehouse) -> DataFrame:
         return build(wh, ECOMMERCE).unionByName(build(wh, ONLINE_RETAIL))
@@ -178,6 +193,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # sources, ingest and quarantine
         "csv_ingest_ecommerce": _csv_roundtrip(ECOMMERCE),
         "csv_ingest_online_retail": _csv_roundtrip(ONLINE_RETAIL),
+        "stream_ingest_ecommerce": _stream_ingest(ECOMMERCE),
+        "stream_ingest_online_retail": _stream_ingest(ONLINE_RETAIL),
         "raw_ecommerce": _wh(_table("raw.ecommerce_data")),
         "raw_online_retail": _wh(_table("raw.online_retail_ii")),
         "parse_price": _wh(_per_feed(_parse_price)),
