@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import pg_trim
 
-# Whitespace Python's float() and str.strip() remove (ASCII part).
+# Whitespace Python's float() and str.strip() remove (ASCII part), as a
+# regex class and as the plain character set btrim() takes.
 PY_WS = r"[ \t\n\x0B\f\r\x1c-\x1f]"
+PY_WS_CHARS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
 _DIGITS = r"\d(?:_?\d)*"                      # digits, single '_' between them
 _PY_FLOAT = (
     rf"\A[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
@@ -26,9 +28,9 @@ def python_float_nonpositive(c: Column) -> Column:
     ``float()``: surrounding whitespace, sign, '_' digit groups, exponent,
     inf/nan words) and the value is <= 0. Unparseable text, NaN and +inf give
     False; NULL gives False."""
-    s = F.regexp_replace(F.coalesce(c, F.lit("")), rf"\A{PY_WS}+|{PY_WS}+\z", "")
+    s = F.btrim(F.coalesce(c, F.lit("")), F.lit(PY_WS_CHARS))
     numeric = s.rlike(_PY_FLOAT)
-    value = F.regexp_replace(s, "_", "").try_cast("double")
+    value = F.replace(s, F.lit("_"), F.lit("")).try_cast("double")
     return F.coalesce(
         (numeric & (value <= F.lit(0.0))) | s.rlike(_NEG_INFINITY),
         F.lit(False),
@@ -37,26 +39,21 @@ def python_float_nonpositive(c: Column) -> Column:
 
 def is_return_invoice(c: Column) -> Column:
     """Invoice text whose upper-cased, stripped form starts with 'C'."""
-    return F.coalesce(c, F.lit("")).rlike(rf"\A{PY_WS}*[cC]")
+    return F.upper(F.btrim(F.coalesce(c, F.lit("")), F.lit(PY_WS_CHARS))).startswith("C")
 
 
 def safe_integer(c: Column) -> Column:
     """'12' / '-3' -> int; '6.0' / '6.000' -> 6; blank, '6.5', '+6', '6\\n'
     and out-of-range values -> NULL."""
-    t = pg_trim(c)
-    return (
-        F.when(t.rlike(r"\A-?\d+\z"), t.try_cast("int"))
-        .when(t.rlike(r"\A-?\d+\.0+\z"),
-              F.regexp_extract(t, r"\A(-?\d+)", 1).try_cast("int"))
-        .otherwise(F.lit(None).cast("int"))
-    )
+    # One match: the integer part of '12' or '12.000'; '' (no match) -> NULL.
+    return F.regexp_extract(pg_trim(c), r"\A(-?\d+)(?:\.0+)?\z", 1).try_cast("int")
 
 
 def safe_numeric(c: Column, precision: int = 18, scale: int = 4) -> Column:
     """Decimal text, thousands commas allowed ('1,234.50' -> 1234.5000),
     rounded half-up to ``scale``; anything else (exponents, blanks,
     overflow) -> NULL."""
-    s = F.regexp_replace(pg_trim(c), ",", "")
+    s = F.replace(pg_trim(c), F.lit(","), F.lit(""))
     target = f"decimal({precision},{scale})"
     return (
         F.when(s.rlike(r"\A-?\d+(?:\.\d+)?\z"), s.try_cast(target))

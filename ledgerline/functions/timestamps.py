@@ -12,23 +12,27 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import pg_trim
 
-# layout -> (regex with groups, order of year, month, day, hour, minute, second groups)
+# layout -> (shape regex, positions of year, month, day, hour, minute, second
+# among the digit runs)
 _LAYOUTS = {
-    "mdy_hm": (r"\A(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{2})\z", (3, 1, 2, 4, 5, None)),
-    "iso_hms": (r"\A(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})\z", (1, 2, 3, 4, 5, 6)),
+    "mdy_hm": (r"\A\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}\z", (2, 0, 1, 3, 4, None)),
+    "iso_hms": (r"\A\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z", (0, 1, 2, 3, 4, 5)),
 }
 
 
 def parse_feed_timestamp(c: Column, layout: str) -> Column:
-    pattern, groups = _LAYOUTS[layout]
+    pattern, positions = _LAYOUTS[layout]
     t = pg_trim(c)
+    # Once the shape is checked, the fields are the digit runs between the
+    # separators: one split instead of one regex match per field.
+    parts = F.split(t, "[-/: ]")
 
     def part(idx: int | None) -> Column:
         if idx is None:
             return F.lit(0)
-        return F.regexp_extract(t, pattern, idx).cast("int")
+        return F.get(parts, idx).try_cast("int")
 
-    y, mo, d, h, mi, s = (part(g) for g in groups)
+    y, mo, d, h, mi, s = (part(i) for i in positions)
     # A seconds field of 60 is rejected like any other impossible time.
     return F.when(
         t.rlike(pattern) & (s < 60),

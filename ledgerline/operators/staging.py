@@ -75,7 +75,11 @@ def union_sources(staged_by_priority: list[tuple[DataFrame, int]]) -> DataFrame:
     return out
 
 
-def dedupe_transactions(unioned: DataFrame) -> DataFrame:
+_TIE_BREAK = ("source_priority", "invoice_date_utc", "quantity", "unit_price",
+              "customer_id", "country", "description")
+
+
+def dedupe_transactions(unioned: DataFrame, require: tuple[str, ...] = ()) -> DataFrame:
     """Keep one line per (invoice, stock code, minute): the higher-priority
     source, then the earliest timestamp; remaining ties are broken by the
     other columns so reruns pick the same line.
@@ -83,13 +87,26 @@ def dedupe_transactions(unioned: DataFrame) -> DataFrame:
     ``row_number() == 1`` is planned with a partial WindowGroupLimit before
     the shuffle, so a key repeated millions of times is cut to one row per
     map task before it is exchanged.
+
+    ``require``: columns that must be non-NULL. Filtering them out first and
+    ranking the rest is the same as ranking complete rows ahead of
+    incomplete ones and keeping the first row only if it is complete; the
+    latter keeps the test above the window, where the optimizer cannot copy
+    the parsing expressions into a pushed-down filter and evaluate them twice.
     """
     keyed = unioned.withColumn("dedupe_minute", minute_text(F.col("invoice_date_utc")))
-    order = [F.col(c).asc_nulls_last() for c in (
-        "source_priority", "invoice_date_utc", "quantity", "unit_price",
-        "customer_id", "country", "description")]
+    order = [F.col(c).asc_nulls_last() for c in _TIE_BREAK]
+    keep = F.col("_rn") == 1
+    if require:
+        complete = F.lit(True)
+        for c in require:
+            complete = complete & F.col(c).isNotNull()
+        keyed = keyed.withColumn("_complete", complete)
+        order = [F.col("_complete").desc()] + order
+        keep = keep & F.col("_complete")
     w = Window.partitionBy(*DEDUPE_KEYS).orderBy(*order)
-    return keyed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    out = keyed.withColumn("_rn", F.row_number().over(w)).filter(keep).drop("_rn")
+    return out.drop("_complete") if require else out
 
 
 def transaction_key(deduped: DataFrame) -> DataFrame:
@@ -104,7 +121,13 @@ def transaction_key(deduped: DataFrame) -> DataFrame:
 
 
 def unified_transactions(staged_by_priority: list[tuple[DataFrame, int]]) -> DataFrame:
-    deduped = dedupe_transactions(union_sources(staged_by_priority))
+    """Required-field filter, union, de-duplication, key and revenue, with
+    the required-field test fused into the de-duplication window."""
+    tagged = None
+    for df, priority in staged_by_priority:
+        t = df.withColumn("source_priority", F.lit(priority))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    deduped = dedupe_transactions(tagged, require=REQUIRED_COLUMNS)
     return transaction_key(deduped).withColumn(
         "revenue_bruto", F.col("quantity") * F.col("unit_price")
     ).select(*UNIFIED_COLUMNS)
