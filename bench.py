@@ -2,7 +2,8 @@
 
 Reads $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]
 (default 8) and prints one JSON line. Stages:
-  land_feeds   derive both order feeds from the driver tables, land as CSV
+  (setup)      derive both order feeds from the driver tables, land as CSV;
+               reported as setup_land_feeds_sec, not part of the value
   raw.*        CSV scan, quarantine split, raw + reject Parquet writes
   staging.*    clean, type, union, de-duplicate -> unified lines
   marts.*      dimensions, facts, revenue mart
@@ -65,10 +66,13 @@ def main() -> None:
     )
     timings: dict[str, float] = {}
 
+    # Setup, not timed into the value: the original pipeline starts from CSV
+    # files on disk, so the feeds are derived from the driver tables and
+    # landed as CSV first.
     t = time.perf_counter()
     landing = os.path.join(scratch, "landing")
     land_feeds(derived_feeds(spark, sf_dir), landing)
-    timings["land_feeds"] = round(time.perf_counter() - t, 3)
+    setup_sec = round(time.perf_counter() - t, 3)
 
     root = os.path.join(scratch, "warehouse")
     report = run(spark, read_landed(spark, landing), root)
@@ -86,6 +90,7 @@ def main() -> None:
         "value": total,
         "unit": "sec",
         "queries": timings,
+        "setup_land_feeds_sec": setup_sec,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "rows": {"unified": report.row_counts.get("staging.stg_transactions_unified"),
                  "mart": report.row_counts.get("marts.mart_revenue_producto")},

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.sources.feeds import ECOMMERCE, ONLINE_RETAIL, FeedSpec
-from ledgerline.sources.tables import read_table
+from ledgerline.sources.tables import read_table, spread
 
 # Fixed values of the fixture recipe: word appended to the product name by
 # part key modulo 7.
@@ -27,19 +27,16 @@ _SUFFIX_BY_PART_MOD7 = (" lamp", " Bag", " clock", " HEART", " postage", " heart
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Joined order lines with only the columns the feeds need.
 
-    lineitem and orders are both hash-partitioned on the order key, which is
-    exactly the exchange a large-large join needs, and it spreads the work
-    over ``spark.sql.shuffle.partitions`` tasks even when a scan yields a
-    single split. part, customer and nation are joined by key; AQE turns
-    each into a broadcast only when its measured size is under the
-    threshold and keeps a shuffle join otherwise.
+    The joins are left to the planner: a side is broadcast only when its
+    size (file statistics, then AQE's measured shuffle size) is under the
+    threshold, otherwise it is a sort-merge join whose hot keys AQE splits.
+    lineitem is spread over the cores when its scan yields too few splits.
     """
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag").repartition(n, "l_orderkey")
-    od = (read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-          .repartition(n, "o_orderkey"))
+        "l_extendedprice", "l_returnflag")
+    li = spread(li)
+    od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
