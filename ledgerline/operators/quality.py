@@ -91,19 +91,23 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def not_null(table: Lookup, checks=NOT_NULL) -> DataFrame:
-    """One scan per table counts the NULLs of all its checked columns."""
+    """One scan per table counts the NULLs of all its checked columns; the
+    one-row result is unpivoted to one row per column."""
     parts = []
     for name, cols in checks:
         counts = table(name).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-        stacked = counts.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("c"), F.col(c).alias("n")) for c in cols])).alias("x"))
-        parts.append(stacked.select(*_row(name, "", "not_null", F.lit(0))[:1],
-                                    F.col("x.c").alias("column_name"),
-                                    F.lit("not_null").alias("check_name"),
-                                    F.col("x.n").cast("bigint").alias("failures")))
+        long = counts.unpivot([], list(cols), "column_name", "failures")
+        parts.append(long.select(F.lit(name).alias("table_name"), "column_name",
+                                 F.lit("not_null").alias("check_name"),
+                                 F.col("failures").cast("bigint").alias("failures")))
     return _union(parts)
 
 
+def declared_checks(table: Lookup) -> DataFrame:
+    """All declared checks (not_null, unique, accepted_values, relationships)."""
+    return _union([not_null(table), unique(table), accepted_values(table), relationships(table)])
+
+
 def unique(table: Lookup, checks=UNIQUE) -> DataFrame:
     parts = []
     for name, col in checks:

@@ -67,7 +67,11 @@ def materialized(spark: SparkSession, root: str, names, dim_rows: dict[str, int]
     return Warehouse(spark, tables={n: read_table(spark, root, n) for n in names}, dim_rows=dim_rows)
 
 
-def run(spark: SparkSession, feeds: dict[str, DataFrame], root: str, *, gates: bool = True) -> RunReport:
+def run(spark: SparkSession, feeds: dict[str, DataFrame], root: str, *, gates: bool = True,
+        checks: bool = True) -> RunReport:
+    """Build every layer under ``root``. ``gates`` raises on primary/foreign
+    key violations; ``checks`` writes the declared checks' results to
+    ``<root>/quality/check_results``."""
     report = RunReport()
     load_raw(spark, feeds, root, report)
     raw_names = [f"raw.{s.name}" for s in FEEDS] + ["raw.rejected_records"]
@@ -93,10 +97,14 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], root: str, *, gates: b
         write_table(wh.mart_revenue_producto, root, "marts.mart_revenue_producto")
     done.append("marts.mart_revenue_producto")
 
+    wh = materialized(spark, root, done, dim_rows=dim_rows)
     if gates:
         with _Timer(report, "quality.key_gates"):
-            wh = materialized(spark, root, done, dim_rows=dim_rows)
             quality.enforce(quality.primary_keys(wh.table).unionByName(quality.foreign_keys(wh.table)))
+    if checks:
+        # The declared checks report (they do not stop the run), one row per check.
+        with _Timer(report, "quality.check_results"):
+            write_table(quality.declared_checks(wh.table), root, "quality.check_results")
 
     for name in done:
         if name != "raw.rejected_records":

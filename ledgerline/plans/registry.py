@@ -32,12 +32,12 @@ from ledgerline.sources.feeds import ECOMMERCE, ONLINE_RETAIL, FeedSpec
 from ledgerline.sources.landing import write_feed_csv
 from ledgerline.streaming.landing_ingest import run_feed_ingest_once
 
-_WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
+_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """One lineage-cut warehouse per session and data directory."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WAREHOUSES:
         _WAREHOUSES[key] = Warehouse.from_driver_tables(spark, sf_dir, cut_lineage=True)
     return _WAREHOUSES[key]

@@ -20,13 +20,13 @@ from ledgerline.sources.feeds import ECOMMERCE, FEEDS, ONLINE_RETAIL, FeedSpec
 
 FEED_BY_NAME = {f.name: f for f in FEEDS}
 
-_LANDED: dict[tuple[int, str], dict[str, DataFrame]] = {}
+_LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def landed_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Derived feeds checkpointed (reliable checkpoint, shared folder)."""
     ensure_checkpoint_dir(spark)
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
         _LANDED[key] = {name: df.checkpoint(eager=True) for name, df in derived_feeds(spark, sf_dir).items()}
     return _LANDED[key]
@@ -47,6 +47,7 @@ class Warehouse:
         self._tables = dict(tables or {})
         self.dim_rows = dict(dim_rows or {})
         self.cut_lineage = cut_lineage
+        self._per_feed: dict[tuple[str, str], DataFrame] = {}
 
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str, *, cut_lineage: bool = True) -> "Warehouse":
@@ -64,12 +65,15 @@ class Warehouse:
         return self._tables.get(name)
 
     # ---- raw -------------------------------------------------------------
+    def _memo(self, kind: str, spec: FeedSpec, build) -> DataFrame:
+        key = (kind, spec.name)
+        if key not in self._per_feed:
+            self._per_feed[key] = build()
+        return self._per_feed[key]
+
     def flagged(self, spec: FeedSpec) -> DataFrame:
-        key = f"_flagged_{spec.name}"
-        if key not in self.__dict__:
-            cells = ingest.feed_cells(self._feeds[spec.name], spec)
-            self.__dict__[key] = ingest.flag_rejects(cells, spec)
-        return self.__dict__[key]
+        return self._memo("flagged", spec, lambda: ingest.flag_rejects(
+            ingest.feed_cells(self._feeds[spec.name], spec), spec))
 
     def raw(self, spec: FeedSpec) -> DataFrame:
         given = self._given(f"raw.{spec.name}")
@@ -87,10 +91,7 @@ class Warehouse:
 
     # ---- staging ---------------------------------------------------------
     def staged(self, spec: FeedSpec) -> DataFrame:
-        key = f"_staged_{spec.name}"
-        if key not in self.__dict__:
-            self.__dict__[key] = staging.stage_feed(self.raw(spec), spec)
-        return self.__dict__[key]
+        return self._memo("staged", spec, lambda: staging.stage_feed(self.raw(spec), spec))
 
     @cached_property
     def unified(self) -> DataFrame:

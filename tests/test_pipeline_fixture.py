@@ -75,6 +75,17 @@ def test_quarantine_counts(fixture_run):
     assert '"customer_id":"17850"' in rej["500002"].raw_row
 
 
+def test_check_results_written(spark, fixture_run):
+    report, wh = fixture_run
+    assert "quality.check_results" in report.seconds
+    part_file = wh.table("marts.dim_pais").inputFiles()[0].replace("file:", "")
+    root = os.path.dirname(os.path.dirname(os.path.dirname(part_file)))
+    res = spark.read.parquet(os.path.join(root, "quality", "check_results"))
+    by_check = {r.check_name: r["count"] for r in res.groupBy("check_name").count().collect()}
+    assert by_check == {"not_null": 36, "unique": 11, "accepted_values": 3, "relationships": 8}
+    assert res.filter("failures > 0").count() == 0
+
+
 def test_raw_keeps_text_and_quoting(fixture_run):
     _, wh = fixture_run
     raw = {r.invoice_no: r for r in wh.table("raw.ecommerce_data").collect()}
