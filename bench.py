@@ -50,7 +50,7 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="ledgerline-bench-")
     spark = build_session(
         master=f"local[{cpus}]",
-        shuffle_partitions=2 * cpus,
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)),
         extra={
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",

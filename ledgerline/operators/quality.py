@@ -159,6 +159,17 @@ def foreign_keys(table: Lookup, checks=RELATIONSHIPS) -> DataFrame:
     return relationships(table, checks, check_name="foreign_key")
 
 
+def key_violations(declared: DataFrame) -> DataFrame:
+    """Primary/foreign-key violations read off the declared checks: every
+    primary key is declared not_null and unique, and every foreign key is a
+    relationships check, so the gates need no extra pass over the data."""
+    pk = F.lit(False)
+    for table, col in PRIMARY_KEYS:
+        pk = pk | ((F.col("table_name") == table) & (F.col("column_name") == col))
+    is_key = (pk & F.col("check_name").isin("not_null", "unique")) | (F.col("check_name") == "relationships")
+    return declared.filter(is_key)
+
+
 def enforce(results: DataFrame) -> list[tuple]:
     """Gate: raise when any check flags rows. ``results`` holds one row per
     check, so collecting it is bounded by the number of declared checks."""
