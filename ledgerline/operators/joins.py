@@ -6,11 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A dimension is broadcast only below this many rows (checked, not assumed).
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# A product row is ~120 bytes hashed, so 1 M rows is ~120 MB per executor.
+# Override per session with the conf key below.
+BROADCAST_ROWS_CONF = "ledgerline.dimension.broadcastMaxRows"
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_row_cap(fact: DataFrame) -> int:
+    return int(fact.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                   max_broadcast_rows: int | None = None,
                    dim_rows: int | None = None) -> DataFrame:
     """Equi-join a (many-to-one) dimension.
 
@@ -20,6 +27,7 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
     broadcast from the measured shuffle size when that is small, and keeps a
     sort-merge join -- with skew-split of hot keys -- when it is not.
     """
-    if dim_rows is not None and max_broadcast_rows is not None and dim_rows <= max_broadcast_rows:
+    cap = max_broadcast_rows if max_broadcast_rows is not None else broadcast_row_cap(fact)
+    if dim_rows is not None and dim_rows <= cap:
         dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)
