@@ -39,6 +39,8 @@ ROWS_A = [
     "500018,20013,TIE B,1,12/8/2010 9:00,1.00,777,Spain",                                # longer wins? equal -> 'TIE AA'
     "C500019,20014,ONLY RETURNS CLOCK,-3,12/9/2010 9:00,4.00,777,Spain",                 # returns-only product/day
     "500020,20015,POSITIVE C,2,12/9/2010 9:00,5.00,777,Spain",
+    "500021,20019,,1,12/9/2010 9:00,2.00,777,Spain",                                     # only description ''
+    "500022,20020,NEG QTY NO C,-2,12/9/2010 9:00,5.00,777,Spain",                        # non-C return
 ]
 HEADER_B = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country"
 ROWS_B = [
@@ -67,7 +69,7 @@ def fixture_run(spark, tmp_path_factory):
 
 def test_quarantine_counts(fixture_run):
     report, wh = fixture_run
-    assert sorted(report.counters) == [("ecommerce_data", 18, 3), ("online_retail_ii", 4, 1)]
+    assert sorted(report.counters) == [("ecommerce_data", 20, 3), ("online_retail_ii", 4, 1)]
     rej = {r.invoice_no: r for r in wh.rejected_records.collect()}
     assert set(rej) == {"500002", "500006", "500008", "600002"}
     assert rej["500002"].rejection_reason == "unit_price <= 0 en una venta"
@@ -127,10 +129,12 @@ def test_dimensions_and_facts(fixture_run):
     assert prod["20013"].nombre_canonico == "TIE AA"       # equal frequency: longer wins
     assert prod["20014"].categoria == "Hogar"
     assert "20018" in prod                                 # C-invoice VENTA at price 0 feeds dims
+    assert (prod["20019"].nombre_canonico, prod["20019"].categoria) == ("", "General")  # '' is a description
     fv = {r.invoice_no for r in wh.fact_ventas.collect()}
     fd = {r.invoice_no for r in wh.fact_devoluciones.collect()}
     assert "C600004" not in fv and "C600004" not in fd
     assert "500020" in fv and "C500003" in fd
+    assert "500022" in fd and "500022" not in fv            # quantity <= 0 without a C prefix
     cust = {r.customer_id: r.es_cliente_identificado for r in wh.dim_cliente.collect()}
     assert cust["GUEST"] is False and cust["17850"] is True
     assert wh.dim_tiempo.filter(F.col("tiempo_key") == "2010-12-01").first().nombre_mes == "December"
