@@ -90,69 +90,127 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def not_null(table: Lookup, checks=NOT_NULL) -> DataFrame:
-    """One scan per table counts the NULLs of all its checked columns; the
-    one-row result is unpivoted to one row per column."""
+def _scan_checks(table: Lookup, not_null_checks=(), accepted_checks=()) -> DataFrame:
+    """not_null and accepted_values checks, one aggregate per table: NULL
+    counts and distinct counts of disallowed values side by side, then
+    unpivoted to one row per check."""
+    per_table: dict[str, list] = {}
+    for name, cols in not_null_checks:
+        for c in cols:
+            per_table.setdefault(name, []).append(("not_null", c, None))
+    for name, c, allowed in accepted_checks:
+        per_table.setdefault(name, []).append(("accepted_values", c, allowed))
     parts = []
-    for name, cols in checks:
-        counts = table(name).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-        long = counts.unpivot([], list(cols), "column_name", "failures")
-        parts.append(long.select(F.lit(name).alias("table_name"), "column_name",
-                                 F.lit("not_null").alias("check_name"),
-                                 F.col("failures").cast("bigint").alias("failures")))
+    for name, items in per_table.items():
+        aggs, labels = [], []
+        for i, (check, c, allowed) in enumerate(items):
+            if check == "not_null":
+                aggs.append(F.count_if(F.col(c).isNull()).cast("bigint").alias(f"_{i}"))
+            else:
+                bad = F.when(F.col(c).isNotNull() & ~F.col(c).isin(*allowed), F.col(c))
+                aggs.append(F.count_distinct(bad).cast("bigint").alias(f"_{i}"))
+            labels.append((check, c))
+        counts = table(name).agg(*aggs)
+        rows = counts.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.lit(check).alias("check_name"), F.col(f"_{i}").alias("failures"))
+            for i, (check, c) in enumerate(labels)])).alias("x"))
+        parts.append(rows.select(F.lit(name).alias("table_name"), "x.column_name", "x.check_name", "x.failures"))
     return _union(parts)
 
 
-def declared_checks(table: Lookup) -> DataFrame:
-    """All declared checks (not_null, unique, accepted_values, relationships)."""
-    return _union([not_null(table), unique(table), accepted_values(table), relationships(table)])
+def not_null(table: Lookup, checks=NOT_NULL) -> DataFrame:
+    return _scan_checks(table, not_null_checks=checks)
 
 
-def unique(table: Lookup, checks=UNIQUE) -> DataFrame:
-    parts = []
-    for name, col in checks:
-        dup = (table(name).filter(F.col(col).isNotNull()).groupBy(col).count()
-               .filter(F.col("count") > 1))
-        parts.append(dup.agg(F.count(F.lit(1)).alias("n")).select(*_row(name, col, "unique", F.col("n"))))
-    return _union(parts)
+def accepted_values(table: Lookup, checks=ACCEPTED_VALUES) -> DataFrame:
+    """Distinct non-NULL values outside the accepted list."""
+    return _scan_checks(table, accepted_checks=checks)
 
 
-def accepted_values(table: Lookup, checks=ACCEPTED_VALUES) -> DataFrame:
-    parts = []
-    for name, col, allowed in checks:
-        bad = (table(name).filter(F.col(col).isNotNull() & ~F.col(col).isin(*allowed))
-               .select(col).distinct())
-        parts.append(bad.agg(F.count(F.lit(1)).alias("n")).select(*_row(name, col, "accepted_values", F.col("n"))))
-    return _union(parts)
+def declared_checks(table: Lookup) -> DataFrame:
+    """All declared checks (not_null, unique, accepted_values, relationships);
+    every table is scanned once for its column checks, once for its
+    uniqueness keys and once for its foreign keys."""
+    return _union([_scan_checks(table, NOT_NULL, ACCEPTED_VALUES), unique(table), relationships(table)])
+
+
+def _key_rows(df: DataFrame, table: str, cols, tag=None) -> DataFrame:
+    """One row per (checked column, value) of a table, from a single scan:
+    the columns are exploded side by side, so a table is read once however
+    many of its columns are checked. Values are compared as text."""
+    items = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("k"),
+                      F.lit(tag(c) if tag else "").alias("p")) for c in cols]
+    return df.select(F.explode(F.array(*items)).alias("x")).select(
+        F.lit(table).alias("table_name"), "x.column_name", "x.k", "x.p")
+
+
+def _by_table(checks) -> dict[str, list]:
+    grouped: dict[str, list] = {}
+    for item in checks:
+        grouped.setdefault(item[0], []).append(item)
+    return grouped
+
+
+def _complete(found: DataFrame, checks, check_name: str) -> DataFrame:
+    """One row per declared check: checks with nothing flagged (or on an
+    empty table) get failures = 0."""
+    spark = found.sparkSession
+    zeros = spark.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name")) for t, c in checks])).alias("z")
+    ).select("z.*", F.lit(0).cast("bigint").alias("failures"))
+    return (found.select("table_name", "column_name", F.col("failures").cast("bigint"))
+            .unionByName(zeros)
+            .groupBy("table_name", "column_name").agg(F.sum("failures").alias("failures"))
+            .select("table_name", "column_name", F.lit(check_name).alias("check_name"),
+                    F.col("failures").cast("bigint").alias("failures")))
+
+
+def _value_counts(table: Lookup, checks) -> DataFrame:
+    """(table, column, value, rows) over every checked column of every
+    table: one scan per table, one partial-aggregated shuffle in all."""
+    parts = [_key_rows(table(name), name, [c for _, c in items]) for name, items in _by_table(checks).items()]
+    return _union(parts).groupBy("table_name", "column_name", "k").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _orphans(child: DataFrame, col: str, parent: DataFrame, pcol: str) -> DataFrame:
-    """Number of child rows whose non-NULL key is missing from the parent."""
-    keys = child.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_k")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    parent_keys = parent.select(F.col(pcol).alias("_k"))
-    missing = keys.join(parent_keys, on="_k", how="left_anti")
-    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
+def unique(table: Lookup, checks=UNIQUE) -> DataFrame:
+    """Distinct non-NULL values that occur more than once, per column."""
+    counts = _value_counts(table, checks)
+    found = counts.groupBy("table_name", "column_name").agg(
+        F.count_if(F.col("k").isNotNull() & (F.col("n") > 1)).alias("failures"))
+    return _complete(found, checks, "unique")
 
 
 def relationships(table: Lookup, checks=RELATIONSHIPS, check_name: str = "relationships") -> DataFrame:
-    parts = []
-    for child, col, parent, pcol in checks:
-        n = _orphans(table(child), col, table(parent), pcol)
-        parts.append(n.select(*_row(child, col, check_name, F.col("n"))))
-    return _union(parts)
+    """Child rows whose non-NULL key is missing from the parent.
+
+    Every child table is scanned once for all its foreign keys; child keys
+    are combined per (table, column, key) before the shuffle, so a hot key
+    (GUEST) crosses it once per task. All parents' keys are tagged with
+    their (table, column) and the whole check is one anti-join.
+    """
+    parent_of = {(ct, cc): f"{pt}.{pc}" for ct, cc, pt, pc in checks}
+    children = []
+    for name, items in _by_table(checks).items():
+        cols = [cc for _, cc, _, _ in items]
+        children.append(_key_rows(table(name), name, cols, tag=lambda c, n=name: parent_of[(n, c)]))
+    child_keys = (_union(children).filter(F.col("k").isNotNull())
+                  .groupBy("table_name", "column_name", "p", "k").agg(F.count(F.lit(1)).alias("n")))
+    parents = []
+    for pt, pc in sorted({(pt, pc) for _, _, pt, pc in checks}):
+        parents.append(table(pt).select(F.lit(f"{pt}.{pc}").alias("p"), F.col(pc).cast("string").alias("k")))
+    parent_keys = _union(parents)
+    missing = child_keys.join(parent_keys, on=["p", "k"], how="left_anti")
+    found = missing.groupBy("table_name", "column_name").agg(F.sum("n").alias("failures"))
+    return _complete(found, [(ct, cc) for ct, cc, _, _ in checks], check_name)
 
 
 def primary_keys(table: Lookup, checks=PRIMARY_KEYS) -> DataFrame:
     """Rows that break a primary key: NULL keys plus every extra copy of a
     duplicated key."""
-    parts = []
-    for name, col in checks:
-        per_key = table(name).groupBy(F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-        bad = per_key.agg(F.coalesce(F.sum(
-            F.when(F.col("_k").isNull(), F.col("_n")).otherwise(F.col("_n") - 1)), F.lit(0)).alias("n"))
-        parts.append(bad.select(*_row(name, col, "primary_key", F.col("n"))))
-    return _union(parts)
+    counts = _value_counts(table, checks)
+    found = counts.groupBy("table_name", "column_name").agg(F.sum(
+        F.when(F.col("k").isNull(), F.col("n")).otherwise(F.col("n") - 1)).alias("failures"))
+    return _complete(found, checks, "primary_key")
 
 
 def foreign_keys(table: Lookup, checks=RELATIONSHIPS) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,10 +36,13 @@ class _Timer:
         self.report, self.name = report, name
 
     def __enter__(self):
+        # Jobs of this step carry its name in the event log and UI history.
+        SparkContext.getOrCreate().setJobDescription(f"ledgerline {self.name}")
         self.t = time.perf_counter()
 
     def __exit__(self, *exc):
         self.report.seconds[self.name] = round(time.perf_counter() - self.t, 3)
+        SparkContext.getOrCreate().setJobDescription(None)
 
 
 def load_raw(spark: SparkSession, feeds: dict[str, DataFrame], root: str, report: RunReport) -> None:
