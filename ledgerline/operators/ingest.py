@@ -10,7 +10,7 @@ The split is one boolean column and two filters over the same scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numbers import is_return_invoice, python_float_nonpositive
@@ -50,16 +50,31 @@ def raw_rows(flagged: DataFrame, spec: FeedSpec) -> DataFrame:
     )
 
 
+def _json_value(c: Column) -> Column:
+    """JSON text of one string cell ("..." with escapes, or null): the
+    single element of the JSON array ``to_json`` writes for it."""
+    arr = F.to_json(F.array(c))              # '["..."]' or '[null]'
+    return arr.substr(F.lit(2), F.length(arr) - F.lit(2))
+
+
+def row_json(columns) -> Column:
+    """The row as a JSON object in the original loader's layout:
+    {"key": "value", "key2": null} -- ', ' and ': ' separators, columns in
+    raw order, missing cells as null. Non-ASCII text is kept as UTF-8
+    rather than \\u-escaped."""
+    fields = [F.concat(F.lit(f'"{c}": '), _json_value(F.col(c))) for c in columns]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
+
+
 def reject_records(flagged: DataFrame, spec: FeedSpec) -> DataFrame:
     """Quarantine records: source, invoice, stock code, reason and the row
     as JSON (missing cells as null)."""
-    row = F.struct(*[F.col(c) for c in spec.raw_columns])
     return flagged.filter(F.col("is_rejected")).select(
         F.lit(spec.name).alias("source_table"),
         F.col(spec.invoice_column).alias("invoice_no"),
         F.col("stock_code"),
         F.lit(spec.reject_reason).alias("rejection_reason"),
-        F.to_json(row, {"ignoreNullFields": "false"}).alias("raw_row"),
+        row_json(spec.raw_columns).alias("raw_row"),
     )
 
 

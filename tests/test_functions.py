@@ -94,3 +94,14 @@ def test_round_ratio_ties_exact(spark):
     assert got == [Decimal("1164030.79"), Decimal("0.13"), Decimal("0.00")]
     pct = [r[0] for r in df.select(round_ratio(F.col("b"), F.col("a"), 2, percent=True, den_is_money=True)).collect()]
     assert pct[1] == Decimal("800.00")
+
+
+def test_row_json_matches_python_dumps(spark):
+    import json
+
+    from ledgerline.operators.ingest import row_json
+
+    rows = [("1", 'say "hi"', "back\\slash", None), ("2", "tab\there", "", "ctrl\x01")]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string")
+    got = [r[0] for r in df.select(row_json(["a", "b", "c", "d"])).collect()]
+    assert got == [json.dumps(dict(zip("abcd", r))) for r in rows]

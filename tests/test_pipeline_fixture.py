@@ -74,7 +74,10 @@ def test_quarantine_counts(fixture_run):
     assert set(rej) == {"500002", "500006", "500008", "600002"}
     assert rej["500002"].rejection_reason == "unit_price <= 0 en una venta"
     assert rej["600002"].rejection_reason == "price <= 0 en una venta"
-    assert '"customer_id":"17850"' in rej["500002"].raw_row
+    assert rej["500002"].raw_row == (
+        '{"invoice_no": "500002", "stock_code": "20002", "description": "ZERO PRICE SALE", "quantity": "2", '
+        '"invoice_date": "12/1/2010 9:00", "unit_price": "0.00", "customer_id": "17850", '
+        '"country": "United Kingdom"}')
 
 
 def test_check_results_written(spark, fixture_run):
