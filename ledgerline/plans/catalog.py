@@ -9,6 +9,8 @@ the file listing.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 from ledgerline.plans.warehouse import MART_TABLES
@@ -24,7 +26,10 @@ LAYER_TABLES = (
 def register_tables(spark: SparkSession, root: str, tables=LAYER_TABLES) -> list[str]:
     registered = []
     for db in sorted({t.split(".")[0] for t in tables}):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+        # The database folder sits beside the data it describes, not in the
+        # process's working directory.
+        location = os.path.join(root, "_catalog", f"{db}.db").replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{location}'")
     for name in tables:
         path = table_path(root, name).replace("'", "\\\\'")
         spark.sql(f"DROP TABLE IF EXISTS {name}")

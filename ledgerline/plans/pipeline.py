@@ -50,7 +50,9 @@ def load_raw(spark: SparkSession, feeds: dict[str, DataFrame], root: str, report
 
     The load counters are observed metrics of the raw write itself (one
     accumulator-style aggregate per task, merged on the driver), so they
-    cost no extra pass over the feed.
+    cost no extra pass over the feed. The reject write scans the feed a
+    second time instead of caching it: measured, a persisted parse was no
+    faster, and the stateless pass holds no executor memory or local disk.
     """
     for spec in FEEDS:
         with _Timer(report, f"raw.{spec.name}"):
