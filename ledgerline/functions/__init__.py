@@ -5,7 +5,7 @@ from ledgerline.functions.text import (
     customer_or_guest,
     normalize_code,
     normalize_description,
-    pg_trim,
+    trim_spaces,
 )
 from ledgerline.functions.numbers import (
     is_return_invoice,
@@ -19,7 +19,7 @@ from ledgerline.functions.categories import CATEGORY_RULES, categorize
 
 __all__ = [
     "blank_to_null", "customer_or_guest", "normalize_code", "normalize_description",
-    "pg_trim", "is_return_invoice", "python_float_nonpositive", "safe_integer",
+    "trim_spaces", "is_return_invoice", "python_float_nonpositive", "safe_integer",
     "safe_numeric", "minute_text", "parse_feed_timestamp", "round_ratio",
     "CATEGORY_RULES", "categorize",
 ]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import pg_trim
+from ledgerline.functions.text import trim_spaces
 
 # Whitespace Python's float() and str.strip() remove (ASCII part), as a
 # regex class and as the plain character set btrim() takes.
@@ -46,14 +46,14 @@ def safe_integer(c: Column) -> Column:
     """'12' / '-3' -> int; '6.0' / '6.000' -> 6; blank, '6.5', '+6', '6\\n'
     and out-of-range values -> NULL."""
     # One match: the integer part of '12' or '12.000'; '' (no match) -> NULL.
-    return F.regexp_extract(pg_trim(c), r"\A(-?\d+)(?:\.0+)?\z", 1).try_cast("int")
+    return F.regexp_extract(trim_spaces(c), r"\A(-?\d+)(?:\.0+)?\z", 1).try_cast("int")
 
 
 def safe_numeric(c: Column, precision: int = 18, scale: int = 4) -> Column:
     """Decimal text, thousands commas allowed ('1,234.50' -> 1234.5000),
     rounded half-up to ``scale``; anything else (exponents, blanks,
     overflow) -> NULL."""
-    s = F.replace(pg_trim(c), F.lit(","), F.lit(""))
+    s = F.replace(trim_spaces(c), F.lit(","), F.lit(""))
     target = f"decimal({precision},{scale})"
     return (
         F.when(s.rlike(r"\A-?\d+(?:\.\d+)?\z"), s.try_cast(target))

@@ -10,26 +10,26 @@ from pyspark.sql import functions as F
 WS = r"[ \t\n\x0B\f\r]"
 
 
-def pg_trim(c: Column) -> Column:
+def trim_spaces(c: Column) -> Column:
     """Trim spaces at both ends (only the space character, like BTRIM)."""
     return F.trim(c)
 
 
 def blank_to_null(c: Column) -> Column:
     """NULL when the value is NULL or only spaces, else the trimmed text."""
-    t = pg_trim(c)
+    t = trim_spaces(c)
     return F.when(t == F.lit(""), F.lit(None).cast("string")).otherwise(t)
 
 
 def normalize_code(c: Column) -> Column:
     """Invoice / stock code: trim, delete every whitespace run, upper-case."""
-    return F.upper(F.regexp_replace(pg_trim(c), WS + "+", ""))
+    return F.upper(F.regexp_replace(trim_spaces(c), WS + "+", ""))
 
 
 def normalize_description(c: Column) -> Column:
     """Free text (description, country): trim, collapse whitespace runs to
     one space, upper-case."""
-    return F.upper(F.regexp_replace(pg_trim(c), WS + "+", " "))
+    return F.upper(F.regexp_replace(trim_spaces(c), WS + "+", " "))
 
 
 # Fixed value: the customer id given to lines without one.

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import pg_trim
+from ledgerline.functions.text import trim_spaces
 
 # layout -> (shape regex, positions of year, month, day, hour, minute, second
 # among the digit runs)
@@ -22,7 +22,7 @@ _LAYOUTS = {
 
 def parse_feed_timestamp(c: Column, layout: str) -> Column:
     pattern, positions = _LAYOUTS[layout]
-    t = pg_trim(c)
+    t = trim_spaces(c)
     # Once the shape is checked, the fields are the digit runs between the
     # separators: one split instead of one regex match per field.
     parts = F.split(t, "[-/: ]")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.categories import categorize
-from ledgerline.functions.text import GUEST, pg_trim
+from ledgerline.functions.text import GUEST, trim_spaces
 
 
 def description_frequency(unified: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def dim_pais(unified: DataFrame) -> DataFrame:
     """Distinct non-blank countries. A blank country stays in the facts and is
     reported by the foreign-key check instead of being defaulted."""
     paises = (
-        unified.filter(F.col("country").isNotNull() & (pg_trim(F.col("country")) != F.lit("")))
+        unified.filter(F.col("country").isNotNull() & (trim_spaces(F.col("country")) != F.lit("")))
         .select("country")
         .distinct()
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.ratios import round_ratio
-from ledgerline.functions.text import pg_trim
+from ledgerline.functions.text import trim_spaces
 from ledgerline.operators.joins import join_dimension
 from ledgerline.plans.warehouse import Warehouse
 from ledgerline.sources.feeds import ECOMMERCE
@@ -140,7 +140,7 @@ def q6a_distinct_products(wh: Warehouse) -> DataFrame:
 def q6b_description_variants(wh: Warehouse) -> DataFrame:
     """Stock codes whose raw feed-A descriptions differ after upper(trim())."""
     raw = wh.raw(ECOMMERCE).filter(F.col("stock_code").isNotNull())
-    d = F.upper(pg_trim(F.col("description")))
+    d = F.upper(trim_spaces(F.col("description")))
     return (
         raw.select("stock_code", d.alias("d"))
         .groupBy("stock_code")
