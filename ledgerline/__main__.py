@@ -54,7 +54,8 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(land_feeds(derived_feeds(spark, args.sf_dir), args.landing)))
         return
     report = run(spark, read_landed(spark, args.landing), args.warehouse, gates=not args.no_gates)
-    print(json.dumps({"seconds": report.seconds, "load_counters": report.counters,
+    print(json.dumps({"run_id": report.run_id, "run_dir": report.run_dir,
+                      "seconds": report.seconds, "load_counters": report.counters,
                       "row_counts": report.row_counts}))
 
 

@@ -2,7 +2,7 @@
 
 ``register_tables`` creates the databases ``raw``, ``staging``, ``marts`` and
 ``quality`` if absent and points one external Parquet table at each layer
-folder, so analysts can query ``marts.mart_revenue_producto`` etc. with
+folder of the newest published run, so analysts can query ``marts.mart_revenue_producto`` etc. with
 ``spark.sql``. Nothing is copied; re-registering after a new run refreshes
 the file listing.
 """
@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from ledgerline.plans.warehouse import MART_TABLES
 from ledgerline.sources.feeds import FEEDS
+from ledgerline.sources.runs import latest_run_dir, run_dir
 from ledgerline.sources.sinks import table_path
 
 LAYER_TABLES = (
@@ -23,7 +24,10 @@ LAYER_TABLES = (
 )
 
 
-def register_tables(spark: SparkSession, root: str, tables=LAYER_TABLES) -> list[str]:
+def register_tables(spark: SparkSession, warehouse: str, tables=LAYER_TABLES,
+                    run_id: str | None = None) -> list[str]:
+    """Point the catalog at a published run (the newest unless ``run_id``)."""
+    root = run_dir(warehouse, run_id) if run_id else latest_run_dir(spark, warehouse)
     registered = []
     for db in sorted({t.split(".")[0] for t in tables}):
         # The database folder sits beside the data it describes, not in the

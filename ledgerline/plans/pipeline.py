@@ -3,7 +3,8 @@
 Each layer is written to Parquet and read back by the next one, which cuts
 the lineage at every border (a lost executor recomputes one layer, not the
 whole chain) and gives the planner file statistics for the next step. The
-run ends with the primary-key and foreign-key gates.
+run ends with the data-quality checks and the primary/foreign-key gates;
+only then is it published (see ``sources/runs.py``).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import ingest, quality
 from ledgerline.plans.warehouse import MART_TABLES, Warehouse
 from ledgerline.sources.feeds import FEEDS
+from ledgerline.sources.runs import latest_run_dir, mark_complete, new_run_id, run_dir
 from ledgerline.sources.sinks import read_table, write_rejects, write_table
 
 DIMENSIONS = ("dim_producto", "dim_cliente", "dim_tiempo", "dim_pais")
@@ -26,6 +28,8 @@ FACTS = ("fact_ventas", "fact_devoluciones")
 
 @dataclass
 class RunReport:
+    run_id: str = ""
+    run_dir: str = ""
     seconds: dict[str, float] = field(default_factory=dict)
     counters: list[tuple] = field(default_factory=list)
     row_counts: dict[str, int] = field(default_factory=dict)
@@ -73,12 +77,15 @@ def materialized(spark: SparkSession, root: str, names, dim_rows: dict[str, int]
     return Warehouse(spark, tables={n: read_table(spark, root, n) for n in names}, dim_rows=dim_rows)
 
 
-def run(spark: SparkSession, feeds: dict[str, DataFrame], root: str, *, gates: bool = True,
-        checks: bool = True) -> RunReport:
-    """Build every layer under ``root``. ``gates`` raises on primary/foreign
-    key violations; ``checks`` writes the declared checks' results to
-    ``<root>/quality/check_results``."""
-    report = RunReport()
+def run(spark: SparkSession, feeds: dict[str, DataFrame], warehouse: str, *, gates: bool = True,
+        checks: bool = True, run_id: str | None = None) -> RunReport:
+    """Build every layer of one run under ``<warehouse>/runs/<run_id>`` and
+    publish it. ``gates`` raises on primary/foreign key violations (the run
+    then stays unpublished); ``checks`` writes the declared checks' results
+    to ``quality/check_results`` of the run."""
+    run_id = run_id or new_run_id()
+    root = run_dir(warehouse, run_id)
+    report = RunReport(run_id=run_id, run_dir=root)
     load_raw(spark, feeds, root, report)
     raw_names = [f"raw.{s.name}" for s in FEEDS] + ["raw.rejected_records"]
 
@@ -119,11 +126,14 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], root: str, *, gates: b
     for name in done:
         if name != "raw.rejected_records":
             report.row_counts[name] = read_table(spark, root, name).count()
+    mark_complete(spark, warehouse, run_id, {"counters": report.counters, "row_counts": report.row_counts})
     return report
 
 
-def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
-    """Warehouse over a finished run, for the business queries."""
+def open_warehouse(spark: SparkSession, warehouse: str, run_id: str | None = None) -> Warehouse:
+    """Warehouse over a published run (the newest unless ``run_id`` is
+    given), for the business queries."""
+    root = run_dir(warehouse, run_id) if run_id else latest_run_dir(spark, warehouse)
     names = ([f"raw.{s.name}" for s in FEEDS] + ["raw.rejected_records", "staging.stg_transactions_unified"]
              + [f"marts.{n}" for n in MART_TABLES])
     dim_rows = {n: read_table(spark, root, f"marts.{n}").count() for n in DIMENSIONS}

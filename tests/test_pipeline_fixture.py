@@ -207,3 +207,23 @@ def test_rerun_is_identical(spark, tmp_path):
                       for n in ("raw.rejected_records", "staging.stg_transactions_unified",
                                 "marts.dim_producto", "marts.mart_revenue_producto")})
     assert snaps[0] == snaps[1]
+
+
+def test_failed_run_is_not_published(spark, tmp_path):
+    from ledgerline.sources.runs import completed_runs
+
+    def land(name, a_rows):
+        landing = tmp_path / name
+        (landing / "ecommerce_data").mkdir(parents=True)
+        (landing / "online_retail_ii").mkdir(parents=True)
+        (landing / "ecommerce_data" / "a.csv").write_text("\n".join([HEADER_A] + a_rows) + "\n", encoding="latin-1")
+        (landing / "online_retail_ii" / "b.csv").write_text(HEADER_B + "\n", encoding="utf-8")
+        return str(landing)
+
+    wh_root = str(tmp_path / "wh")
+    good = run(spark, read_landed(spark, land("good", ["1,A,X,1,12/1/2010 8:00,1.00,5,France"])), wh_root)
+    with pytest.raises(DataQualityError):
+        run(spark, read_landed(spark, land("bad", ["2,B,Y,1,12/1/2010 8:00,1.00,5,"])), wh_root)
+    assert completed_runs(spark, wh_root) == [good.run_id]
+    wh = open_warehouse(spark, wh_root)
+    assert [r.invoice_no for r in wh.unified.collect()] == ["1"]
