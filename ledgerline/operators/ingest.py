@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 from ledgerline.functions.numbers import is_return_invoice, python_float_nonpositive
 from ledgerline.sources.feeds import NA_TOKENS, RAW_FIELDS, FeedSpec
 
-REJECT_COLUMNS = ("source_table", "invoice_no", "stock_code", "rejection_reason", "raw_row")
-
-
 def feed_cells(frame: DataFrame, spec: FeedSpec) -> DataFrame:
     """Select the feed's columns by header name; a header missing from the
     file yields an all-missing column instead of an error."""

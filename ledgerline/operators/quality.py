@@ -71,18 +71,12 @@ PRIMARY_KEYS = (
 )
 
 Lookup = Callable[[str], DataFrame]
-RESULT_COLUMNS = ("table_name", "column_name", "check_name", "failures")
 
 
 class DataQualityError(RuntimeError):
     pass
 
 
-def _row(table: str, column: str, check: str, failures) -> list:
-    return [F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-            F.lit(check).alias("check_name"), failures.cast("bigint").alias("failures")]
-
-
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

@@ -15,10 +15,6 @@ from ledgerline.functions.text import (
 from ledgerline.functions.timestamps import minute_text, parse_feed_timestamp
 from ledgerline.sources.feeds import FeedSpec
 
-STAGED_COLUMNS = (
-    "invoice_no", "stock_code", "description", "quantity", "invoice_date_utc",
-    "unit_price", "customer_id", "country", "transaction_type", "source_file",
-)
 REQUIRED_COLUMNS = ("invoice_no", "stock_code", "quantity", "invoice_date_utc", "unit_price")
 DEDUPE_KEYS = ("invoice_no", "stock_code", "dedupe_minute")
 UNIFIED_COLUMNS = (
