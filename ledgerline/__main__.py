@@ -43,6 +43,8 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--warehouse", required=True)
     r.add_argument("--master")
     r.add_argument("--no-gates", action="store_true", help="report key violations without failing")
+    r.add_argument("--multiline", action="store_true",
+                   help="allow newlines inside quoted CSV fields (files become unsplittable)")
     d = sub.add_parser("derive", help="land feeds derived from the driver tables as CSV")
     d.add_argument("--sf-dir", required=True)
     d.add_argument("--landing", required=True)
@@ -53,7 +55,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "derive":
         print(json.dumps(land_feeds(derived_feeds(spark, args.sf_dir), args.landing)))
         return
-    report = run(spark, read_landed(spark, args.landing), args.warehouse, gates=not args.no_gates)
+    feeds = read_landed(spark, args.landing, multi_line=args.multiline)
+    report = run(spark, feeds, args.warehouse, gates=not args.no_gates)
     print(json.dumps({"run_id": report.run_id, "run_dir": report.run_dir,
                       "seconds": report.seconds, "load_counters": report.counters,
                       "row_counts": report.row_counts}))

@@ -13,7 +13,10 @@ def read_feed_csv(spark: SparkSession, path: str, spec: FeedSpec, *, multi_line:
     Quotes are escaped by doubling (``""``). Whitespace is kept verbatim.
     ``multi_line`` allows newlines inside quoted fields but makes each file a
     single split, so it is off by default: at scale, feeds without embedded
-    newlines should stay splittable.
+    newlines should stay splittable. Column names come from the header, and
+    every file's header is checked against them (``enforceSchema`` off), so
+    a file with its columns in another order fails instead of being loaded
+    by position.
     """
     return (
         spark.read.option("header", True)
@@ -24,6 +27,7 @@ def read_feed_csv(spark: SparkSession, path: str, spec: FeedSpec, *, multi_line:
         .option("multiLine", multi_line)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .csv(path)
     )

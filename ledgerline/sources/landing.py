@@ -24,5 +24,6 @@ def land_feeds(feeds: dict[str, DataFrame], landing_dir: str) -> dict[str, str]:
             for spec in FEEDS}
 
 
-def read_landed(spark: SparkSession, landing_dir: str) -> dict[str, DataFrame]:
-    return {spec.name: read_feed_csv(spark, os.path.join(landing_dir, spec.name), spec) for spec in FEEDS}
+def read_landed(spark: SparkSession, landing_dir: str, *, multi_line: bool = False) -> dict[str, DataFrame]:
+    return {spec.name: read_feed_csv(spark, os.path.join(landing_dir, spec.name), spec, multi_line=multi_line)
+            for spec in FEEDS}

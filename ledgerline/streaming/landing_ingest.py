@@ -32,7 +32,9 @@ def _csv_schema(spec: FeedSpec) -> StructType:
 
 
 def _stream(spark: SparkSession, landing_dir: str, spec: FeedSpec, max_files: int | None) -> DataFrame:
-    reader = (spark.readStream.schema(_csv_schema(spec)).option("header", True)
+    # The schema lists the headers; enforceSchema off makes every file's
+    # header be checked against it instead of mapping columns by position.
+    reader = (spark.readStream.schema(_csv_schema(spec)).option("header", True).option("enforceSchema", False)
               .option("encoding", spec.encoding).option("quote", '"').option("escape", '"')
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if max_files:
