@@ -2,22 +2,26 @@
 
     spark-submit -m ledgerline run --landing <dir> --warehouse <dir>
     python -m ledgerline run --landing <dir> --warehouse <dir> [--master local[8]]
+    python -m ledgerline check --warehouse <dir>
     python -m ledgerline derive --sf-dir <driver tables> --landing <dir>
 
 ``run`` reads the two feeds' CSV files from ``<landing>/ecommerce_data`` and
 ``<landing>/online_retail_ii``, builds every layer under ``<warehouse>``,
 runs the data-quality checks and key gates, and prints the run report as
-JSON. ``derive`` lands the feeds derived from the TPC-H-style driver tables.
+JSON. ``check`` re-runs the declared checks on the newest published run and
+exits non-zero when any check flags rows. ``derive`` lands the feeds derived from the TPC-H-style driver tables.
 """
 
 from __future__ import annotations
 
 import argparse
 import json
+import sys
 
 from pyspark.sql import SparkSession
 
-from ledgerline.plans.pipeline import run
+from ledgerline.operators import quality
+from ledgerline.plans.pipeline import open_warehouse, run
 from ledgerline.session import SESSION_DEFAULTS, build_session, ensure_checkpoint_dir
 from ledgerline.sources.derived_feed import derived_feeds
 from ledgerline.sources.landing import land_feeds, read_landed
@@ -45,6 +49,9 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--no-gates", action="store_true", help="report key violations without failing")
     r.add_argument("--multiline", action="store_true",
                    help="allow newlines inside quoted CSV fields (files become unsplittable)")
+    c = sub.add_parser("check", help="run the declared data-quality checks on the newest published run")
+    c.add_argument("--warehouse", required=True)
+    c.add_argument("--master")
     d = sub.add_parser("derive", help="land feeds derived from the driver tables as CSV")
     d.add_argument("--sf-dir", required=True)
     d.add_argument("--landing", required=True)
@@ -52,6 +59,12 @@ def main(argv: list[str] | None = None) -> None:
     args = p.parse_args(argv)
 
     spark = _session(args.master)
+    if args.cmd == "check":
+        wh = open_warehouse(spark, args.warehouse)
+        rows = [r.asDict() for r in quality.declared_checks(wh.table).collect()]   # one row per check
+        failing = [r for r in rows if r["failures"]]
+        print(json.dumps({"checks": len(rows), "failing": failing}))
+        sys.exit(1 if failing else 0)
     if args.cmd == "derive":
         print(json.dumps(land_feeds(derived_feeds(spark, args.sf_dir), args.landing)))
         return
