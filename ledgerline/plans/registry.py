@@ -43,9 +43,9 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _WAREHOUSES[key]
 
 
-def _wh(fn: Callable[[Warehouse], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def _wh(fn: Callable[[Warehouse], DataFrame], as_double: tuple[str, ...] = ()) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return as_output(fn(warehouse(spark, sf_dir)))
+        return as_output(fn(warehouse(spark, sf_dir)), as_double=as_double)
     run.__name__ = getattr(fn, "__name__", "query")
     return run
 
@@ -188,6 +188,10 @@ def _quality(check) -> Callable[[Warehouse], DataFrame]:
     return fn
 
 
+# Outputs whose parsed quantity is NULL for unparseable text (see present.py).
+NULLABLE_QTY = ("quantity",)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         # sources, ingest and quarantine
@@ -205,14 +209,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # column functions
         "normalize_code": _wh(_per_feed(_normalize_code)),
         "normalize_description": _wh(_per_feed(_normalize_description)),
-        "safe_integer": _wh(_per_feed(_safe_integer)),
+        "safe_integer": _wh(_per_feed(_safe_integer), NULLABLE_QTY),
         "safe_numeric": _wh(_per_feed(_safe_numeric)),
         "parse_ts_us": _wh(_parse_ts(ECOMMERCE)),
         "parse_ts_iso": _wh(_parse_ts(ONLINE_RETAIL)),
-        "classify_transaction": _wh(_per_feed(_classify)),
+        "classify_transaction": _wh(_per_feed(_classify), NULLABLE_QTY),
         # staging
-        "stg_ecommerce": _wh(_table("staging.stg_ecommerce")),
-        "stg_online_retail": _wh(_table("staging.stg_online_retail")),
+        "stg_ecommerce": _wh(_table("staging.stg_ecommerce"), NULLABLE_QTY),
+        "stg_online_retail": _wh(_table("staging.stg_online_retail"), NULLABLE_QTY),
         "required_fields_filter": _wh(_required_fields),
         "union_sources": _wh(_union_sources),
         "dedupe_transactions": _wh(_dedupe),
