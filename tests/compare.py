@@ -62,3 +62,24 @@ def compare(spark_df, con, sql: str) -> dict:
     if s_names != d_names:
         out["spark_columns"], out["oracle_columns"] = s_names, d_names
     return out
+
+
+def compare_pandas(spark_df, con, sql: str) -> dict:
+    """The same comparison through pandas (Spark toPandas vs DuckDB .df()):
+    dtype kinds per column and stringified rows must agree."""
+    import pandas as pd
+
+    def canon(df):
+        df = df[sorted(df.columns)]
+        def cell(v):
+            if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+                return "None"
+            return str(v)
+        return sorted("|".join(cell(v) for v in r) for r in df.itertuples(index=False))
+
+    s, d = spark_df.toPandas(), con.sql(sql).df()
+    kinds_s = {c: s[c].dtype.kind for c in s.columns}
+    kinds_d = {c: d[c].dtype.kind for c in d.columns}
+    return {"kinds_match": kinds_s == kinds_d, "values_match": canon(s) == canon(d),
+            "kinds": {c: (kinds_s.get(c), kinds_d.get(c)) for c in set(kinds_s) | set(kinds_d)
+                      if kinds_s.get(c) != kinds_d.get(c)}}

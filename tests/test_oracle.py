@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_module
-from compare import compare, duck
+from compare import compare, compare_pandas, duck
 from conftest import SF_MEDIUM, SF_SMALL
 
 QUERIES = entry_module.queries()
@@ -21,9 +21,12 @@ def con_small():
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con_small, key):
-    result = compare(QUERIES[key](spark, SF_SMALL), con_small, ORACLE[key])
+    df = QUERIES[key](spark, SF_SMALL)
+    result = compare(df, con_small, ORACLE[key])
     assert result["columns_match"], result
     assert result["values_match"], result
+    via_pandas = compare_pandas(df, con_small, ORACLE[key])
+    assert via_pandas["kinds_match"] and via_pandas["values_match"], via_pandas
 
 
 def test_entry_smoke(spark):
