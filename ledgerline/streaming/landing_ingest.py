@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,12 +45,17 @@ def _stream(spark: SparkSession, landing_dir: str, spec: FeedSpec, max_files: in
 
 def _batch_writer(out_root: str, spec: FeedSpec):
     def write(batch: DataFrame, batch_id: int) -> None:
-        flagged = ingest.flag_rejects(ingest.feed_cells(batch, spec), spec)
-        (ingest.raw_rows(flagged, spec).withColumn("_loaded_at", F.current_timestamp())
-         .write.mode("overwrite").parquet(os.path.join(out_root, "raw", spec.name, f"batch={batch_id}")))
-        (ingest.reject_records(flagged, spec).drop("source_table").withColumn("rejected_at", F.current_timestamp())
-         .write.mode("overwrite").parquet(os.path.join(
-             out_root, "raw", "rejected_records", f"source_table={spec.name}", f"batch={batch_id}")))
+        # Two sinks read the micro-batch (bounded by maxFilesPerTrigger), so
+        # it is parsed once and kept for the duration of this call.
+        flagged = ingest.flag_rejects(ingest.feed_cells(batch, spec), spec).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            (ingest.raw_rows(flagged, spec).withColumn("_loaded_at", F.current_timestamp())
+             .write.mode("overwrite").parquet(os.path.join(out_root, "raw", spec.name, f"batch={batch_id}")))
+            (ingest.reject_records(flagged, spec).drop("source_table").withColumn("rejected_at", F.current_timestamp())
+             .write.mode("overwrite").parquet(os.path.join(
+                 out_root, "raw", "rejected_records", f"source_table={spec.name}", f"batch={batch_id}")))
+        finally:
+            flagged.unpersist()
     return write
 
 
