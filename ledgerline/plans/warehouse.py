@@ -158,6 +158,6 @@ class Warehouse:
         return getattr(self, name)
 
 
-# Layers in build order, as (qualified name, accessor) pairs.
+# Mart-layer tables in build order (dimensions, facts, mart).
 MART_TABLES = ("dim_producto", "dim_cliente", "dim_tiempo", "dim_pais",
                "fact_ventas", "fact_devoluciones", "mart_revenue_producto")
