@@ -44,6 +44,14 @@ QUERIES = {
 }
 
 
+def _scale_factor(sf_dir: str):
+    tag = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(tag)
+    except ValueError:
+        return tag
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -86,7 +94,7 @@ def main() -> None:
         "unit": "sec",
         "queries": timings,
         "setup_land_feeds_sec": setup_sec,
-        "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+        "sf": _scale_factor(sf_dir),
         "rows": {"unified": report.row_counts.get("staging.stg_transactions_unified"),
                  "mart": report.row_counts.get("marts.mart_revenue_producto")},
     }))
