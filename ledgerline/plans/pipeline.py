@@ -73,6 +73,17 @@ def load_raw(spark: SparkSession, feeds: dict[str, DataFrame], root: str, report
             report.counters.append((spec.name, int(got["loaded"]), int(got["rejected"])))
 
 
+def row_counts(spark: SparkSession, root: str, names) -> dict[str, int]:
+    """Row counts of several written tables in one job (Parquet footers;
+    one row per table reaches the driver)."""
+    parts = [read_table(spark, root, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("t"), "n")
+             for n in names]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return {r.t: r.n for r in union.collect()}
+
+
 def materialized(spark: SparkSession, root: str, names, dim_rows: dict[str, int] | None = None) -> Warehouse:
     return Warehouse(spark, tables={n: read_table(spark, root, n) for n in names}, dim_rows=dim_rows)
 
@@ -105,7 +116,8 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], warehouse: str, *, gat
 
     with _Timer(report, "marts.mart_revenue_producto"):
         # Dimension sizes come from Parquet footers; they decide broadcasts.
-        dim_rows = {n: read_table(spark, root, f"marts.{n}").count() for n in DIMENSIONS}
+        counted = row_counts(spark, root, [f"marts.{n}" for n in DIMENSIONS])
+        dim_rows = {n: counted[f"marts.{n}"] for n in DIMENSIONS}
         wh = materialized(spark, root, done, dim_rows=dim_rows)
         write_table(wh.mart_revenue_producto, root, "marts.mart_revenue_producto")
     done.append("marts.mart_revenue_producto")
@@ -123,9 +135,7 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], warehouse: str, *, gat
         with _Timer(report, "quality.key_gates"):
             quality.enforce(quality.primary_keys(wh.table).unionByName(quality.foreign_keys(wh.table)))
 
-    for name in done:
-        if name != "raw.rejected_records":
-            report.row_counts[name] = read_table(spark, root, name).count()
+    report.row_counts = row_counts(spark, root, [n for n in done if n != "raw.rejected_records"])
     mark_complete(spark, warehouse, run_id, {"counters": report.counters, "row_counts": report.row_counts})
     return report
 
@@ -136,5 +146,5 @@ def open_warehouse(spark: SparkSession, warehouse: str, run_id: str | None = Non
     root = run_dir(warehouse, run_id) if run_id else latest_run_dir(spark, warehouse)
     names = ([f"raw.{s.name}" for s in FEEDS] + ["raw.rejected_records", "staging.stg_transactions_unified"]
              + [f"marts.{n}" for n in MART_TABLES])
-    dim_rows = {n: read_table(spark, root, f"marts.{n}").count() for n in DIMENSIONS}
-    return materialized(spark, root, names, dim_rows=dim_rows)
+    counted = row_counts(spark, root, [f"marts.{n}" for n in DIMENSIONS])
+    return materialized(spark, root, names, dim_rows={n: counted[f"marts.{n}"] for n in DIMENSIONS})
