@@ -47,18 +47,41 @@ def raw_rows(flagged: DataFrame, spec: FeedSpec) -> DataFrame:
     )
 
 
+# The two-character escapes of a JSON string, as Python's json
+# module writes them; every other character below space, and everything from
+# DEL up, is written as a lowercase \uXXXX escape (surrogate pairs above U+FFFF).
+_SHORT_ESCAPES = (('"', '\\"'), ("\\", "\\\\"), ("\b", "\\b"), ("\f", "\\f"),
+                  ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"))
+
+
+def _u(code: Column) -> Column:
+    return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(code)), 4, "0"))
+
+
+def _escape_char(ch: Column) -> Column:
+    code = F.ascii(ch)                      # code point of the character
+    out = None
+    for raw, esc in _SHORT_ESCAPES:
+        out = F.when(ch == F.lit(raw), F.lit(esc)) if out is None else out.when(ch == F.lit(raw), F.lit(esc))
+    astral = code - F.lit(0x10000)
+    pair = F.concat(_u(F.lit(0xD800) + F.shiftright(astral, 10)), _u(F.lit(0xDC00) + astral.bitwiseAND(0x3FF)))
+    return (out.when((code >= 32) & (code < 127), ch)
+            .when(code < 0x10000, _u(code))
+            .otherwise(pair))
+
+
 def _json_value(c: Column) -> Column:
-    """JSON text of one string cell ("..." with escapes, or null): the
-    single element of the JSON array ``to_json`` writes for it."""
-    arr = F.to_json(F.array(c))              # '["..."]' or '[null]'
-    return arr.substr(F.lit(2), F.length(arr) - F.lit(2))
+    """JSON text of one string cell with ASCII-only output ("..." or null)."""
+    body = F.array_join(F.transform(F.split(c, ""), _escape_char), "")
+    return (F.when(c.isNull(), F.lit("null"))
+            .when(c == F.lit(""), F.lit('""'))
+            .otherwise(F.concat(F.lit('"'), body, F.lit('"'))))
 
 
 def row_json(columns) -> Column:
-    """The row as a JSON object in the original loader's layout:
-    {"key": "value", "key2": null} -- ', ' and ': ' separators, columns in
-    raw order, missing cells as null. Non-ASCII text is kept as UTF-8
-    rather than \\u-escaped."""
+    """The row as a JSON object in the original loader's layout and escaping:
+    {"key": "value", "key2": null} -- ', ' and ': ' separators, columns in raw
+    order, missing cells as null, non-ASCII text as \\u escapes."""
     fields = [F.concat(F.lit(f'"{c}": '), _json_value(F.col(c))) for c in columns]
     return F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
 

@@ -101,7 +101,8 @@ def test_row_json_matches_python_dumps(spark):
 
     from ledgerline.operators.ingest import row_json
 
-    rows = [("1", 'say "hi"', "back\\slash", None), ("2", "tab\there", "", "ctrl\x01")]
+    rows = [("1", 'say "hi"', "back\\slash", None), ("2", "tab\there", "", "ctrl\x01\x1f"),
+            ("3", "café £5 €", "emoji 😀 ok", "del\x7f nl\n cr\r ff\x0c bs\x08")]
     df = spark.createDataFrame(rows, "a string, b string, c string, d string")
     got = [r[0] for r in df.select(row_json(["a", "b", "c", "d"])).collect()]
     assert got == [json.dumps(dict(zip("abcd", r))) for r in rows]
