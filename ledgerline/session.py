@@ -47,8 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as-is. Only when it is unset -- local tests -- do we
-    create a scratch folder so ``DataFrame.checkpoint()`` has somewhere to go.
+    folder and is used as-is. Only when it is unset on a local master --
+    tests, single-machine runs -- is a scratch folder created, so
+    ``DataFrame.checkpoint()`` has somewhere to go; on a cluster a missing
+    setting is an error rather than a silent machine-local folder.
     """
     jsc = spark.sparkContext._jsc
     current = jsc.sc().getCheckpointDir()
@@ -56,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(configured)
     return configured
