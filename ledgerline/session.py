@@ -52,10 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``DataFrame.checkpoint()`` has somewhere to go; on a cluster a missing
     setting is an error rather than a silent machine-local folder.
     """
-    jsc = spark.sparkContext._jsc
-    current = jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         if not spark.sparkContext.master.startswith("local"):
