@@ -3,6 +3,7 @@
     spark-submit -m ledgerline run --landing <dir> --warehouse <dir>
     python -m ledgerline run --landing <dir> --warehouse <dir> [--master local[8]]
     python -m ledgerline check --warehouse <dir>
+    python -m ledgerline query --warehouse <dir> --name q4_country_share [--out <dir>]
     python -m ledgerline derive --sf-dir <driver tables> --landing <dir>
 
 ``run`` reads the two feeds' CSV files from ``<landing>/ecommerce_data`` and
@@ -21,12 +22,20 @@ import sys
 from pyspark.sql import SparkSession
 
 from ledgerline.operators import quality
+from ledgerline.plans import business
 from ledgerline.plans.pipeline import open_warehouse, run
+from ledgerline.plans.present import as_output
 from ledgerline.session import SESSION_DEFAULTS, build_session, ensure_checkpoint_dir
 from ledgerline.sources.derived_feed import derived_feeds
 from ledgerline.sources.landing import land_feeds, read_landed
 
 
+BUSINESS = {name: getattr(business, name) for name in (
+    "q1_monthly_net_sales", "q1b_monthly_net_short", "q2_category_returns", "q3a_top_net_revenue",
+    "q3b_top_return_rate", "q4_country_share", "q5_guest_vs_identified", "q6a_distinct_products",
+    "q6b_description_variants", "q7_quality_candidates", "v1_layer_counts", "v2_layer_counts_short")}
+
+
 def _session(master: str | None) -> SparkSession:
     if master:
         return build_session(master=master)
@@ -52,6 +61,12 @@ def main(argv: list[str] | None = None) -> None:
     c = sub.add_parser("check", help="run the declared data-quality checks on the newest published run")
     c.add_argument("--warehouse", required=True)
     c.add_argument("--master")
+    qp = sub.add_parser("query", help="run a business question on the newest published run")
+    qp.add_argument("--warehouse", required=True)
+    qp.add_argument("--name", required=True, choices=sorted(BUSINESS))
+    qp.add_argument("--out", help="write the full result here as CSV instead of showing it")
+    qp.add_argument("--rows", type=int, default=50, help="rows to show when --out is not given")
+    qp.add_argument("--master")
     d = sub.add_parser("derive", help="land feeds derived from the driver tables as CSV")
     d.add_argument("--sf-dir", required=True)
     d.add_argument("--landing", required=True)
@@ -59,6 +74,15 @@ def main(argv: list[str] | None = None) -> None:
     args = p.parse_args(argv)
 
     spark = _session(args.master)
+    if args.cmd == "query":
+        result = BUSINESS[args.name](open_warehouse(spark, args.warehouse))
+        if args.out:
+            # Written by the executors; nothing is gathered on the driver.
+            as_output(result).write.mode("overwrite").option("header", True).csv(args.out)
+            print(json.dumps({"query": args.name, "out": args.out}))
+        else:
+            as_output(result).show(args.rows, truncate=False)
+        return
     if args.cmd == "check":
         wh = open_warehouse(spark, args.warehouse)
         rows = [r.asDict() for r in quality.declared_checks(wh.table).collect()]   # one row per check

@@ -20,3 +20,14 @@ def test_cli_round_trip(spark, tmp_path, capsys):
         main(["check", "--warehouse", wh])
     assert done.value.code == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"checks": 58, "failing": []}
+
+
+def test_cli_query(spark, tmp_path, capsys):
+    landing, wh, out = str(tmp_path / "landing"), str(tmp_path / "wh"), str(tmp_path / "q4")
+    main(["derive", "--sf-dir", SF_SMALL, "--landing", landing])
+    main(["run", "--landing", landing, "--warehouse", wh])
+    capsys.readouterr()
+    main(["query", "--warehouse", wh, "--name", "q4_country_share", "--out", out])
+    assert spark.read.option("header", True).csv(out).count() == 25
+    main(["query", "--warehouse", wh, "--name", "q2_category_returns", "--rows", "3"])
+    assert "porcentaje_devolucion" in capsys.readouterr().out
