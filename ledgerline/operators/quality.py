@@ -192,8 +192,12 @@ def relationships(table: Lookup, checks=RELATIONSHIPS, check_name: str = "relati
     parents = []
     for pt, pc in sorted({(pt, pc) for _, _, pt, pc in checks}):
         parents.append(table(pt).select(F.lit(f"{pt}.{pc}").alias("p"), F.col(pc).cast("string").alias("k")))
-    parent_keys = _union(parents)
-    missing = child_keys.join(parent_keys, on=["p", "k"], how="left_anti")
+    parent_keys = _union(parents).withColumn("_hit", F.lit(True))
+    # A left join plus IS NULL rather than a left-anti join: the optimizer
+    # pushes anti joins below aggregates, which would shuffle every child
+    # row (hot keys included) whenever the parents are too large to
+    # broadcast; an outer join stays above the child-key aggregation.
+    missing = child_keys.join(parent_keys, on=["p", "k"], how="left").filter(F.col("_hit").isNull())
     found = missing.groupBy("table_name", "column_name").agg(F.sum("n").alias("failures"))
     return _complete(found, [(ct, cc) for ct, cc, _, _ in checks], check_name)
 
