@@ -53,3 +53,18 @@ def test_layer_counts_sf001(spark):
     assert QUERIES["stg_transactions_unified"](spark, SF_MEDIUM).count() == 58272
     assert QUERIES["mart_revenue_producto"](spark, SF_MEDIUM).count() == 58220
     assert QUERIES["q6b_description_variants"](spark, SF_MEDIUM).count() == 3890
+
+
+SPARK_TO_DUCKDB = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                   "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def test_column_types_match_oracle(spark, con_small):
+    mismatches = {}
+    for key, fn in QUERIES.items():
+        spark_types = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in fn(spark, SF_SMALL).schema.fields}
+        oracle_types = {r[0]: r[1] for r in con_small.sql(f"DESCRIBE {ORACLE[key]}").fetchall()}
+        if spark_types != oracle_types:
+            mismatches[key] = (spark_types, oracle_types)
+    assert not mismatches, mismatches
