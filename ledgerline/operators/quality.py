@@ -121,11 +121,22 @@ def accepted_values(table: Lookup, checks=ACCEPTED_VALUES) -> DataFrame:
     return _scan_checks(table, accepted_checks=checks)
 
 
+RESULT_SCHEMA = "table_name string, column_name string, check_name string, failures bigint"
+
+
+def check_families(table: Lookup) -> dict[str, DataFrame]:
+    """The declared checks as three independent jobs: column checks
+    (not_null, accepted_values), uniqueness, relationships. Every table is
+    scanned once per family that concerns it."""
+    return {"columns": _scan_checks(table, NOT_NULL, ACCEPTED_VALUES),
+            "unique": unique(table),
+            "relationships": relationships(table)}
+
+
 def declared_checks(table: Lookup) -> DataFrame:
-    """All declared checks (not_null, unique, accepted_values, relationships);
-    every table is scanned once for its column checks, once for its
-    uniqueness keys and once for its foreign keys."""
-    return _union([_scan_checks(table, NOT_NULL, ACCEPTED_VALUES), unique(table), relationships(table)])
+    """All declared checks (not_null, unique, accepted_values, relationships)
+    as one DataFrame, one row per check."""
+    return _union(list(check_families(table).values()))
 
 
 def _key_rows(df: DataFrame, table: str, cols, tag=None) -> DataFrame:
