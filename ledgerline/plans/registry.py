@@ -1,8 +1,8 @@
 """Registry of every operator and query as ``(spark, sf_dir) -> DataFrame``.
 
 Each entry reads the driver tables (through the derived feeds) and runs the
-operator over the whole data. Money and ratios are exact decimals inside and
-DOUBLE at this output boundary.
+operator over the whole data. Outputs pass through ``present.as_output``:
+exact decimals become DOUBLE and dates midnight timestamps at this boundary.
 """
 
 from __future__ import annotations
