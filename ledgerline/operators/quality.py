@@ -6,7 +6,7 @@ foreign_key), distinct values (unique, accepted_values) or offending rows
 (primary_key) the check flags. Checks aggregate before they shuffle: a
 uniqueness test is a partial count per value, a relationship test first
 collapses the child keys (so a hot key such as GUEST crosses the exchange
-once per task) and then anti-joins the parent.
+once per task) and then looks them up in the parent.
 """
 
 from __future__ import annotations
@@ -191,7 +191,7 @@ def relationships(table: Lookup, checks=RELATIONSHIPS, check_name: str = "relati
     Every child table is scanned once for all its foreign keys; child keys
     are combined per (table, column, key) before the shuffle, so a hot key
     (GUEST) crosses it once per task. All parents' keys are tagged with
-    their (table, column) and the whole check is one anti-join.
+    their (table, column) and the whole check is one join.
     """
     parent_of = {(ct, cc): f"{pt}.{pc}" for ct, cc, pt, pc in checks}
     children = []
