@@ -68,3 +68,29 @@ def test_column_types_match_oracle(spark, con_small):
         if spark_types != oracle_types:
             mismatches[key] = (spark_types, oracle_types)
     assert not mismatches, mismatches
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_python_udfs_in_any_plan(spark):
+    python_nodes = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+    offenders = {k: n for k, fn in QUERIES.items() for n in python_nodes if n in _plan(fn(spark, SF_SMALL))}
+    assert not offenders, offenders
+
+
+def test_driver_table_scans_are_pruned(spark):
+    import re
+
+    from ledgerline.sources.derived_feed import order_lines
+    plan = _plan(order_lines(spark, SF_SMALL))
+    scans = [sorted(c.split("#")[0] for c in cols.split(","))
+             for cols in re.findall(r"FileScan parquet \[([^\]]*)\]", plan)]
+    assert sorted(scans) == sorted([
+        sorted(["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]),
+        sorted(["o_orderkey", "o_custkey", "o_orderdate"]),
+        sorted(["p_partkey", "p_name", "p_type"]),
+        sorted(["c_custkey", "c_nationkey"]),
+        sorted(["n_nationkey", "n_name"]),
+    ])
