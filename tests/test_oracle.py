@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as entry_module
 from compare import compare, compare_pandas, duck
 from conftest import SF_MEDIUM, SF_SMALL
+from ledgerline.plans import oracle, registry
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 
 def test_every_query_has_oracle():
