@@ -50,10 +50,10 @@ def exact_groups(docs: DataFrame, digest_all: bool = False) -> DataFrame:
     an empty result.
     """
     spark = docs.sparkSession
-    sizes = stage(_reduced(docs).select("length", "prefix"), "sizes")
-    lengths = sizes.groupBy("length").count().where("count > 1").select("length")
-    live = stage(sizes.join(lengths, "length", "left_semi").groupBy("length", "prefix").count()
-                 .where("count > 1").select("length", "prefix", F.lit(True).alias("live")), "live")
+    pairs = stage(_reduced(docs).groupBy("length", "prefix").count(), "pairs")
+    lengths = pairs.groupBy("length").agg(F.sum("count").alias("n")).where("n > 1").select("length")
+    live = stage(pairs.join(lengths, "length", "left_semi").where("count > 1")
+                 .select("length", "prefix", F.lit(True).alias("live")), "live")
     digest = F.sha2("body", 256)
     rows = _reduced(docs)
     if live.count() <= BROADCAST_PAIRS:
