@@ -121,10 +121,9 @@ def links_within(fps: DataFrame, radius: int = MAX_DISTANCE, tile: int = TILE) -
         .groupBy("cell", "part").agg(F.collect_list("fp").alias("fps")), "tiles")
     # Cells around a cell, each unordered pair once.
     steps = [s for s in itertools.product(range(-radius, radius + 1), repeat=_QUARTERS) if sum(map(abs, s)) <= radius and s >= (0,) * 4]
-    around = spark.createDataFrame([s for s in steps], "d0 int, d1 int, d2 int, d3 int")
-    ends = [F.floor(F.col("cell") / 17 ** q).cast("int") % 17 + F.col(f"d{q}") for q in range(_QUARTERS)]
+    ends = [F.floor(F.col("cell") / 17 ** q).cast("int") % 17 + F.get("step", F.lit(q)) for q in range(_QUARTERS)]
     inside = [(e >= 0) & (e <= 16) for e in ends]
-    pairs = (cells.withColumn("steps", F.lit(1)).join(F.broadcast(around.withColumn("steps", F.lit(1))), "steps")
+    pairs = (cells.withColumn("step", F.explode(F.lit([list(s) for s in steps])))
              .where(inside[0] & inside[1] & inside[2] & inside[3])
              .select("cell", "parts", sum((e * 17 ** q for q, e in enumerate(ends)), F.lit(0)).cast("int").alias("cell2"))
              .join(F.broadcast(cells.select(F.col("cell").alias("cell2"), F.col("parts").alias("parts2"))), "cell2")
@@ -172,7 +171,9 @@ def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = M
     joined = joined.select(F.col("node").alias("fp"), "component").join(distinct, "fp")
     roots = joined.groupBy("component").agg(F.min("first").alias("least"))
     least = joined.join(roots, "component").select("fp", "least")
-    classes = distinct.join(least, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    # written, so that both sides of the last join are plain exchanges and a
+    # fingerprint that many rows share is split
+    classes = stage(distinct.join(least, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "components")
     return rows.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
