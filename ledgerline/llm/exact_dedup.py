@@ -66,9 +66,10 @@ def exact_groups(docs: DataFrame, digest_all: bool = False) -> DataFrame:
             "doc_id", "n_chars", F.coalesce("live", F.lit(False)).alias("live"), "text_sha256")
     rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "hashed")
     best = F.max(F.struct("n_chars", (-F.col("doc_id")).alias("low"), (-F.col("row")).alias("first")))
-    groups = (rows.where("live").groupBy("text_sha256").agg(best.alias("best"), F.count("*").alias("group_size"))
-              .select("text_sha256", "group_size", (-F.col("best.low")).alias("keep_id"),
-                      (-F.col("best.first")).alias("keep_row")))
+    # written, so that the join below has plain exchanges and can be split
+    groups = stage(rows.where("live").groupBy("text_sha256").agg(best.alias("best"), F.count("*").alias("group_size"))
+                   .select("text_sha256", "group_size", (-F.col("best.low")).alias("keep_id"),
+                           (-F.col("best.first")).alias("keep_row")), "groups")
     grouped = rows.where("live").join(groups, "text_sha256").select(
         "doc_id", "n_chars", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256")
     single = rows.where("not live").select(

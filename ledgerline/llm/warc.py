@@ -73,8 +73,8 @@ def record_types(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
     payload = F.coalesce("html", F.lit(""))
     digests = stage(pages.select("page_id", F.sha1(payload.cast("binary")).alias("sha1"),
                                  F.octet_length(payload).alias("size")), "digests")
-    first = (digests.where(F.col("size") >= min_bytes).groupBy("sha1", "size")
-             .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1"))
+    first = stage(digests.where(F.col("size") >= min_bytes).groupBy("sha1", "size")
+                  .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1"), "first")
     revisits = stage(digests.join(first, ["sha1", "size"]).where("page_id is null or page_id <> first")
                      .select(F.col("page_id").alias("again"), F.col("sha1").alias("sha1_again"), F.col("first").alias("refers_to"))
                      .distinct(), "revisits")
