@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import trim_spaces
 
-# Whitespace Python's float() and str.strip() remove (ASCII part), as a
-# regex class and as the plain character set btrim() takes.
-PY_WS = r"[ \t\n\x0B\f\r\x1c-\x1f]"
-PY_WS_CHARS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+# Whitespace Python's float() and str.strip() remove: every character for
+# which str.isspace() holds, as the plain character set btrim() takes.
+PY_WS_CHARS = "".join(map(chr, filter(lambda c: chr(c).isspace(), range(0x10000))))
 _DIGITS = r"\d(?:_?\d)*"                      # digits, single '_' between them
 _PY_FLOAT = (
     rf"\A[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"

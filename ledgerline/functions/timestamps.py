@@ -42,8 +42,6 @@ def parse_feed_timestamp(c: Column, layout: str) -> Column:
 
 def minute_text(ts: Column) -> Column:
     """'yyyy-MM-dd HH:mm:00' text of the timestamp truncated to the minute
-    (the text form of a minute-truncated timestamp without time zone)."""
-    return F.format_string(
-        "%04d-%02d-%02d %02d:%02d:00",
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts),
-    )
+    (the text form of a minute-truncated timestamp without time zone); NULL
+    for NULL."""
+    return F.concat(F.substring(ts.cast("timestamp_ntz").cast("string"), 1, 16), F.lit(":00"))

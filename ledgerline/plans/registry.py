@@ -73,7 +73,7 @@ def _stream_ingest(spec: FeedSpec) -> Callable[[SparkSession, str], DataFrame]:
         landing = os.path.join(base, "landing")
         write_feed_csv(landed_feeds(spark, sf_dir)[spec.name], landing, spec)
         raw = run_feed_ingest_once(spark, landing, os.path.join(base, "out"), spec,
-                                   checkpoint=os.path.join(base, "checkpoint"), max_files_per_trigger=2)
+                                   checkpoint=os.path.join(base, "checkpoint"))
         return raw.drop("_loaded_at")
     run.__name__ = f"stream_ingest_{spec.name}"
     return run

@@ -3,9 +3,43 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.sources.feeds import FeedSpec
 
+MALFORMED = "_malformed_line"
+
+
+def csv_options(reader, spec: FeedSpec):
+    """The options that batch and streaming reads of a feed share. Column
+    pruning is off, since it hides a line's surplus cells from the parser."""
+    return (reader.option("header", True).option("encoding", spec.encoding)
+            .option("quote", '"').option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .option("enforceSchema", False).option("mode", "PERMISSIVE").option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", MALFORMED))
+
+
+def csv_schema(columns) -> str:
+    return ", ".join(f"`{c.replace('`', '``')}` string" for c in [*columns, MALFORMED])
+
+
+def refuse_malformed(cells: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Fail the read on a line with more cells than the header, or with an
+    unbalanced quote (a newline inside a quoted cell, unless ``multi_line``
+    is on), rather than load it shifted. Lines with fewer cells load with the
+    rest missing."""
+    columns = [c for c in cells.columns if c != MALFORMED]
+    line = F.col(MALFORMED)
+    unquoted = F.regexp_replace(line, r'"(?:[^"]|"")*"', "")
+    bad = line.isNotNull() & (unquoted.contains('"') | (F.size(F.split(unquoted, ",")) > len(columns)))
+    # The message names a cell too: a filter on the malformed line alone is refused by the CSV source.
+    message = F.concat(F.lit(f"{spec.name}: line with surplus cells or an unbalanced quote (for newlines inside quotes "
+                             "use multi_line / --multiline): "),
+                       F.substring(line, 1, 200), F.substring(F.coalesce(F.col(f"`{columns[0]}`"), F.lit("")), 1, 0))
+    return cells.where(F.coalesce(F.when(bad, F.raise_error(message).cast("boolean")), F.lit(True))).select(
+        *[f"`{c}`" for c in columns])
+
 
 def read_feed_csv(spark: SparkSession, path: str, spec: FeedSpec, *, multi_line: bool = False) -> DataFrame:
     """Header CSV -> all-STRING DataFrame with the file's own column names.
@@ -13,21 +47,12 @@ def read_feed_csv(spark: SparkSession, path: str, spec: FeedSpec, *, multi_line:
     Quotes are escaped by doubling (``""``). Whitespace is kept verbatim.
     ``multi_line`` allows newlines inside quoted fields but makes each file a
     single split, so it is off by default: at scale, feeds without embedded
-    newlines should stay splittable. Column names come from the header, and
-    every file's header is checked against them (``enforceSchema`` off), so
-    a file with its columns in another order fails instead of being loaded
-    by position.
+    newlines should stay splittable; a feed that has some is refused with a
+    message that says so (:func:`refuse_malformed`). Column names come from
+    the header, and every file's header is checked against them
+    (``enforceSchema`` off), so a file with its columns in another order
+    fails instead of being loaded by position.
     """
-    return (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("encoding", spec.encoding)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    reader = lambda: csv_options(spark.read, spec).option("multiLine", multi_line)
+    header = reader().option("inferSchema", False).csv(path).columns
+    return refuse_malformed(reader().schema(csv_schema(header)).csv(path), spec)

@@ -20,27 +20,21 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline.operators import ingest
 from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.sources.csv_feed import csv_options, csv_schema, refuse_malformed
 from ledgerline.sources.feeds import FeedSpec
 
+# Bounds the micro-batch that two sinks share, whatever the backlog.
+FILES_PER_BATCH = 256
 
-def _csv_schema(spec: FeedSpec) -> StructType:
-    # File streams need a schema up front: every header column as text.
-    return StructType([StructField(h, StringType(), True) for h in spec.headers])
-
-
-def _stream(spark: SparkSession, landing_dir: str, spec: FeedSpec, max_files: int | None) -> DataFrame:
-    # The schema lists the headers; enforceSchema off makes every file's
-    # header be checked against it instead of mapping columns by position.
-    reader = (spark.readStream.schema(_csv_schema(spec)).option("header", True).option("enforceSchema", False)
-              .option("encoding", spec.encoding).option("quote", '"').option("escape", '"')
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(landing_dir)
+def _stream(spark: SparkSession, landing_dir: str, spec: FeedSpec, max_files: int) -> DataFrame:
+    # File streams need a schema up front: every header column as text. Each
+    # file's header is checked against it, so a file that lacks a column stops
+    # the stream, where the batch load reads the column as missing.
+    reader = csv_options(spark.readStream, spec).schema(csv_schema(spec.headers)).option("maxFilesPerTrigger", max_files)
+    return refuse_malformed(reader.csv(landing_dir), spec)
 
 
 def _batch_writer(out_root: str, spec: FeedSpec):
@@ -61,7 +55,7 @@ def _batch_writer(out_root: str, spec: FeedSpec):
 
 def start_feed_ingest(spark: SparkSession, landing_dir: str, out_root: str, spec: FeedSpec, *,
                       checkpoint: str | None = None, available_now: bool = True,
-                      max_files_per_trigger: int | None = None) -> StreamingQuery:
+                      max_files_per_trigger: int = FILES_PER_BATCH) -> StreamingQuery:
     """Start the ingest stream for one feed; returns the running query."""
     checkpoint = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "streams", f"ingest-{spec.name}")
     writer = (_stream(spark, landing_dir, spec, max_files_per_trigger).writeStream
@@ -73,7 +67,7 @@ def start_feed_ingest(spark: SparkSession, landing_dir: str, out_root: str, spec
 
 
 def run_feed_ingest_once(spark: SparkSession, landing_dir: str, out_root: str, spec: FeedSpec,
-                         checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                         checkpoint: str | None = None, max_files_per_trigger: int = FILES_PER_BATCH) -> DataFrame:
     """Process every file that has arrived, wait, and return the raw table."""
     q = start_feed_ingest(spark, landing_dir, out_root, spec, checkpoint=checkpoint,
                           max_files_per_trigger=max_files_per_trigger)
