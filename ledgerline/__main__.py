@@ -1,6 +1,6 @@
 """Command-line entry: one pipeline run, suitable for spark-submit.
 
-    spark-submit -m ledgerline run --landing <dir> --warehouse <dir>
+    spark-submit run_ledgerline.py run --landing <dir> --warehouse <dir>
     python -m ledgerline run --landing <dir> --warehouse <dir> [--master local[8]]
     python -m ledgerline check --warehouse <dir>
     python -m ledgerline query --warehouse <dir> --name q4_country_share [--out <dir>]
@@ -30,19 +30,18 @@ from ledgerline.sources.derived_feed import derived_feeds
 from ledgerline.sources.landing import land_feeds, read_landed
 
 
-BUSINESS = {name: getattr(business, name) for name in (
-    "q1_monthly_net_sales", "q1b_monthly_net_short", "q2_category_returns", "q3a_top_net_revenue",
-    "q3b_top_return_rate", "q4_country_share", "q5_guest_vs_identified", "q6a_distinct_products",
-    "q6b_description_variants", "q7_quality_candidates", "v1_layer_counts", "v2_layer_counts_short")}
+BUSINESS = {name: getattr(business, name) for name in business.QUESTIONS}
+GROWS = {"q6b_description_variants"}  # one row per product: written, not shown whole
 
 
 def _session(master: str | None) -> SparkSession:
     if master:
-        return build_session(master=master)
+        return build_session(master=master, shuffle_partitions=None)
     # Under spark-submit the cluster settings win; only fill in our defaults.
     spark = SparkSession.builder.getOrCreate()
     for key, value in SESSION_DEFAULTS.items():
-        if key != "spark.ui.enabled" and spark.conf.get(key, None) is None:
+        # launch-time settings are the cluster's
+        if spark.conf.isModifiable(key) and spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
@@ -65,7 +64,7 @@ def main(argv: list[str] | None = None) -> None:
     qp.add_argument("--warehouse", required=True)
     qp.add_argument("--name", required=True, choices=sorted(BUSINESS))
     qp.add_argument("--out", help="write the full result here as CSV instead of showing it")
-    qp.add_argument("--rows", type=int, default=50, help="rows to show when --out is not given")
+    qp.add_argument("--rows", type=int, help="show only so many rows (default: all)")
     qp.add_argument("--master")
     d = sub.add_parser("derive", help="land feeds derived from the driver tables as CSV")
     d.add_argument("--sf-dir", required=True)
@@ -81,7 +80,9 @@ def main(argv: list[str] | None = None) -> None:
             as_output(result).write.mode("overwrite").option("header", True).csv(args.out)
             print(json.dumps({"query": args.name, "out": args.out}))
         else:
-            as_output(result).show(args.rows, truncate=False)
+            if args.rows is None and args.name in GROWS:
+                p.error(f"{args.name} grows with the data: give --out, or --rows for a look at it")
+            as_output(result).show(args.rows or max(1, result.count()), truncate=False)
         return
     if args.cmd == "check":
         wh = open_warehouse(spark, args.warehouse)

@@ -10,24 +10,33 @@ from pyspark.sql import functions as F
 # Override per session with the conf key below.
 BROADCAST_ROWS_CONF = "ledgerline.dimension.broadcastMaxRows"
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# ... and only below this size by the planner's statistics (for a written
+# table: the file bytes of the columns in use).
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def broadcast_row_cap(fact: DataFrame) -> int:
     return int(fact.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Size of ``df`` by the optimizer's statistics."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
                    max_broadcast_rows: int | None = None,
                    dim_rows: int | None = None) -> DataFrame:
     """Equi-join a (many-to-one) dimension.
 
     When ``dim_rows`` is known (a materialised dimension, whose count comes
-    from Parquet footers) and is under the cap, the dimension is broadcast.
+    from Parquet footers) and is under the cap, and the planner knows it to be under MAX_BROADCAST_BYTES,
+    it is broadcast.
     Otherwise the join is left to the planner: AQE re-plans it as a
     broadcast from the measured shuffle size when that is small, and keeps a
     sort-merge join -- with skew-split of hot keys -- when it is not.
     """
     cap = max_broadcast_rows if max_broadcast_rows is not None else broadcast_row_cap(fact)
-    if dim_rows is not None and dim_rows <= cap:
+    if dim_rows is not None and dim_rows <= cap and planned_bytes(dim) <= MAX_BROADCAST_BYTES:
         dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)

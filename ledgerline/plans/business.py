@@ -7,7 +7,7 @@ for the presentation cast).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.ratios import round_ratio
@@ -91,15 +91,15 @@ def q3b_top_return_rate(wh: Warehouse, k: int = 10, min_units: int = 5) -> DataF
 
 
 def q4_country_share(wh: Warehouse) -> DataFrame:
-    """Share of all invoices per country. The grand total is a scalar
-    subquery over the per-country rows, so no operator has to gather rows
-    into a single partition."""
+    """Share of all invoices per country. The grand total is a window over
+    the per-country rows (one row per country, whatever the mart's size), so
+    the mart is read once."""
     per_country = wh.mart_revenue_producto.groupBy("nombre_pais").agg(
         F.sum("num_facturas").alias("total_facturas"),
         F.sum("cantidad_vendida").alias("total_unidades"),
         F.sum("revenue_ventas").alias("revenue_total"),
     )
-    grand = per_country.select(F.sum("total_facturas")).scalar()
+    grand = F.sum("total_facturas").over(Window.partitionBy())
     return (
         per_country.select(
             "nombre_pais", "total_facturas", "total_unidades", "revenue_total",
@@ -191,3 +191,10 @@ def v1_layer_counts(wh: Warehouse) -> DataFrame:
 
 def v2_layer_counts_short(wh: Warehouse) -> DataFrame:
     return _layer_counts(wh, LAYER_COUNT_TABLES_SHORT, "count")
+
+
+QUESTIONS = (
+    "q1_monthly_net_sales", "q1b_monthly_net_short", "q2_category_returns", "q3a_top_net_revenue",
+    "q3b_top_return_rate", "q4_country_share", "q5_guest_vs_identified", "q6a_distinct_products",
+    "q6b_description_variants", "q7_quality_candidates", "v1_layer_counts", "v2_layer_counts_short",
+)

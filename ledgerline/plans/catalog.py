@@ -13,6 +13,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from ledgerline.plans import business
+from ledgerline.plans.pipeline import open_warehouse
 from ledgerline.plans.warehouse import MART_TABLES
 from ledgerline.sources.feeds import FEEDS
 from ledgerline.sources.runs import latest_run_dir, run_dir
@@ -29,13 +31,14 @@ def register_tables(spark: SparkSession, warehouse: str, tables=LAYER_TABLES,
     """Point the catalog at a published run (the newest unless ``run_id``)."""
     root = run_dir(warehouse, run_id) if run_id else latest_run_dir(spark, warehouse)
     registered = []
+    quoted = lambda path: path.replace("\\", "\\\\").replace("'", "\\'")
     for db in sorted({t.split(".")[0] for t in tables}):
         # The database folder sits beside the data it describes, not in the
         # process's working directory.
-        location = os.path.join(root, "_catalog", f"{db}.db").replace("'", "\\'")
+        location = quoted(os.path.join(root, "_catalog", f"{db}.db"))
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{location}'")
     for name in tables:
-        path = table_path(root, name).replace("'", "\\\\'")
+        path = quoted(table_path(root, name))
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         if name == "raw.rejected_records":
             # One folder per feed (source_table=<feed>): declare the partition
@@ -49,3 +52,12 @@ def register_tables(spark: SparkSession, warehouse: str, tables=LAYER_TABLES,
             spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
         registered.append(name)
     return registered
+
+
+def register_questions(spark: SparkSession, warehouse: str, run_id: str | None = None) -> list[str]:
+    """Each business question over a published run as a temporary view of its
+    name, so that ``SELECT * FROM q4_country_share`` gives its result."""
+    wh = open_warehouse(spark, warehouse, run_id)
+    for name in business.QUESTIONS:
+        getattr(business, name)(wh).createOrReplaceTempView(name)
+    return list(business.QUESTIONS)

@@ -24,7 +24,7 @@ SESSION_DEFAULTS = {
 
 def build_session(
     master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = 8,
     app_name: str = "ledgerline",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
@@ -32,7 +32,8 @@ def build_session(
     from spark-submit and only need :func:`ensure_checkpoint_dir`)."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SESSION_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
     for key, value in conf.items():

@@ -1,39 +0,0 @@
-"""Catalog tables and the SQL business questions equal the DataFrame ones."""
-
-import pytest
-
-from ledgerline.plans import business
-from ledgerline.plans.business_sql import QUERIES
-from ledgerline.plans.catalog import register_tables
-from ledgerline.plans.pipeline import open_warehouse, run
-from ledgerline.plans.present import as_output
-from ledgerline.sources.derived_feed import derived_feeds
-from ledgerline.sources.landing import land_feeds, read_landed
-from conftest import SF_SMALL
-
-
-@pytest.fixture(scope="module")
-def warehouse_root(spark, tmp_path_factory):
-    base = tmp_path_factory.mktemp("sqlwh")
-    land_feeds(derived_feeds(spark, SF_SMALL), str(base / "landing"))
-    root = str(base / "wh")
-    run(spark, read_landed(spark, str(base / "landing")), root)
-    register_tables(spark, root)
-    return root
-
-
-@pytest.mark.parametrize("key", sorted(QUERIES))
-def test_sql_equals_dataframe(spark, warehouse_root, key):
-    wh = open_warehouse(spark, warehouse_root)
-    got = as_output(spark.sql(QUERIES[key]))
-    want = as_output(getattr(business, key)(wh))
-    assert got.columns == want.columns
-    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
-
-
-def test_catalog_counts(spark, warehouse_root):
-    rows = {r.source_table: r.n for r in spark.sql(
-        "SELECT source_table, COUNT(*) AS n FROM raw.rejected_records GROUP BY source_table").collect()}
-    assert rows == {"ecommerce_data": 42, "online_retail_ii": 33}
-    assert spark.sql("SELECT COUNT(*) FROM staging.stg_transactions_unified").first()[0] == 5803
-    assert spark.sql("SELECT COUNT(*) FROM quality.check_results WHERE failures > 0").first()[0] == 0
