@@ -29,7 +29,9 @@ from ledgerline.llm.common import ship_package, texts
 MAX_POSITIVES = 4_000
 MAX_UNLABELLED = 8_000
 FOLDS, HELD_OUT = 3, 1
-STEPS, BATCH, RATE, DECAY = 2_000, 512, 0.02, 1e-3
+STEPS, BATCH, RATE = 2_500, 512, 0.03
+DECAY = 0.5  # over the number of unlabelled rows
+MARGIN = 0.5  # of the sampling error, in the estimate of the prior
 SEED = 7
 
 _SIGNS = b"|!#$%&*<>{}=_/\\@~^+"
@@ -112,22 +114,28 @@ def _fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None) -> M
             # risk of bad documents: that of the unlabelled less that of the good among them
             bad = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
             grad = prior * as_good + u_bad - prior * as_bad if bad >= 0 else prior * as_bad - u_bad
-        grad = grad + DECAY * w
+        grad = grad + DECAY / len(u_rows) * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     return model
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Share of positives among the unlabelled. On halves that did not fit the
-    separating model: the smallest ratio, over score thresholds, of the
-    unlabelled to the positive share above the threshold, with a margin for
-    the sampling error of both."""
-    model = _fit(positive[::2], unlabelled[::2], None)
-    p, u = np.sort(model.margin(positive[1::2])), np.sort(model.margin(unlabelled[1::2]))
+    """Share of positives among the unlabelled: the smallest ratio, over score
+    thresholds, of the unlabelled to the positive share above the threshold,
+    with a margin for the sampling error of both. Each half is scored by a
+    separating model fitted on the other, and the halves' ranks are pooled."""
+    p_ranks, u_ranks = [], []
+    for own, other in ((0, 1), (1, 0)):
+        model = _fit(positive[other::2], unlabelled[other::2], None)
+        p, u = model.margin(positive[own::2]), model.margin(unlabelled[own::2])
+        order = np.sort(np.concatenate([p, u]))
+        p_ranks.append(np.searchsorted(order, p) / len(order))
+        u_ranks.append(np.searchsorted(order, u) / len(order))
+    p, u = np.sort(np.concatenate(p_ranks)), np.sort(np.concatenate(u_ranks))
     above = lambda s: 1.0 - np.searchsorted(s, p, side="left") / max(1, len(s))
     qp, qu = above(p), above(u)
-    slack = math.sqrt(math.log(40) / 2) * (1 / math.sqrt(max(1, len(p))) + 1 / math.sqrt(max(1, len(u))))
+    slack = MARGIN * (1 / math.sqrt(max(1, len(p))) + 1 / math.sqrt(max(1, len(u))))
     enough = qp > 0.02
     at = int(np.argmin(np.where(enough, (qu + slack) / np.maximum(qp, 1e-9), np.inf)))
     return float(np.clip(qu[at] / max(qp[at], 1e-9), 0.05, 0.98))
@@ -151,7 +159,7 @@ def _sample(docs: DataFrame, ids: DataFrame, most: int) -> np.ndarray:
                 names=["doc_id", "x"])
 
     rows = chosen.mapInArrow(run, "doc_id bigint, x array<double>").dropDuplicates(["doc_id"]).collect()
-    return np.array([r.x for r in sorted(rows, key=lambda r: r.doc_id)], np.float64).reshape(len(rows), -1)
+    return np.array([r.x for r in sorted(rows, key=lambda r: r.doc_id)], np.float64)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
