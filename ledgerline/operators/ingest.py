@@ -5,7 +5,8 @@ A feed frame (all STRING, CSV header names) becomes
     quarantine record serialises), plus the ``is_rejected`` flag;
   * ``raw``    -- accepted rows, every missing cell stored as '';
   * ``rejects``-- quarantined rows as reject records.
-The split is one boolean column and two filters over the same scan.
+The split is one boolean column: a load writes every row once, partitioned
+by it (``split_rows``), and takes the reject records from the small part.
 """
 
 from __future__ import annotations
@@ -47,6 +48,14 @@ def raw_rows(flagged: DataFrame, spec: FeedSpec) -> DataFrame:
     )
 
 
+def split_rows(flagged: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Every row as a load stores it, with ``is_rejected``: accepted rows as in
+    :func:`raw_rows`, rejected ones as they came (a missing cell is NULL)."""
+    cells = [F.when(F.col("is_rejected"), F.col(c)).otherwise(F.coalesce(F.col(c), F.lit(""))).alias(c)
+             for c in spec.raw_columns]
+    return flagged.select(*cells, F.lit(spec.name).alias("_source"), "is_rejected")
+
+
 # The two-character escapes of a JSON string, as Python's json
 # module writes them; every other character below space, and everything from
 # DEL up, is written as a lowercase \uXXXX escape (surrogate pairs above U+FFFF).

@@ -62,15 +62,20 @@ def required_fields_filter(staged: DataFrame) -> DataFrame:
     return staged.dropna(subset=list(REQUIRED_COLUMNS))
 
 
-def union_sources(staged_by_priority: list[tuple[DataFrame, int]]) -> DataFrame:
-    """UNION ALL of the filtered feeds, each tagged with its priority."""
+def tag_sources(staged_by_priority: list[tuple[DataFrame, int]]) -> DataFrame:
+    """UNION ALL of the feeds, each tagged with its priority."""
     out = None
     for df, priority in staged_by_priority:
-        tagged = required_fields_filter(df).withColumn("source_priority", F.lit(priority))
+        tagged = df.withColumn("source_priority", F.lit(priority))
         out = tagged if out is None else out.unionByName(tagged)
     return out
 
 
+def union_sources(staged_by_priority: list[tuple[DataFrame, int]]) -> DataFrame:
+    """:func:`tag_sources` of the feeds' complete lines."""
+    return tag_sources([(required_fields_filter(df), priority) for df, priority in staged_by_priority])
+
+
 _TIE_BREAK = ("source_priority", "invoice_date_utc", "quantity", "unit_price",
               "customer_id", "country", "description")
 
@@ -119,11 +124,7 @@ def transaction_key(deduped: DataFrame) -> DataFrame:
 def unified_transactions(staged_by_priority: list[tuple[DataFrame, int]]) -> DataFrame:
     """Required-field filter, union, de-duplication, key and revenue, with
     the required-field test fused into the de-duplication window."""
-    tagged = None
-    for df, priority in staged_by_priority:
-        t = df.withColumn("source_priority", F.lit(priority))
-        tagged = t if tagged is None else tagged.unionByName(t)
-    deduped = dedupe_transactions(tagged, require=REQUIRED_COLUMNS)
+    deduped = dedupe_transactions(tag_sources(staged_by_priority), require=REQUIRED_COLUMNS)
     return transaction_key(deduped).withColumn(
         "revenue_bruto", F.col("quantity") * F.col("unit_price")
     ).select(*UNIFIED_COLUMNS)

@@ -3,8 +3,8 @@
 ``register_tables`` creates the databases ``raw``, ``staging``, ``marts`` and
 ``quality`` if absent and points one external Parquet table at each layer
 folder of the newest published run, so analysts can query ``marts.mart_revenue_producto`` etc. with
-``spark.sql``. Nothing is copied; re-registering after a new run refreshes
-the file listing.
+``spark.sql``. Nothing is copied; registering a newer run moves the tables'
+locations, so a table once registered is never missing.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from ledgerline.plans.pipeline import open_warehouse
 from ledgerline.plans.warehouse import MART_TABLES
 from ledgerline.sources.feeds import FEEDS
 from ledgerline.sources.runs import latest_run_dir, run_dir
-from ledgerline.sources.sinks import table_path
+from ledgerline.sources.sinks import RAW_TABLES, accepted_path, read_table, table_path
 
 LAYER_TABLES = (
     [f"raw.{f.name}" for f in FEEDS] + ["raw.rejected_records", "staging.stg_transactions_unified"]
@@ -38,22 +38,35 @@ def register_tables(spark: SparkSession, warehouse: str, tables=LAYER_TABLES,
         location = quoted(os.path.join(root, "_catalog", f"{db}.db"))
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{location}'")
     for name in tables:
-        path = quoted(table_path(root, name))
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        if name == "raw.rejected_records":
-            # One folder per feed (source_table=<feed>): declare the partition
-            # column (the schema comes from the files) and register the folders.
-            schema = spark.read.parquet(table_path(root, name)).schema
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet PARTITIONED BY (source_table) "
-                      f"LOCATION '{path}'")
-            spark.catalog.recoverPartitions(name)
+        # a feed's raw table is the accepted part of its load
+        path = quoted(accepted_path(root, name) if name in RAW_TABLES else table_path(root, name))
+        parts = [f"PARTITION (source_table = '{f.name}')" for f in FEEDS] if name == "raw.rejected_records" else []
+        where = [quoted(os.path.join(table_path(root, name), f"source_table={f.name}")) for f in FEEDS]
+        if spark.catalog.tableExists(name):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            for part, folder in zip(parts, where):
+                spark.sql(f"ALTER TABLE {name} {part} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(name)
         else:
-            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read_table(spark, root, name).schema)
+            by = "PARTITIONED BY (source_table)" if parts else ""
+            spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet {by} LOCATION '{path}'")
+            for part, folder in zip(parts, where):
+                spark.sql(f"ALTER TABLE {name} ADD {part} LOCATION '{folder}'")
         registered.append(name)
     return registered
 
 
+def register_staging(spark: SparkSession, warehouse: str, run_id: str | None = None) -> list[str]:
+    """The typed lines of each feed over a published run's raw tables, as the
+    temporary views ``stg_ecommerce`` and ``stg_online_retail``."""
+    wh = open_warehouse(spark, warehouse, run_id)
+    names = ["stg_ecommerce", "stg_online_retail"]
+    for name in names:
+        wh.table(f"staging.{name}").createOrReplaceTempView(name)
+    return names
+
+
 def register_questions(spark: SparkSession, warehouse: str, run_id: str | None = None) -> list[str]:
     """Each business question over a published run as a temporary view of its
     name, so that ``SELECT * FROM q4_country_share`` gives its result."""

@@ -1,7 +1,10 @@
 """Registry of every operator and query as ``(spark, sf_dir) -> DataFrame``.
 
 Each entry reads the driver tables (through the derived feeds) and runs the
-operator over the whole data. Outputs pass through ``present.as_output``:
+operator over the whole data. The first use of a data directory in a session
+writes its feeds and runs the pipeline over them, below spark.checkpoint.dir;
+steps read the written layers they follow, and a layer's own entry is that
+layer as the pipeline wrote it. Outputs pass through ``present.as_output``:
 exact decimals become DOUBLE and dates midnight timestamps at this boundary.
 """
 
@@ -24,23 +27,54 @@ from ledgerline.functions.text import normalize_code, normalize_description
 from ledgerline.functions.timestamps import parse_feed_timestamp
 from ledgerline.operators import dimensions, ingest, mart, quality, staging
 from ledgerline.plans import business
+from ledgerline.plans.pipeline import open_warehouse, run as run_pipeline
 from ledgerline.plans.present import as_output
-from ledgerline.plans.warehouse import Warehouse, landed_feeds
+from ledgerline.plans.warehouse import Warehouse
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.csv_feed import read_feed_csv
+from ledgerline.sources.derived_feed import derived_feeds
 from ledgerline.sources.feeds import ECOMMERCE, ONLINE_RETAIL, FeedSpec
 from ledgerline.sources.landing import write_feed_csv
+from ledgerline.sources.sinks import read_table, write_table
 from ledgerline.streaming.landing_ingest import run_feed_ingest_once
 
-_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+_MADE: dict[tuple[str, ...], object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[str], object]):
+    """``make(folder)`` once per session, data directory and purpose."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _MADE:
+        _MADE[key] = make(os.path.join(ensure_checkpoint_dir(spark), "registry", f"{what}-{uuid.uuid4().hex}"))
+    return _MADE[key]
+
+
+def landed_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The derived feeds as written tables, the stand-in for landed files."""
+    def make(root: str) -> dict[str, DataFrame]:
+        feeds = derived_feeds(spark, sf_dir)
+        for name, df in feeds.items():
+            write_table(df, root, f"feeds.{name}")
+        return {name: read_table(spark, root, f"feeds.{name}") for name in feeds}
+    return _once(spark, sf_dir, "feeds", make)
+
+
+def landed_csv(spark: SparkSession, sf_dir: str, spec: FeedSpec) -> str:
+    """Folder of a derived feed as header CSV (the feed's own encoding,
+    whitespace kept, quotes doubled)."""
+    return _once(spark, sf_dir, f"landing-{spec.name}",
+                 lambda path: write_feed_csv(landed_feeds(spark, sf_dir)[spec.name], path, spec))
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """One lineage-cut warehouse per session and data directory."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = Warehouse.from_driver_tables(spark, sf_dir, cut_lineage=True)
-    return _WAREHOUSES[key]
+    """A pipeline run over the derived feeds, one per session and directory.
+    The feeds hold faults on purpose, so the key gates (keys of their own)
+    do not stop the run."""
+    def make(root: str) -> Warehouse:
+        feeds = landed_feeds(spark, sf_dir)
+        run_pipeline(spark, feeds, root, gates=False, checks=False)
+        return open_warehouse(spark, root, feeds=feeds)
+    return _once(spark, sf_dir, "warehouse", make)
 
 
 def _wh(fn: Callable[[Warehouse], DataFrame], as_double: tuple[str, ...] = ()) -> Callable[[SparkSession, str], DataFrame]:
@@ -53,14 +87,10 @@ def _wh(fn: Callable[[Warehouse], DataFrame], as_double: tuple[str, ...] = ()) -
 # ---- sources ---------------------------------------------------------------
 
 def _csv_roundtrip(spec: FeedSpec) -> Callable[[SparkSession, str], DataFrame]:
-    """Land the derived feed as header CSV in the shared checkpoint folder
-    (the feed's own encoding, whitespace kept, quotes doubled), scan it back
-    with the feed reader and return the raw cells."""
+    """Land the derived feed as CSV, scan it back with the feed reader and
+    return the raw cells."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        base = ensure_checkpoint_dir(spark)
-        path = os.path.join(base, "landing", f"{spec.name}-{uuid.uuid4().hex}")
-        write_feed_csv(landed_feeds(spark, sf_dir)[spec.name], path, spec)
-        return ingest.feed_cells(read_feed_csv(spark, path, spec), spec)
+        return ingest.feed_cells(read_feed_csv(spark, landed_csv(spark, sf_dir, spec), spec), spec)
     run.__name__ = f"csv_ingest_{spec.name}"
     return run
 
@@ -69,11 +99,9 @@ def _stream_ingest(spec: FeedSpec) -> Callable[[SparkSession, str], DataFrame]:
     """Land the derived feed as CSV files and load it with the streaming
     ingest (availableNow); the result must equal the batch raw table."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        base = os.path.join(ensure_checkpoint_dir(spark), "stream-ingest", f"{spec.name}-{uuid.uuid4().hex}")
-        landing = os.path.join(base, "landing")
-        write_feed_csv(landed_feeds(spark, sf_dir)[spec.name], landing, spec)
-        raw = run_feed_ingest_once(spark, landing, os.path.join(base, "out"), spec,
-                                   checkpoint=os.path.join(base, "checkpoint"))
+        landing = landed_csv(spark, sf_dir, spec)
+        raw = _once(spark, sf_dir, f"stream-{spec.name}", lambda base: run_feed_ingest_once(
+            spark, landing, os.path.join(base, "out"), spec, checkpoint=os.path.join(base, "checkpoint")))
         return raw.drop("_loaded_at")
     run.__name__ = f"stream_ingest_{spec.name}"
     return run
@@ -168,7 +196,9 @@ def _union_sources(wh: Warehouse) -> DataFrame:
 
 
 def _dedupe(wh: Warehouse) -> DataFrame:
-    return staging.dedupe_transactions(staging.union_sources(_staged_pairs(wh))).drop("source_priority")
+    # as the pipeline does it: incomplete lines ranked last, not filtered first
+    return staging.dedupe_transactions(staging.tag_sources(_staged_pairs(wh)), require=staging.REQUIRED_COLUMNS).drop(
+        "source_priority")
 
 
 def _transaction_key(wh: Warehouse) -> DataFrame:
@@ -178,7 +208,7 @@ def _transaction_key(wh: Warehouse) -> DataFrame:
 
 def _table(name: str) -> Callable[[Warehouse], DataFrame]:
     def fn(wh: Warehouse) -> DataFrame:
-        return wh.table(name)
+        return wh.table(name).drop("_loaded_at", "rejected_at")  # the time of the load
     return fn
 
 

@@ -15,7 +15,8 @@ import os
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MARKER = "_RUN_COMPLETE"
 
@@ -35,17 +36,22 @@ def mark_complete(spark: SparkSession, root: str, run_id: str, summary: dict) ->
         "errorifexists").json(os.path.join(run_dir(root, run_id), MARKER))
 
 
-def completed_runs(spark: SparkSession, root: str) -> list[str]:
-    """Ids of published runs, oldest first (one small row per run)."""
+def _markers(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        markers = spark.read.schema("run_id string").json(os.path.join(root, "runs", "*", MARKER))
+        return spark.read.schema("run_id string").json(os.path.join(root, "runs", "*", MARKER))
     except AnalysisException:
-        return []
-    return sorted(r.run_id for r in markers.select("run_id").distinct().collect())
+        return None
+
+
+def completed_runs(spark: SparkSession, root: str) -> list[str]:
+    """Ids of published runs, oldest first (one small row per run)."""
+    markers = _markers(spark, root)
+    return sorted(r.run_id for r in markers.distinct().collect()) if markers is not None else []
 
 
 def latest_run_dir(spark: SparkSession, root: str) -> str:
-    runs = completed_runs(spark, root)
-    if not runs:
+    markers = _markers(spark, root)
+    newest = markers.agg(F.max("run_id")).first()[0] if markers is not None else None
+    if newest is None:
         raise FileNotFoundError(f"no completed pipeline run under {root}")
-    return run_dir(root, runs[-1])
+    return run_dir(root, newest)

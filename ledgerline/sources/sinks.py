@@ -1,6 +1,7 @@
 """Layer sinks: Parquet tables under a warehouse folder.
 
-Layout: ``<root>/raw/<table>``, ``<root>/raw/rejected_records/source_table=<feed>``,
+Layout: ``<root>/raw/<feed>/is_rejected=<flag>`` (the raw table is the part
+with ``false``), ``<root>/raw/rejected_records/source_table=<feed>``,
 ``<root>/staging/<table>``, ``<root>/marts/<table>``. Every table is rebuilt
 in full on each run (overwrite), like the truncate-and-load of the original
 pipeline; a job only ever overwrites its own output and reads upstream
@@ -12,6 +13,14 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline.sources.feeds import FEEDS, FeedSpec
+
+RAW_TABLES = {f"raw.{f.name}": f for f in FEEDS}
+# With this many open files per task a write partitioned by a flag needs no
+# sort by it; beyond, Spark falls back to sorting.
+OPEN_FILES_CONF = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def table_path(root: str, qualified: str) -> str:
@@ -25,6 +34,28 @@ def write_table(df: DataFrame, root: str, qualified: str) -> str:
     return path
 
 
+def raw_schema(spec: FeedSpec) -> str:
+    return ", ".join(f"{c} string" for c in (*spec.raw_columns, "_source")) + ", _loaded_at timestamp"
+
+
+def accepted_path(root: str, qualified: str) -> str:
+    return os.path.join(table_path(root, qualified), "is_rejected=false")
+
+
+def write_split(df: DataFrame, path: str) -> None:
+    """One write of a feed's accepted and rejected rows, a folder for each."""
+    conf = df.sparkSession.conf
+    if int(conf.get(OPEN_FILES_CONF, "0")) < 2:
+        conf.set(OPEN_FILES_CONF, "2")
+    df.write.mode("overwrite").partitionBy("is_rejected").parquet(path)
+
+
+def read_split(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
+    """What :func:`write_split` wrote, with ``is_rejected``; a filter on it
+    prunes files. The schema is given, since a part without rows has no file."""
+    return spark.read.schema(raw_schema(spec) + ", is_rejected boolean").parquet(path)
+
+
 def write_rejects(df: DataFrame, root: str, source_table: str) -> str:
     """Replace one feed's quarantine partition, leaving the other feed's
     intact. The partition folder is overwritten explicitly, so a run with
@@ -38,4 +69,6 @@ def read_table(spark: SparkSession, root: str, qualified: str) -> DataFrame:
     path = table_path(root, qualified)
     if qualified == "raw.rejected_records":
         return spark.read.option("basePath", path).parquet(path)
+    if qualified in RAW_TABLES:
+        return read_split(spark, path, RAW_TABLES[qualified]).where(~F.col("is_rejected")).drop("is_rejected")
     return spark.read.parquet(path)

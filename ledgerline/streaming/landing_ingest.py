@@ -9,14 +9,14 @@ record progress, and ``trigger(availableNow=True)`` gives the scheduled
 
 Each micro-batch writes its raw rows and rejects under a folder named after
 the batch id, with overwrite: if a batch is replayed after a failure, it
-replaces its own output instead of duplicating it.
+replaces its own output instead of duplicating it. :func:`streamed_feeds`
+hands what has been loaded to the batch pipeline.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,9 +24,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerline.operators import ingest
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.csv_feed import csv_options, csv_schema, refuse_malformed
-from ledgerline.sources.feeds import FeedSpec
+from ledgerline.sources.feeds import FEEDS, FeedSpec
+from ledgerline.sources.sinks import read_split, write_split
 
-# Bounds the micro-batch that two sinks share, whatever the backlog.
+# Bounds a micro-batch, whatever the backlog.
 FILES_PER_BATCH = 256
 
 def _stream(spark: SparkSession, landing_dir: str, spec: FeedSpec, max_files: int) -> DataFrame:
@@ -37,19 +38,21 @@ def _stream(spark: SparkSession, landing_dir: str, spec: FeedSpec, max_files: in
     return refuse_malformed(reader.csv(landing_dir), spec)
 
 
+def _raw_folder(out_root: str, spec: FeedSpec) -> str:
+    return os.path.join(out_root, "raw", spec.name)
+
+
 def _batch_writer(out_root: str, spec: FeedSpec):
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Two sinks read the micro-batch (bounded by maxFilesPerTrigger), so
-        # it is parsed once and kept for the duration of this call.
-        flagged = ingest.flag_rejects(ingest.feed_cells(batch, spec), spec).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            (ingest.raw_rows(flagged, spec).withColumn("_loaded_at", F.current_timestamp())
-             .write.mode("overwrite").parquet(os.path.join(out_root, "raw", spec.name, f"batch={batch_id}")))
-            (ingest.reject_records(flagged, spec).drop("source_table").withColumn("rejected_at", F.current_timestamp())
-             .write.mode("overwrite").parquet(os.path.join(
-                 out_root, "raw", "rejected_records", f"source_table={spec.name}", f"batch={batch_id}")))
-        finally:
-            flagged.unpersist()
+        # The micro-batch is parsed once; the reject records come from the
+        # rejected rows as written.
+        flagged = ingest.flag_rejects(ingest.feed_cells(batch, spec), spec)
+        path = os.path.join(_raw_folder(out_root, spec), f"batch={batch_id}")
+        write_split(ingest.split_rows(flagged, spec).withColumn("_loaded_at", F.current_timestamp()), path)
+        rejects = ingest.reject_records(read_split(batch.sparkSession, path, spec), spec)
+        (rejects.drop("source_table").withColumn("rejected_at", F.current_timestamp())
+         .write.mode("overwrite").parquet(os.path.join(
+             out_root, "raw", "rejected_records", f"source_table={spec.name}", f"batch={batch_id}")))
     return write
 
 
@@ -78,5 +81,16 @@ def run_feed_ingest_once(spark: SparkSession, landing_dir: str, out_root: str, s
 
 
 def read_streamed_raw(spark: SparkSession, out_root: str, spec: FeedSpec) -> DataFrame:
-    path = os.path.join(out_root, "raw", spec.name)
-    return spark.read.option("basePath", path).parquet(path).drop("batch")
+    rows = read_split(spark, _raw_folder(out_root, spec), spec)
+    return rows.where(~F.col("is_rejected")).drop("is_rejected", "batch")
+
+
+def streamed_feeds(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
+    """Everything the two ingest streams have loaded so far, rejected rows
+    included, as feeds for ``plans.pipeline.run``: the batch pipeline then
+    gives what it would over the files themselves."""
+    feeds = {}
+    for spec in FEEDS:
+        rows = read_split(spark, _raw_folder(out_root, spec), spec)
+        feeds[spec.name] = rows.select(*[F.col(c).alias(h) for c, h in zip(spec.raw_columns, spec.headers)])
+    return feeds

@@ -98,3 +98,18 @@ def test_driver_table_scans_are_pruned(spark):
         sorted(["c_custkey", "c_nationkey"]),
         sorted(["n_nationkey", "n_name"]),
     ])
+
+
+def test_registered_steps_read_written_layers(spark):
+    import re
+
+    # Column-pruned Parquet scans everywhere: no row checkpoints in a plan.
+    plans = {k: _plan(fn(spark, SF_SMALL)) for k, fn in QUERIES.items()}
+    assert not [k for k, plan in plans.items() if "ExistingRDD" in plan]
+
+    def scanned(key):
+        return {c.split("#")[0] for cols in re.findall(r"FileScan parquet \[([^\]]*)\]", plans[key]) for c in cols.split(",")}
+
+    assert scanned("description_frequency") == {"stock_code", "description"}
+    assert scanned("q1b_monthly_net_short") <= {"anio", "mes", "anio_mes", "revenue_neto"}
+    assert scanned("q6a_distinct_products") == {"codigo_producto"}

@@ -1,0 +1,89 @@
+"""SQL access: layers as catalog tables, staging and questions as views."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.plans.catalog import register_questions, register_staging, register_tables
+from ledgerline.plans.pipeline import open_warehouse, run
+from ledgerline.sources.feeds import ECOMMERCE, FEEDS, ONLINE_RETAIL
+
+LINES = {
+    ECOMMERCE.name: [("1", "A", "RED BAG", "2", "12/1/2010 8:00", "1.50", "7", "France"),
+                     ("2", "B", "TIN", "1", "12/1/2010 9:00", "0", "7", "France")],
+    ONLINE_RETAIL.name: [("3", "A", "RED BAG", "4", "2010-12-02 08:00:00", "1.50", None, "Spain")],
+}
+
+
+def _feeds(spark, lines=LINES):
+    return {f.name: spark.createDataFrame(lines[f.name], ", ".join(f"`{h}` string" for h in f.headers)) for f in FEEDS}
+
+
+@pytest.fixture
+def database_cleanup(spark):
+    yield
+    for db in ("raw", "staging", "marts", "quality"):
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_catalog_follows_the_newest_run(spark, tmp_path, database_cleanup):
+    root = str(tmp_path / "o'clock")  # a path with an apostrophe
+    run(spark, _feeds(spark), root)
+    names = register_tables(spark, root)
+    assert spark.table("raw.ecommerce_data").count() == 1
+    assert [r.source_table for r in spark.table("raw.rejected_records").collect()] == [ECOMMERCE.name]
+
+    more = {**LINES, ECOMMERCE.name: LINES[ECOMMERCE.name][:1] * 1 + [
+        ("4", "C", "MUG", "1", "12/3/2010 8:00", "2.00", "7", "France")]}
+    run(spark, _feeds(spark, more), root)
+    register_tables(spark, root)
+    wh = open_warehouse(spark, root)
+    for name in names:
+        if name != "quality.check_results":
+            assert spark.table(name).count() == wh.table(name).count(), name
+    assert spark.table("raw.rejected_records").count() == 0
+    assert spark.table("raw.ecommerce_data").count() == 2
+
+    assert register_staging(spark, root) == ["stg_ecommerce", "stg_online_retail"]
+    assert {r.stock_code for r in spark.sql("SELECT stock_code FROM stg_ecommerce").collect()} == {"A", "C"}
+    register_questions(spark, root)
+    assert spark.sql("SELECT * FROM q4_country_share").count() == 2
+
+
+def test_raw_load_reads_a_feed_once_and_replaces_its_rejects(spark, tmp_path):
+    from ledgerline.plans.pipeline import RunReport, load_raw
+    from ledgerline.sources.sinks import read_table
+
+    root = str(tmp_path)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    feeds = {name: df.mapInPandas(count, df.schema) for name, df in _feeds(spark).items()}
+    report = RunReport()
+    load_raw(spark, feeds, root, report)
+    assert report.counters == [(ECOMMERCE.name, 1, 1), (ONLINE_RETAIL.name, 1, 0)]
+    assert seen.value == 3
+    rejects = lambda: sorted((r.source_table, r.invoice_no) for r in read_table(spark, root, "raw.rejected_records").collect())
+    assert rejects() == [(ECOMMERCE.name, "2")]
+
+    # feed A has no rejects any more, feed B only has a reject
+    again = {ECOMMERCE.name: LINES[ECOMMERCE.name][:1],
+             ONLINE_RETAIL.name: [("9", "A", None, "4", "2010-12-02 08:00:00", "-1", None, "Spain")]}
+    load_raw(spark, _feeds(spark, again), root, RunReport())
+    assert rejects() == [(ONLINE_RETAIL.name, "9")]
+    assert read_table(spark, root, "raw.online_retail_ii").count() == 0
+    row = read_table(spark, root, "raw.rejected_records").first()
+    assert '"description": null' in row.raw_row
+
+
+def test_empty_feeds(spark, tmp_path):
+    from ledgerline.plans.pipeline import RunReport, load_raw
+    from ledgerline.sources.sinks import read_table
+
+    feeds = {name: df.where(F.lit(False)) for name, df in _feeds(spark).items()}
+    load_raw(spark, feeds, str(tmp_path), RunReport())
+    for name in ("raw.ecommerce_data", "raw.online_retail_ii", "raw.rejected_records"):
+        assert read_table(spark, str(tmp_path), name).count() == 0

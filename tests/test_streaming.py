@@ -39,3 +39,28 @@ def test_stream_ingest_incremental(spark, tmp_path):
         ECOMMERCE), ECOMMERCE)
     cols = list(ECOMMERCE.raw_columns)
     assert sorted(map(tuple, batch.select(cols).collect())) == sorted(map(tuple, raw.select(cols).collect()))
+
+
+def test_pipeline_over_streamed_feeds(spark, tmp_path):
+    """The batch pipeline over what the streams loaded equals that over the files."""
+    from ledgerline.plans.pipeline import open_warehouse, run
+    from ledgerline.sources.feeds import ONLINE_RETAIL
+    from ledgerline.sources.landing import read_landed
+    from ledgerline.streaming.landing_ingest import streamed_feeds
+
+    landing = tmp_path / "landing"
+    for spec, rows in ((ECOMMERCE, ["1,A,X,1,12/1/2010 8:00,1.00,5,France", "2,B,NA,1,12/1/2010 8:00,0,5,France"]),
+                       (ONLINE_RETAIL, ["3,A,X,2,2010-12-01 08:00:00,1.00,,Spain"])):
+        (landing / spec.name).mkdir(parents=True)
+        (landing / spec.name / "day1.csv").write_text("\n".join([",".join(spec.headers), *rows]) + "\n")
+        run_feed_ingest_once(spark, str(landing / spec.name), str(tmp_path / "out"), spec,
+                             checkpoint=str(tmp_path / "ckpt" / spec.name))
+    results = []
+    for feeds, root in ((streamed_feeds(spark, str(tmp_path / "out")), "streamed"), (read_landed(spark, str(landing)), "batch")):
+        report = run(spark, feeds, str(tmp_path / root))
+        wh = open_warehouse(spark, str(tmp_path / root))
+        results.append((sorted(report.counters), *(
+            sorted(map(str, wh.table(t).drop("_loaded_at", "rejected_at").collect()))
+            for t in ("raw.ecommerce_data", "raw.online_retail_ii", "raw.rejected_records", "marts.mart_revenue_producto"))))
+    assert results[0] == results[1]
+    assert results[0][0] == [(ECOMMERCE.name, 1, 1), (ONLINE_RETAIL.name, 1, 0)]
