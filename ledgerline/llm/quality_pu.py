@@ -3,8 +3,8 @@
 Trusted positives are documents labelled good, the unlabelled set is web text
 as it comes. The class prior is estimated from both (Garg et al., "Mixture
 Proportion Estimation and PU Learning", 2021: the smallest ratio of tail
-masses), and an additive logistic model minimises the non-negative unbiased
-risk (Kiryo et al., 2017). Bad documents need no labels.
+masses), and an additive model minimises the non-negative unbiased risk under
+the sigmoid loss (Kiryo et al., 2017). Bad documents need no labels.
 
 Features come from the text alone: character classes, word and line shapes,
 repetition. Both samples are bounded (``MAX_POSITIVES``, ``MAX_UNLABELLED``,
@@ -29,8 +29,10 @@ from ledgerline.llm.common import ship_package, texts
 MAX_POSITIVES = 4_000
 MAX_UNLABELLED = 8_000
 FOLDS, HELD_OUT = 3, 1
-STEPS, BATCH, RATE = 2_500, 512, 0.03
-DECAY = 0.5  # over the number of unlabelled rows
+STEPS, BATCH, RATE = 1_500, 1_024, 0.03
+# Weight decay over the number of unlabelled rows: of the model that tells the
+# samples apart, and of the PU model.
+DECAY_APART, DECAY = 0.5, 2.0
 MARGIN = 0.5  # of the sampling error, in the estimate of the prior
 SEED = 7
 
@@ -91,8 +93,10 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def _fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None) -> Model:
-    """Minimise the logistic risk with Adam: the non-negative PU risk for a
-    given ``prior``, or without one that of telling the two samples apart."""
+    """Minimise with Adam the non-negative PU risk for a given ``prior``, or
+    without one the logistic risk of telling the two samples apart. The PU
+    risk takes the sigmoid loss: it is bounded, so that the difference of two
+    means in it does not hang on how far out a few good documents lie."""
     both = np.concatenate([positive, unlabelled])
     edges = [np.unique(np.quantile(both[:, i], _LEVELS)) for i in range(both.shape[1])]
     model = Model(edges, np.zeros(sum(len(e) + 1 for e in edges) + 1), prior if prior is not None else 0.5)
@@ -106,28 +110,29 @@ def _fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None) -> M
     for step in range(1, STEPS + 1):
         u = u_rows[rng.integers(0, len(u_rows), BATCH)]
         p = p_rows[rng.integers(0, len(p_rows), BATCH)]
-        fp, fu = w[p].sum(axis=1), w[u].sum(axis=1)
-        as_good, as_bad, u_bad = push(p, -_sigmoid(-fp)), push(p, _sigmoid(fp)), push(u, _sigmoid(fu))
+        sp, su = _sigmoid(w[p].sum(axis=1)), _sigmoid(w[u].sum(axis=1))
         if prior is None:
-            grad = as_good + u_bad
+            grad = push(p, sp - 1) + push(u, su) + DECAY_APART / len(u_rows) * w
         else:
+            # the loss of a good document is 1 - s, that of a bad one s
+            p_slope, u_slope = push(p, sp * (1 - sp)), push(u, su * (1 - su))
             # risk of bad documents: that of the unlabelled less that of the good among them
-            bad = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-            grad = prior * as_good + u_bad - prior * as_bad if bad >= 0 else prior * as_bad - u_bad
-        grad = grad + DECAY / len(u_rows) * w
+            bad = su.mean() - prior * sp.mean()
+            grad = u_slope - 2 * prior * p_slope if bad >= 0 else prior * p_slope - u_slope
+            grad = grad + DECAY / len(u_rows) * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     return model
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Share of positives among the unlabelled: the smallest ratio, over score
-    thresholds, of the unlabelled to the positive share above the threshold,
-    with a margin for the sampling error of both. Each half is scored by a
-    separating model fitted on the other, and the halves' ranks are pooled."""
+def _smallest_ratio(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None) -> float:
+    """The smallest ratio, over score thresholds, of the unlabelled to the
+    positive share above the threshold, chosen with a margin for the sampling
+    error of both. Each half is scored by a model (:func:`_fit`) of the other,
+    and the halves' ranks are pooled."""
     p_ranks, u_ranks = [], []
     for own, other in ((0, 1), (1, 0)):
-        model = _fit(positive[other::2], unlabelled[other::2], None)
+        model = _fit(positive[other::2], unlabelled[other::2], prior)
         p, u = model.margin(positive[own::2]), model.margin(unlabelled[own::2])
         order = np.sort(np.concatenate([p, u]))
         p_ranks.append(np.searchsorted(order, p) / len(order))
@@ -141,6 +146,17 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(qu[at] / max(qp[at], 1e-9), 0.05, 0.98))
 
 
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Share of positives among the unlabelled: the mean of two estimates.
+
+    The first ranks by a model that tells the samples apart; with few rows it
+    mixes good and bad, so it errs upwards. The second ranks by the PU model
+    under the first estimate; it separates better, and the smallest of its
+    ratios errs downwards."""
+    first = _smallest_ratio(positive, unlabelled, None)
+    return (first + _smallest_ratio(positive, unlabelled, min(first, 0.95))) / 2
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo FOLDS (a null id: the empty text)."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(FOLDS))
