@@ -87,12 +87,13 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     marked = stage(exact_groups(docs, digest_all=True), "marked")
     gone = marked.where("not kept").select("doc_id", "text_sha256", "n_chars").distinct()
     stays = marked.where("kept").select("doc_id", "text_sha256", "n_chars")
-    # rows that repeat a kept row: their key is on both sides
-    repeated = stage(gone.join(stays, ["doc_id", "text_sha256", "n_chars"], "left_semi"), "repeated")
+    side = lambda t: t.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("n_chars").alias("__n"))
+    # rows that repeat a kept row: their key is on both sides, null ids equal
+    match = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_sha256") == F.col("__sha")) & (F.col("n_chars") == F.col("__n"))
+    repeated = stage(gone.join(side(stays), match, "left_semi"), "repeated")
     whole = F.coalesce("text", F.lit(""))
     same = (F.col("doc_id").eqNullSafe(F.col("__id")) & (F.sha2(normalised(whole), 256) == F.col("__sha"))
             & (F.char_length(whole) == F.col("__n")))
-    side = lambda t: t.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("n_chars").alias("__n"))
     left = docs.join(side(gone), same, "left_anti")
     if repeated.limit(1).count() == 0:
         return left
