@@ -1,14 +1,16 @@
 """Line dedup: a segment-partition edit join over the lines of all documents.
 
-Equal lines are one line. Two different lines of at least ``MIN_CHARS`` code
-points are linked if at most ``MAX_EDITS`` insertions, deletions or
-substitutions turn one into the other; lines linked directly or through
-others are one class, and its first line (by doc_id, line number) stays.
-
-The join (after Li et al., "PASS-JOIN", 2011): a line is cut into
-``MAX_EDITS + 1`` segments, of which at least one survives that many edits
-whole. Every line enters its segments in an index keyed by line length,
-segment number and content, and probes the index of each admissible length
+Equal lines are one line. Two different lines are linked if few insertions,
+deletions or substitutions turn one into the other: at most ``MAX_EDITS`` if
+the shorter one has ``MIN_CHARS`` code points or more, one if it is shorter
+than that, none if it has ``MAX_EDITS`` code points or fewer, which that many
+edits replace altogether. Lines linked directly or through others are one
+class, and its first line (by doc_id, line number) stays.
+
+The join (after Li et al., "PASS-JOIN", 2011): a line is cut into one segment
+more than it may have edits, of which at least one survives them whole. Every
+line enters its segments in an index keyed by line length, segment number and
+content, and probes the index of each admissible length, its own or shorter,
 with the substrings that can match there. Lines that meet under a key are
 candidates; their texts are then fetched and verified by banded bit-parallel
 edit distance.
@@ -35,7 +37,9 @@ from ledgerline.llm.common import order_key, ship_package, stage, texts
 from ledgerline.llm.components import connected_components
 
 MAX_EDITS = 2
-MIN_CHARS = 40
+# Lines from this many code points on may differ by MAX_EDITS, shorter ones by
+# one: two edits are a fifth of such a line, and most of a word or two.
+MIN_CHARS = 10
 MEET = 32
 BLOCK = 256
 # Candidate lines up to this many (8 bytes each) are broadcast to filter the
@@ -96,41 +100,49 @@ def within(a: str, b: str, k: int) -> bool:
     return distance <= k
 
 
+def allowed(length: int, edits: int, shortest: int) -> int:
+    """Edits that may lie between a line of ``length`` and one as long or longer."""
+    return 0 if length <= edits else edits if length >= shortest else min(edits, 1)
+
+
 @lru_cache(maxsize=100_000)
 def substrings(length: int, edits: int, shortest: int) -> tuple[tuple[tuple[int, int, int], ...], int]:
     """(seed, start, end) of what a line of ``length`` looks under: its own
     segments first (their number comes second in the result), then the
     substrings it probes indexes of its own and shorter lengths with, chosen
-    by the edits that can lie to the left and right of a match."""
-    parts = edits + 1
+    by the edits that can lie to the left and right of a match. The shorter of
+    two lines, which is the indexed one, decides how many edits are allowed."""
 
     def segments(n: int) -> list[tuple[int, int]]:
+        parts = allowed(n, edits, shortest) + 1
         size, longer = divmod(n, parts)
         sizes = [size + (i >= parts - longer) for i in range(parts)]
         starts = np.cumsum([0, *sizes]).tolist()
         return list(zip(starts, starts[1:]))
 
-    own = [(length * parts + i, a, b) for i, (a, b) in enumerate(segments(length))]
+    own = [(length * (edits + 1) + i, a, b) for i, (a, b) in enumerate(segments(length))]
     probes = []
-    for indexed in range(max(shortest, length - edits), length + 1):
-        shift = length - indexed
+    for indexed in range(max(edits + 1, length - edits), length + 1):
+        shift, most = length - indexed, allowed(indexed, edits, shortest)
+        if shift > most:
+            continue
         for i, (a, b) in enumerate(segments(indexed)):
-            right = edits - i
+            right = most - i
             for start in range(max(0, a - i, a + shift - right), min(length - (b - a), a + i, a + shift + right) + 1):
-                probe = (indexed * parts + i, start, start + b - a)
+                probe = (indexed * (edits + 1) + i, start, start + b - a)
                 if probe not in own:
                     probes.append(probe)
     return (*own, *probes), len(own)
 
 
 def _entries(docs: DataFrame, edits: int, shortest: int) -> DataFrame:
-    """(key, line, indexed): what every long enough line looks under. ``line``
+    """(key, line, indexed): what every line that may have edits looks under. ``line``
     is its 64-bit hash, the built-in xxhash64."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for batch in batches:
-            lines = {line for text in batch.column("text") for line in text.as_py().split("\n") if len(line) >= shortest and line.strip(" ")}
+            lines = {line for text in batch.column("text") for line in text.as_py().split("\n") if len(line) > edits and line.strip(" ")}
             keys: list[int] = []
             owners, counts, index_counts = [], [], []
             for line in lines:
@@ -211,17 +223,17 @@ def _meeting_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["a", "b", "key"])
 
 
-def _verify_pairs(edits: int):
+def _verify_pairs(edits: int, shortest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = [within(a, b, edits) for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist())]
+            near = [within(a, b, allowed(min(len(a), len(b)), edits, shortest)) for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist())]
             if any(near):
                 yield batch.select(["id_a", "id_b"]).filter(pa.array(near))
 
     return run
 
 
-def _verify_block(edits: int):
+def _verify_block(edits: int, shortest: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         first, other = rows[rows["block"] == rows["low"].iloc[0]], rows[rows["block"] == rows["high"].iloc[0]]
         parent: dict[str, str] = {}
@@ -238,7 +250,7 @@ def _verify_block(edits: int):
             for y, also in right[i + 1:] if same else right:
                 rx, ry = root(x), root(y)
                 # what is connected already needs no comparison
-                if rx != ry and within(text, also, edits):
+                if rx != ry and within(text, also, allowed(min(len(text), len(also)), edits, shortest)):
                     parent[max(rx, ry)] = min(rx, ry)
                     links.append((x, y))
         return pd.DataFrame(links, columns=["id_a", "id_b"])
@@ -254,21 +266,21 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def near_links(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHARS) -> DataFrame:
     """(id_a, id_b): links (MD5 of the lines) that connect all different lines
-    of at least ``shortest`` code points within ``edits`` edits of each other,
-    directly or through others."""
+    within the :func:`allowed` edits of each other, directly or through
+    others."""
     ship_package(docs.sparkSession)
     met = stage(_meetings(_entries(docs, edits, shortest)), "met")
     pairs = met.where("key is null").select("a", "b").distinct()
     crowds = met.where("key is not null").select("key", F.col("a").alias("line")).distinct()
     wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("hash")).unionByName(crowds.select(F.col("line").alias("hash")))
                    .distinct(), "wanted")
-    lines = lines_of(docs).where(F.char_length("line") >= shortest).select(F.xxhash64("line").alias("hash"), "line")
+    lines = lines_of(docs).where(F.char_length("line") > edits).select(F.xxhash64("line").alias("hash"), "line")
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
     found = stage(lines.join(side, "hash", "left_semi").distinct().select("hash", F.md5("line").alias("id"), "line"), "found")
     side_a = found.select(F.col("hash").alias("a"), F.col("id").alias("id_a"), F.col("line").alias("text_a"))
     side_b = found.select(F.col("hash").alias("b"), F.col("id").alias("id_b"), F.col("line").alias("text_b"))
     links = pairs.join(side_a, "a").join(side_b, "b").select("id_a", "id_b", "text_a", "text_b").mapInArrow(
-        _verify_pairs(edits), "id_a string, id_b string")
+        _verify_pairs(edits, shortest), "id_a string, id_b string")
     if crowds.limit(1).count() == 0:
         return links
     sizes = crowds.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -276,7 +288,7 @@ def near_links(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHAR
     tiles = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.col("line").alias("hash"), "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
     tiles = tiles.join(found, "hash").select("key", "low", "high", "block", "id", F.col("line").alias("text"))
-    return links.unionByName(tiles.groupBy("key", "low", "high").applyInPandas(_verify_block(edits), "id_a string, id_b string"))
+    return links.unionByName(tiles.groupBy("key", "low", "high").applyInPandas(_verify_block(edits, shortest), "id_a string, id_b string"))
 
 
 def line_classes(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHARS) -> DataFrame:

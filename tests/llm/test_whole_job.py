@@ -1,8 +1,10 @@
 """Small cases of jobs that were once done in part only."""
 
+import random
+
 import pytest
 
-from ledgerline.llm import exact_dedup
+from ledgerline.llm import exact_dedup, line_dedup
 
 
 @pytest.mark.parametrize("bound", [1 << 20, 0])
@@ -14,3 +16,44 @@ def test_exact_copies_without_ids(spark, monkeypatch, bound):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = [(r.doc_id, (r.text or "").replace(" ", ""), len(r.text or "")) for r in exact_dedup.drop_exact_copies(docs).collect()]
     assert sorted(got, key=str) == sorted([(None, "abc", 6), (None, "xy", 3), (None, "", 0), (3, "one", 3), (4, "lone", 4), (None, "single", 6)], key=str)
+
+
+def distance(a, b):
+    above = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (x != y)))
+        above = row
+    return above[-1]
+
+
+@pytest.mark.parametrize("meet", [32, 3])
+def test_short_near_lines(spark, monkeypatch, meet):
+    monkeypatch.setattr(line_dedup, "MEET", meet)
+    monkeypatch.setattr(line_dedup, "BLOCK", 4 if meet == 3 else 256)
+    r = random.Random(11)
+    lines = ["Thwhesnd esator whshing and hewh.", "Thwhesnd, esator whshing and hewh.", "Are, is anwh reenen.", "Are. Is anwh reenen.",
+             "ab", "ac", "é", "e"]
+    for n in (3, 4, 6, 8, 9, 10, 11, 12, 20, 38, 41):
+        for _ in range(4):
+            line = "".join(r.choice("abcdefghijklmnoé") for _ in range(n))
+            lines.append(line)
+            for _ in range(4):
+                near = list(line)
+                for _ in range(r.randint(1, 3)):
+                    at = r.randint(0, len(near))
+                    near[at:at + r.randint(0, 1)] = r.choice(["", "q", "é"])
+                lines.append("".join(near) or "x")
+    # brute force, the rule written out: two edits from 10 code points on, one from 3 on, none below
+    most = lambda n: 2 if n >= 10 else 1 if n >= 3 else 0
+    part = list(range(len(lines)))
+    for i in range(len(lines)):
+        for j in range(i):
+            if part[i] != part[j] and distance(lines[i], lines[j]) <= most(min(len(lines[i]), len(lines[j]))):
+                low, high = sorted((part[i], part[j]))
+                part = [low if p == high else p for p in part]
+    df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.class_doc, r.class_size, r.kept) for r in line_dedup.line_classes(df).collect()}
+    assert got == {i: (p, part.count(p), p == i) for i, p in enumerate(part)}
+    assert got[1][0] == 0 and got[3][0] == 2 and got[5][0] == 5
