@@ -3,10 +3,15 @@
 The base kinds are patterns: ``assign`` (a credential name, a separator and a
 value), ``access`` (cloud access keys) and ``hex`` (long lower-case hex runs).
 The method adds kind ``guess``: a value that stands after a credential name
-is a secret if guessing it is expensive. Its cost is the cheapest
-segmentation into dictionary words, dates, repeats, sequences, keyboard walks
-and brute-force spans (after Wheeler, "zxcvbn", 2016), found by dynamic
-programming over the value's positions in time linear in its length.
+is a secret if guessing it is expensive, whatever characters it is made of.
+Its cost is the cheapest segmentation into dictionary words, dates, repeats,
+sequences, keyboard walks and brute-force spans (after Wheeler, "zxcvbn",
+2016), found by dynamic programming over the value's positions in time linear
+in its length.
+
+The dictionary is a short fixed list and the words of the corpus itself,
+ranked by the documents that hold them outside such values: what is common
+prose there is cheap to guess.
 """
 
 from __future__ import annotations
@@ -14,13 +19,15 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ship_package, texts
+from ledgerline.llm.common import ship_package, stage, texts
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
@@ -34,10 +41,9 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
 
-# Names after which a value counts as a credential, beyond the base ones.
+# Whatever ends in one of these names a credential; its value is group 1.
 _CONTEXT = re.compile(
-    r"""(?<![A-Za-z0-9])(?:[a-z0-9]+[_-])?(?:password|passwd|passphrase|passcode|pwd|secret|token|api[_-]?key|access[_-]?key"""
-    r"""|private[_-]?key|auth[_-]?key|credentials?)["']?\x20*(?:=>|:=|[:=])\x20*["'`]?([^\s"'`<>,;]{6,})""",
+    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|key|credentials?)["']?\x20*(?:=>|:=|[:=])\x20*["'`]?([^\s"'`<>,;]{6,})""",
     re.IGNORECASE | re.ASCII)
 _CONTEXT_HINT = re.compile(r"pass|pwd|secret|token|key|credential", re.IGNORECASE | re.ASCII)
 
@@ -48,9 +54,37 @@ _WORDS = (
     "secret token key test guest default changeme example sample demo dummy temp server access money love star computer "
     "internet orange banana apple cheese coffee purple silver golden flower tiger eagle falcon hunter ranger soccer hockey "
     "killer pepper ginger cookie jessica ashley daniel thomas robert george andrew matthew joshua nicole amanda the and "
-    "is to of in it you that he was for on are with as his they be at one have this from").split()
-_RANK = {w: i + 1 for i, w in enumerate(_WORDS)}
-_LONGEST_WORD = max(map(len, _WORDS))
+    "is to of in it you that he was for on are with as his they be at one have this from "
+    "your my our here there when what where which who how not but all can will would should must may please enter insert "
+    "replace put set get use using see read write value string number name file path url host port user username email "
+    "account id api auth client service private public shared signing encryption session bearer placeholder unknown none "
+    "null undefined empty todo redacted hidden removed required optional true false config settings environment env "
+    "variable production staging development local prod dev some any new old first last real fake dont not sure").split()
+_LETTERS = re.compile(r"[^\W\d_]{3,24}")
+# A word of the corpus counts if it stands in so many documents, and makes up
+# one in MAX_WORDS of all (word, document) pairs: there are at most MAX_WORDS.
+MIN_DOCUMENTS = 3
+MAX_WORDS = 200_000
+
+
+@dataclass(frozen=True)
+class Words:
+    """A dictionary: rank of each word in lower case, and the longest length."""
+
+    rank: dict[str, int]
+    longest: int
+
+
+def dictionary(ranked: list[str]) -> Words:
+    """The fixed words and those of ``ranked`` (commonest first); a word of
+    both has the better rank."""
+    rank = {w: i + 1 for i, w in enumerate(ranked)}
+    for i, w in enumerate(dict.fromkeys(_WORDS)):
+        rank[w] = min(i + 1, rank.get(w, i + 1))
+    return Words(rank, max(map(len, rank)))
+
+
+FIXED = dictionary([])
 _ROWS = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 _LEET = str.maketrans("430157@$!", "aeoistasi")
 _DATE = re.compile(
@@ -89,7 +123,7 @@ def _runs(value: str, joined) -> list[int]:
     return ends
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, words: Words = FIXED) -> float:
     """Decimal logarithm of the guesses for the cheapest segmentation.
 
     Each span costs the logarithm of its guesses plus that of 2 for choosing
@@ -99,7 +133,7 @@ def guess_cost(value: str) -> float:
     ends, which are taken where they end.
     """
     n = len(value)
-    low = value.lower()
+    low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)  # as long as the value
     plain = low.translate(_LEET)
     repeat = _runs(value, lambda a, b: a == b)
     upward = _runs(value, lambda a, b: ord(b) - ord(a) == 1 and a.isalnum() and b.isalnum())
@@ -118,6 +152,8 @@ def guess_cost(value: str) -> float:
         one = cost[i] + math.log10(_class_size(value[i])) + (0.0 if brute[i] else join)
         if one < cost[i + 1]:
             cost[i + 1], brute[i + 1] = one, True
+        if value[i] in "-_.":  # what commonly joins words
+            reach(i, i + 1, 4.0)
         for end, guesses in ((repeat[i], 12.0), (upward[i], 8.0), (downward[i], 12.0)):
             if end - i >= 3:
                 reach(i, end, guesses * (end - i))
@@ -127,30 +163,27 @@ def guess_cost(value: str) -> float:
             for found in (_DATE.match(value, i), re.match(r"(?:19|20)\d\d", value[i:i + 4])):
                 if found:
                     reach(i, i + found.end() - found.start(), 365.0 * 120 if found.end() - found.start() > 4 else 120.0)
-        for end in range(i + 2, min(n, i + _LONGEST_WORD) + 1):
-            rank = _RANK.get(low[i:end])
+        for end in range(i + 2, min(n, i + words.longest) + 1):
+            rank = words.rank.get(low[i:end])
             if rank:
                 reach(i, end, rank * (1.0 if value[i:end] == low[i:end] else 2.0 if value[i:end].istitle() or value[i:end].isupper() else 8.0))
-            elif rank := _RANK.get(plain[i:end]):
+            elif rank := words.rank.get(plain[i:end]):
                 reach(i, end, rank * 16.0)
     return cost[n]
 
 
-def is_secret(value: str) -> bool:
-    """A value that is expensive to guess and is no run of words: it holds
-    digits and something else, or both cases and signs."""
-    kinds = {("d" if c.isdigit() else "l" if c.islower() else "u" if c.isupper() else "s") for c in value}
-    mixed = "d" in kinds and len(kinds) >= 2 or {"l", "u", "s"} <= kinds
-    return mixed and guess_cost(value) >= MIN_GUESSES
+def is_secret(value: str, words: Words = FIXED) -> bool:
+    """Whether a value is expensive to guess."""
+    return guess_cost(value, words) >= MIN_GUESSES
 
 
-def find_spans(text: str) -> list[tuple[str, int, int]]:
+def find_spans(text: str, words: Words = FIXED) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end) in code points, by start, then kind."""
     spans = []
     if "=" in text or ":" in text:
         spans += [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= MIN_VALUE]
         if _CONTEXT_HINT.search(text):
-            spans += [("guess", *m.span(1)) for m in _CONTEXT.finditer(text) if is_secret(m[1])]
+            spans += [("guess", *m.span(1)) for m in _CONTEXT.finditer(text) if is_secret(m[1], words)]
     if "AKIA" in text:
         spans += [("access", *m.span()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     # runs are maximal, so searching the long ones finds the same as dropping short ones
@@ -181,19 +214,46 @@ def _joined(spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
     return joined
 
 
+def corpus_words(docs: DataFrame) -> Words:
+    """The dictionary of ``docs``: letter runs of 3 to 24 characters by the
+    number of documents they stand in, credential values left out. Counted on
+    the executors; the driver gets the common ones, MAX_WORDS at most."""
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: Counter[str] = Counter()
+        flush = lambda: pa.RecordBatch.from_arrays(
+            [pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["word", "n"])
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                if _CONTEXT_HINT.search(text):
+                    text = _CONTEXT.sub(" ", text)
+                count.update(set(_LETTERS.findall(text.lower())))
+            if len(count) > MAX_WORDS:
+                yield flush()
+                count.clear()
+        yield flush()
+
+    counted = stage(texts(docs).select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    common = counted.where((F.col("n") >= MIN_DOCUMENTS) & (F.col("n") * MAX_WORDS >= total)).collect()
+    return dictionary([r.word for r in sorted(common, key=lambda r: (-r.n, r.word))])
+
+
 def scan_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_guess, base_sha256 (of the base
     spans as ``kind:start:end`` joined by commas) and spans (all of them) for
     every row. A null text is empty: no spans, and the digest of the empty
     string. Repeated rows get repeated results; an empty table gives an empty
-    result. Nothing is exchanged."""
+    result. Only the counts of words are exchanged."""
     ship_package(docs.sparkSession)
+    words = docs.sparkSession.sparkContext.broadcast(corpus_words(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text in batch.column("text"):
-                spans = find_spans(text.as_py())
+                spans = find_spans(text.as_py(), words.value)
                 kinds = [s[0] for s in spans]
                 base = as_text([s for s in spans if s[0] != "guess"])
                 rows.append((*(kinds.count(k) for k in KINDS), hashlib.sha256(base.encode()).hexdigest(), as_text(spans)))
@@ -211,6 +271,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with every secret in the text masked and ``n_chars`` counted
     anew where the text changed. Null texts stay null; no row is lost."""
     ship_package(docs.sparkSession)
+    words = docs.sparkSession.sparkContext.broadcast(corpus_words(docs))
     schema, at = docs.schema, docs.columns.index("text")
     counted = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
@@ -218,7 +279,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
         for batch in batches:
             columns = list(batch.columns)
             old = columns[at].to_pylist()
-            new = [None if t is None else redact(t, find_spans(t)) for t in old]
+            new = [None if t is None else redact(t, find_spans(t, words.value)) for t in old]
             columns[at] = pa.array(new, columns[at].type)
             if counted is not None:
                 lengths = columns[counted].to_pylist()

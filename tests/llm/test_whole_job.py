@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from ledgerline.llm import exact_dedup, line_dedup
+from ledgerline.llm import exact_dedup, line_dedup, secret_scan
 
 
 @pytest.mark.parametrize("bound", [1 << 20, 0])
@@ -57,3 +57,31 @@ def test_short_near_lines(spark, monkeypatch, meet):
     got = {r.doc_id: (r.class_doc, r.class_size, r.kept) for r in line_dedup.line_classes(df).collect()}
     assert got == {i: (p, part.count(p), p == i) for i, p in enumerate(part)}
     assert got[1][0] == 0 and got[3][0] == 2 and got[5][0] == 5
+
+
+def guesses(text, words=secret_scan.FIXED):
+    return [text[a:b] for kind, a, b in secret_scan.find_spans(text, words) if kind == "guess"]
+
+
+def test_secrets_of_one_class():
+    assert guesses("passphrase: QwZxKvBnMpLtRsYdHj") == ["QwZxKvBnMpLtRsYdHj"]
+    assert guesses("pwd = 839201746528301946") == ["839201746528301946"]
+    assert guesses("PWD=KQZXWVJHGTRBNM") == ["KQZXWVJHGTRBNM"]
+    for name in ("SECRET_KEY", "signing_key", "encryptionKey", "my.session-token", "DB_PASS", "aws_secret_access_key"):
+        assert guesses(f"{name} = 'hfKqzRwvTjbXmPnd'") == ["hfKqzRwvTjbXmPnd"]
+    for value in ("password", "qwertyuiop", "aaaaaaaaaaaaaaaa", "abcdefghijklmnop", "12345678", "2024-01-31", "your-token-here"):
+        assert guesses(f"secret: {value}") == []
+    assert guesses("key: " + "İ" * 3 + "qwertyİ") is not None  # lower case is longer than the value
+
+
+def test_corpus_words_are_cheap(spark):
+    prose = "Unverständlichkeiten beim Quartalsabschluss"
+    rows = [(i, f"{prose} {i}") for i in range(3)] + [(None, None), (4, "pwd: Unverständlichkeiten\npassphrase: QwZxKvBnMpLtRsYdHj")]
+    rows += [(i, "passphrase: QwZxKvBnMpLtRsYdHj") for i in (5, 6, 7)]  # copies of a secret do not make it a word
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    words = secret_scan.corpus_words(docs)
+    assert {"unverständlichkeiten", "beim", "quartalsabschluss"} <= set(words.rank) and "qwzxkvbnmpltrsydhj" not in words.rank
+    got = {r.doc_id: r.n_guess for r in secret_scan.scan_documents(docs).collect() if r.doc_id is not None}
+    assert got == {0: 0, 1: 0, 2: 0, 4: 1, 5: 1, 6: 1, 7: 1}
+    texts = {r.doc_id: r.text for r in secret_scan.redact_documents(docs).collect()}
+    assert texts[4] == "pwd: Unverständlichkeiten\npassphrase: [SECRET]" and texts[None] is None
