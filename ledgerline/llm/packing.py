@@ -2,9 +2,14 @@
 
 Pieces of at most ``capacity`` tokens are put into as few sequences as
 possible. A sequence is begun with the largest piece that is left; the
-undominated fillings around it are enumerated, tried from the fullest on,
-and branches whose waste already forbids beating the incumbent are cut. The
-incumbent at the start is the best-fit-decreasing packing.
+undominated fillings around it, of any number of pieces, are tried from the
+fullest on, and branches whose waste already forbids beating the incumbent
+are cut. The incumbent at the start is the best-fit-decreasing packing. The
+search is by limited discrepancy (Harvey and Ginsberg, 1995): first the
+fullest filling everywhere, then all ways that leave it once, the earliest
+sequences first, then twice, and so on. It ends with a packing that meets the
+lower bound, when nothing is left to try, or after the nodes that ``DESCENTS``
+and ``STEPS`` allow.
 
 Pieces that fill a sequence alone are placed without search. The others are
 dealt by hash into groups of about ``GROUP_PIECES``, each packed by one task;
@@ -29,13 +34,14 @@ from ledgerline.llm.common import ship_package, stage, texts
 CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 20_000
-# Branches kept per sequence, and steps of search beyond one descent.
-FILLINGS = 6
+# Nodes of search: so many for each sequence, and so many besides.
+DESCENTS = 3
 STEPS = 2_000
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
-    """Martello and Toth's L2: no packing takes fewer sequences."""
+    """The larger of Martello and Toth's L2 and the bounds by Fekete and
+    Schepers' dual feasible functions u(k): no packing takes fewer sequences."""
     if not len(sizes):
         return 0
     count = np.bincount(sizes, minlength=capacity + 1).astype(np.int64)
@@ -49,6 +55,12 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
         middle_sum = int(sum_upto[capacity - k] - sum_upto[half])
         small_sum = int(sum_upto[half] - (sum_upto[k - 1] if k else 0))
         best = max(best, big + middle + max(0, -(-(small_sum - (middle * capacity - middle_sum)) // capacity)))
+    have = np.flatnonzero(count)
+    for k in range(1, min(capacity, 100) + 1):
+        # a size counts as floor((k + 1) size / capacity) / k of a sequence, or as itself where that needs no rounding
+        parts, rest = np.divmod((k + 1) * have, capacity)
+        scaled = np.where(rest == 0, have * k, parts * capacity)
+        best = max(best, -(-int((scaled * count[have]).sum()) // (k * capacity)))
     return best
 
 
@@ -73,42 +85,94 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     return packed
 
 
-def fillings(count: np.ndarray, room: int) -> list[tuple[int, ...]]:
-    """Undominated ways to fill ``room`` from the sizes in ``count``, fullest
-    first: the largest single size, pairs and triples that hold more than it.
-    A set whose pieces fit into one larger piece is dominated by that piece."""
-    have = np.flatnonzero(count[:room + 1])
-    if not len(have):
-        return [()]
-    single = int(have[-1])
-    if single == room:
-        return [(single,)]
-    upto = np.zeros(room + 1, np.int64)  # the largest size present up to each value
-    upto[have] = have
-    upto = np.maximum.accumulate(upto)
-
-    def pairs(limit: int, largest: int, most: int) -> list[tuple[int, int]]:
-        a = have[(have <= limit) & (have <= largest)]
-        b = np.minimum(upto[limit - a], a)
-        b = upto[b]
-        lone = (a == b) & (count[a] < 2)
-        b = np.where(lone, upto[np.maximum(a - 1, 0)], b)
-        b = np.where(a + b > limit, 0, b)
-        a, b = a[b > 0], b[b > 0]
-        order = np.lexsort((-a, -(a + b)))[:most]
-        return list(zip(a[order].tolist(), b[order].tolist()))
-
-    found: list[tuple[int, ...]] = [(single,)]
-    found += [p for p in pairs(room, single, FILLINGS) if sum(p) > single]
-    if max(map(sum, found)) < room:
-        for a in have[::-1][:24].tolist():
-            count[a] -= 1
-            for b, c in pairs(room - a, a, 1):
-                if count[b] > (b == c) and a + b + c > single:
-                    found.append((a, b, c))
-            count[a] += 1
-    found.sort(key=lambda f: (-sum(f), len(f)))
-    return found[:FILLINGS]
+def _sums(count: np.ndarray, room: int, whole: bool) -> tuple[list[tuple[int, int]], list[int]]:
+    """The subset-sum table of the pieces in ``count`` for ``room``: (size,
+    how many) steps from the largest size on, a size's count cut into powers
+    of two, and after each step the reachable sums as bits. Unless ``whole``,
+    it ends as soon as ``room`` is reached."""
+    mask = (1 << room + 1) - 1
+    steps, reached, bits = [], [1], 1
+    have = np.flatnonzero(count[:room + 1])[::-1]
+    for size, n in zip(have.tolist(), count[have].tolist()):
+        n, part = min(n, room // size), 1
+        while n:
+            take = min(part, n)
+            bits |= bits << size * take & mask
+            steps.append((size, take))
+            reached.append(bits)
+            n, part = n - take, part * 2
+        if not whole and bits >> room & 1:
+            break
+    return steps, reached
+
+
+def fullest(count: np.ndarray, room: int) -> tuple[int, ...]:
+    """The fullest way to fill ``room`` from the sizes in ``count``, with any
+    number of pieces; of equally full ones one of the larger pieces."""
+    if count[room]:
+        return (room,) if room else ()
+    steps, reached = _sums(count, room, False)
+    left, taken = reached[-1].bit_length() - 1, []
+    for (size, n), before in zip(reversed(steps), reversed(reached[:-1])):
+        if not before >> left & 1:
+            taken += [size] * n
+            left -= size * n
+    return tuple(taken[::-1])
+
+
+def dominated(count: np.ndarray, room: int, way: tuple[int, ...]) -> bool:
+    """Whether pieces of ``way`` could be changed for one larger piece that is
+    left, or two or more of them for one piece as large as they together."""
+    slack = room - sum(way)
+    one, more = 0, 0  # sums of one piece, of two or more
+    for size in way:
+        more |= more << size | one << size
+        one |= 1 << size
+    left = count[:room + 1].copy()
+    np.subtract.at(left, list(way), 1)
+    for size in np.flatnonzero(left > 0).tolist():
+        if size <= slack or more >> max(0, size - slack) & (1 << min(slack, size) + 1) - 1 or (
+                slack and one >> size - slack & (1 << slack) - 1):
+            return True
+    return False
+
+
+def fillings(count: np.ndarray, room: int) -> Iterator[tuple[int, ...] | None]:
+    """All undominated ways to fill ``room`` from the sizes in ``count``, of
+    any number of pieces: :func:`fullest` first, the others from the fullest
+    on. They are made one by one, as the search asks for them; None stands for
+    a dominated one, so that the search can count what it looked at."""
+    first = fullest(count, room)
+    yield first
+    if len(first) <= 1 and sum(first) == room:
+        return  # one piece that fills the room dominates all else
+    count = count.copy()  # the caller's changes meanwhile
+    have = np.flatnonzero(count[:room + 1]).tolist()
+    most = [min(int(count[size]), room // size) for size in have]
+    below = [1]  # sums of the sizes before each place
+    for size, n in zip(have, most):
+        bits, part = below[-1], 1
+        while n:
+            take = min(part, n)
+            bits |= bits << size * take & (1 << room + 1) - 1
+            n, part = n - take, part * 2
+        below.append(bits)
+    seen = tuple(sorted(first))
+    for total in range(sum(first), -1, -1):
+        if not below[-1] >> total & 1:
+            continue
+        # (place, sum still to make, pieces so far), larger pieces first; no way is without an end
+        open_ = [(len(have), total, ())]
+        while open_:
+            at, left, way = open_.pop()
+            if not left:
+                if tuple(sorted(way)) != seen:
+                    yield None if dominated(count, room, way) else way
+                continue
+            size = have[at - 1]
+            for n in range(min(most[at - 1], left // size) + 1):
+                if below[at - 1] >> left - n * size & 1:
+                    open_.append((at - 1, left - n * size, way + (size,) * n))
 
 
 def bin_completion(sizes: np.ndarray, capacity: int) -> list[list[int]]:
@@ -116,38 +180,60 @@ def bin_completion(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     best = best_fit_decreasing(sizes, capacity)
     bound = lower_bound(sizes, capacity)
     total = int(sizes.sum())
-    count = np.bincount(sizes, minlength=capacity + 1)
-    chosen: list[list[int]] = []
-    branches: list[list[tuple[int, ...]]] = []
-    waste = 0
-    steps = len(best) + STEPS
+    steps = DESCENTS * len(best) + STEPS
+    limit = 0  # of discrepancies on a path
     while len(best) > bound and steps > 0:
-        steps -= 1
-        left = np.flatnonzero(count)
-        # Beating the incumbent allows this much waste in all.
-        allowed = (len(best) - 1) * capacity - total
-        if len(left) and waste <= allowed:
-            largest = int(left[-1])
-            count[largest] -= 1
-            ways = fillings(count, capacity - largest)
-            count[largest] += 1
-            branches.append([(largest, *w) for w in reversed(ways)])
-        else:
-            if not len(left) and len(chosen) < len(best):
+        count = np.bincount(sizes, minlength=capacity + 1)
+        chosen: list[list[int]] = []
+        # for each sequence begun: its largest piece, the fullest way (tried last), the others, discrepancies left
+        branches: list[tuple[int, tuple[int, ...] | None, Iterator[tuple[int, ...] | None], int]] = []
+        waste, left, spare, cut = 0, len(sizes), limit, False
+        while steps > 0:
+            steps -= 1
+            # beating the incumbent allows this much waste in all
+            if left and waste <= (len(best) - 1) * capacity - total:
+                largest = int(np.flatnonzero(count)[-1])
+                count[largest] -= 1
+                ways = fillings(count, capacity - largest)
+                way = next(ways)
+                count[largest] += 1
+                branches.append((largest, way, ways, spare))
+            elif not left and len(chosen) < len(best):
                 best = [list(c) for c in chosen]
-            branches.append([])
-        while branches and not branches[-1]:  # take back the last choice
-            branches.pop()
-            if chosen:
-                taken = chosen.pop()
-                np.add.at(count, taken, 1)
-                waste -= capacity - sum(taken)
-        if not branches:
-            break
-        take = branches[-1].pop()
-        np.subtract.at(count, list(take), 1)
-        chosen.append(list(take))
-        waste += capacity - sum(take)
+                if len(best) <= bound:
+                    break
+            while branches:  # on with the last sequence that has a way left
+                largest, first, ways, spare = branches[-1]
+                if len(chosen) == len(branches):
+                    taken = chosen.pop()
+                    np.add.at(count, taken, 1)
+                    waste, left = waste - (capacity - sum(taken)), left + len(taken)
+                way = None
+                if first is not None and spare:
+                    count[largest] -= 1
+                    for way in ways:
+                        steps -= 1
+                        if way is not None or steps <= 0:
+                            break
+                    count[largest] += 1
+                if way is not None:
+                    spare -= 1
+                    break
+                if first is not None:
+                    cut = cut or not spare
+                    way = first
+                    branches[-1] = (largest, None, ways, spare)
+                    break
+                branches.pop()
+            if not branches:
+                break
+            taken = [largest, *way]
+            np.subtract.at(count, taken, 1)
+            chosen.append(taken)
+            waste, left = waste + capacity - sum(taken), left - len(taken)
+        if not cut:
+            break  # every way was tried
+        limit += 1
     return best
 
 

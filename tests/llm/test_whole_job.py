@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from ledgerline.llm import exact_dedup, line_dedup, secret_scan
+from ledgerline.llm import exact_dedup, line_dedup, packing, secret_scan
 
 
 @pytest.mark.parametrize("bound", [1 << 20, 0])
@@ -85,3 +86,59 @@ def test_corpus_words_are_cheap(spark):
     assert got == {0: 0, 1: 0, 2: 0, 4: 1, 5: 1, 6: 1, 7: 1}
     texts = {r.doc_id: r.text for r in secret_scan.redact_documents(docs).collect()}
     assert texts[4] == "pwd: Unverständlichkeiten\npassphrase: [SECRET]" and texts[None] is None
+
+
+def fewest(sizes, capacity):
+    """The fewest sequences, by trying every sequence for every piece."""
+    best = len(sizes)
+
+    def put(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(sizes):
+            best = len(rooms)
+            return
+        for room in {r for r in rooms if r >= sizes[i]}:
+            rest = list(rooms)
+            rest.remove(room)
+            put(i + 1, [*rest, room - sizes[i]])
+        put(i + 1, [*rooms, capacity - sizes[i]])
+
+    put(0, [])
+    return best
+
+
+def test_packing_of_many_pieces_a_sequence():
+    # six pieces fill a sequence; best fit decreasing takes 3416
+    sizes = np.random.default_rng(0).integers(330, 346, 20_000)
+    packed = packing.bin_completion(sizes, 2048)
+    assert sorted(sum(packed, [])) == sorted(sizes.tolist()) and max(map(sum, packed)) <= 2048
+    assert len(packed) == packing.lower_bound(sizes, 2048) == 3334
+
+
+def test_packing_is_optimal_where_small():
+    r = random.Random(4)
+    for n in range(150):
+        capacity = r.choice([12, 20, 31])
+        low = r.choice([1, 2, 4])
+        sizes = sorted((r.randint(low, capacity // r.choice([1, 2, 3])) for _ in range(r.randint(1, 11))), reverse=True)
+        packed = packing.bin_completion(np.array(sizes), capacity)
+        assert sorted(sum(packed, []), reverse=True) == sizes and max(map(sum, packed)) <= capacity
+        assert packing.lower_bound(np.array(sizes), capacity) <= len(packed) == fewest(sizes, capacity)
+
+
+def test_fillings_are_whole():
+    import itertools
+    r = random.Random(8)
+    for n in range(100):
+        room = r.randint(1, 20)
+        count = np.array([0] + [r.randint(0, 2) for _ in range(25)])
+        pieces = [s for s in range(1, room + 1) for _ in range(count[s])]
+        if len(pieces) > 12:
+            continue
+        every = {c for k in range(len(pieces) + 1) for c in itertools.combinations(pieces, k) if sum(c) <= room}
+        got = [tuple(sorted(w)) for w in packing.fillings(count, room) if w is not None]
+        assert set(got) <= every and len(got) == len(set(got)) and sum(got[0]) == max(map(sum, every))
+        assert {w for w in every if not packing.dominated(count, room, w)} <= set(got)
+        assert [sum(w) for w in got] == sorted(map(sum, got), reverse=True)
