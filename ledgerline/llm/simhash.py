@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerline.llm.common import ship_package, stage, texts
 from ledgerline.llm.components import connected_components
@@ -179,8 +180,27 @@ def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = M
 
 
 def drop_near_copies(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = MAX_DISTANCE) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest
-    doc_id. Rows without an id stay; rows that repeat an id are one document."""
-    parts = near_components(docs, words, radius).where("doc_id is not null and doc_id <> component_id")
-    gone = stage(parts.select("doc_id").distinct(), "near_copies")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` with one row of each component: the one with the smallest
+    doc_id (a null one loses), of rows that repeat it one. Rows are told apart
+    by their place, so neither repeated nor missing ids matter."""
+    ship_package(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [fingerprint((t.as_py() or "").encode(), words) for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.array(found, np.uint64).view(np.int64))], names=[*batch.schema.names, "__fp"])
+
+    schema = StructType([*docs.schema.fields, StructField("__fp", LongType())])
+    marked = stage(docs.mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "marked")
+    rows = marked.select(F.col("__fp").alias("fp"), F.col("__row").alias("row"),
+                         F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row").alias("row")).alias("place"))
+    distinct = stage(rows.groupBy("fp").agg(F.min("place").alias("first")), "distinct")
+    joined = stage(connected_components(links_within(distinct.select("fp"), radius)), "joined")
+    joined = joined.select(F.col("node").alias("fp"), "component").join(distinct, "fp")
+    least = joined.join(joined.groupBy("component").agg(F.min("first").alias("least")), "component").select("fp", "least")
+    # written, as in near_components
+    stays = stage(distinct.join(least, "fp", "left").select("fp", F.coalesce("least", "first")["row"].alias("stays")), "stays")
+    gone = stage(rows.join(stays, "fp").where("row <> stays").select(F.col("row").alias("__row")), "near_copies")
+    return marked.join(gone, "__row", "left_anti").select(docs.columns)

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from ledgerline.llm import exact_dedup, line_dedup, packing, secret_scan
+from ledgerline.llm import exact_dedup, line_dedup, packing, secret_scan, simhash
 
 
 @pytest.mark.parametrize("bound", [1 << 20, 0])
@@ -142,3 +142,18 @@ def test_fillings_are_whole():
         assert set(got) <= every and len(got) == len(set(got)) and sum(got[0]) == max(map(sum, every))
         assert {w for w in every if not packing.dominated(count, room, w)} <= set(got)
         assert [sum(w) for w in got] == sorted(map(sum, got), reverse=True)
+
+
+def test_near_copies_by_row(spark):
+    r = random.Random(6)
+    text = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(400))
+    one, two, three = text(), text(), text()
+    near = one + " end"
+    assert (simhash.fingerprint(one.encode()) ^ simhash.fingerprint(near.encode())).bit_count() <= 3
+    rows = [(1, one), (2, near), (2, two),  # id 2 on a near copy and on another text
+            (None, three), (None, three + " end"), (None, one), (5, text()), (6, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(map(tuple, simhash.drop_near_copies(docs).collect()), key=str)
+    without = [g for g in got if g[0] is None]
+    assert len(without) == 1 and without[0][1] in (three, three + " end")
+    assert [g for g in got if g[0] is not None] == [rows[0], rows[2], rows[6], rows[7]]
