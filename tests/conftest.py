@@ -9,9 +9,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerline.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MEDIUM = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():

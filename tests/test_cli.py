@@ -5,7 +5,7 @@ import json
 import pytest
 
 from ledgerline.__main__ import main
-from conftest import SF_SMALL
+from data_dirs import SF_SMALL
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ import sys
 
 import pytest
 
-from conftest import ROOT, SF_SMALL
+from data_dirs import ROOT, SF_SMALL
 from ledgerline.functions.numbers import is_return_invoice, python_float_nonpositive
 from ledgerline.functions.timestamps import minute_text
 from ledgerline.sources.csv_feed import read_feed_csv

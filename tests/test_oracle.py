@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import compare, compare_pandas, duck
-from conftest import SF_MEDIUM, SF_SMALL
+from data_dirs import SF_MEDIUM, SF_SMALL
 from ledgerline.plans import oracle, registry
 
 QUERIES = registry.queries()
