@@ -9,8 +9,6 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 from ledgerline.session import build_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from conftest import SF
+from llm_data import SF
 from ledgerline.llm import bpe, exact_dedup, fingerprints, line_dedup, packing, quality_pu, secret_scan, sharding, simhash, warc
 from ledgerline.llm.components import connected_components
 from ledgerline.llm.queries import oracle_sql, queries
