@@ -1,4 +1,7 @@
-"""Where the given tables are."""
+"""Where the repository and the given tables are."""
 
+import os
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MEDIUM = "/root/testdata/sf0.01"
