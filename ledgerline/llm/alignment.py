@@ -29,7 +29,8 @@ from ledgerline.llm.common import ship_package, stage
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE = "▁"
-FLUSH_LINKS = 4_000_000  # links a task holds before it writes their bitmaps
+FLUSH_LINKS = 2_000_000  # links a task holds before it writes their bitmaps
+TOGETHER = 1_000_000     # characters of text aligned at once, or one longer text
 SPLIT = 4                # tasks that a block's postings return to
 
 
@@ -126,9 +127,10 @@ def align(tokens: tuple[list[np.ndarray], list[np.ndarray]], tokenizers: Pair) -
     return a[last_a], b[last_b], links, digests
 
 
-def postings(pairs: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array]:
-    """Links (pair, place) as distinct pairs, their bitmaps and their planes."""
-    seen, count = np.unique((pairs << 16) | places, return_counts=True)
+def postings(links: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """Links (pair * 65,536 + place) as distinct pairs, their bitmaps and
+    their planes."""
+    seen, count = np.unique(links, return_counts=True)
     key, place = seen >> 16, seen & (bitmaps.PLACES - 1)
     new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
     sizes = np.diff(np.r_[new, len(key)])
@@ -185,26 +187,28 @@ def _posted(docs: DataFrame, a_path: str | None, b_path: str | None, flush: int)
         tokenizers = pair(a_path, b_path)
         part, number, used = TaskContext.get().partitionId(), 0, 0
         block = lambda: part + (number << 32)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[np.ndarray] = []
         size = 0
 
         def written() -> Iterator[pa.RecordBatch]:
             if held:
-                keys, marks, planes = postings(*(np.concatenate(c) for c in zip(*held)))
+                keys, marks, planes = postings(np.concatenate(held))
                 if len(keys):
                     yield batch_of(len(keys), block=np.full(len(keys), block()), pair=keys, docs=marks, planes=planes)
 
         for batch in batches:
-            at = 0
+            at, texts = 0, [t or "" for t in batch.column("text").to_pylist()]
+            through = np.cumsum([0, *map(len, texts)])
             while at < batch.num_rows:
-                some = batch.slice(at, min(batch.num_rows - at, bitmaps.PLACES - used))
-                tokens = tokenizers.encode([t or "" for t in some.column("text").to_pylist()])
+                end = max(at + 1, int(np.searchsorted(through, through[at] + TOGETHER, side="right")) - 1)
+                some = batch.slice(at, min(end - at, bitmaps.PLACES - used))
+                tokens = tokenizers.encode(texts[at:at + some.num_rows])
                 a, b, links, digests = align(tokens, tokenizers)
                 places = np.arange(used, used + some.num_rows)
                 yield batch_of(some.num_rows, block=np.full(some.num_rows, block()), place=places.astype(np.int32),
                                doc_id=some.column("doc_id"), n_a=[len(x) for x in tokens[0]], n_b=[len(x) for x in tokens[1]],
                                n_groups=links, groups_sha256=digests)
-                held.append((a * tokenizers.size + b, np.repeat(places, links)))
+                held.append(((a * tokenizers.size + b) << 16) | np.repeat(places, links))
                 size, used, at = size + len(a), used + some.num_rows, at + some.num_rows
                 if size >= flush or used == bitmaps.PLACES:
                     yield from written()

@@ -107,7 +107,7 @@ def test_multiplicity_planes():
     r = np.random.default_rng(2)
     pairs, places = r.integers(0, 40, 20_000) * 7, r.integers(0, 30, 20_000) ** 2
     places[:6000], pairs[:6000] = 5, 14  # one pair 6000 times in one document
-    keys, docs, planes = alignment.postings(pairs, places)
+    keys, docs, planes = alignment.postings((pairs << 16) | places)
     want = Counter(zip(pairs.tolist(), places.tolist()))
     row, weight, flat = alignment._plane_weights(planes)
     got = Counter()
