@@ -55,8 +55,6 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--warehouse", required=True)
     r.add_argument("--master")
     r.add_argument("--no-gates", action="store_true", help="report key violations without failing")
-    r.add_argument("--multiline", action="store_true",
-                   help="allow newlines inside quoted CSV fields (files become unsplittable)")
     c = sub.add_parser("check", help="run the declared data-quality checks on the newest published run")
     c.add_argument("--warehouse", required=True)
     c.add_argument("--master")
@@ -93,7 +91,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "derive":
         print(json.dumps(land_feeds(derived_feeds(spark, args.sf_dir), args.landing)))
         return
-    feeds = read_landed(spark, args.landing, multi_line=args.multiline)
+    feeds = read_landed(spark, args.landing)
     report = run(spark, feeds, args.warehouse, gates=not args.no_gates)
     print(json.dumps({"run_id": report.run_id, "run_dir": report.run_dir,
                       "seconds": report.seconds, "load_counters": report.counters,

@@ -95,6 +95,30 @@ def _csv_roundtrip(spec: FeedSpec) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def landed_crossing(spark: SparkSession, sf_dir: str, spec: FeedSpec) -> list[str]:
+    """The derived feed with line ends and quotes in its descriptions, as two
+    folders of CSV whose columns are in different orders."""
+    def make(path: str) -> list[str]:
+        feed = landed_feeds(spark, sf_dir)[spec.name]
+        name, code = spec.header_for("description"), F.col(f"`{spec.header_for('stock_code')}`")
+        text, kind = F.col(f"`{name}`"), F.length(F.col(f"`{name}`")) % 3
+        feed = feed.withColumn(name, F.when(kind == 0, F.replace(text, F.lit(" "), F.lit("\n")))
+                               .when(kind == 1, F.concat(F.lit('"'), text, F.lit('",\n'))).otherwise(text))
+        odd = F.length(code) % 2 == 1
+        return [write_feed_csv(feed.where(~odd), os.path.join(path, "straight"), spec),
+                write_feed_csv(feed.where(odd).select(*[f"`{c}`" for c in reversed(feed.columns)]), os.path.join(path, "reversed"), spec)]
+    return _once(spark, sf_dir, f"crossing-{spec.name}", make)
+
+
+def _csv_crossing(spec: FeedSpec) -> Callable[[SparkSession, str], DataFrame]:
+    """Scan files whose quoted cells go over line ends and whose columns are
+    in different orders; the raw cells."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return ingest.feed_cells(read_feed_csv(spark, landed_crossing(spark, sf_dir, spec), spec), spec)
+    run.__name__ = f"csv_quoted_lines_{spec.name}"
+    return run
+
+
 def _stream_ingest(spec: FeedSpec) -> Callable[[SparkSession, str], DataFrame]:
     """Land the derived feed as CSV files and load it with the streaming
     ingest (availableNow); the result must equal the batch raw table."""
@@ -227,6 +251,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # sources, ingest and quarantine
         "csv_ingest_ecommerce": _csv_roundtrip(ECOMMERCE),
         "csv_ingest_online_retail": _csv_roundtrip(ONLINE_RETAIL),
+        "csv_quoted_lines_ecommerce": _csv_crossing(ECOMMERCE),
+        "csv_quoted_lines_online_retail": _csv_crossing(ONLINE_RETAIL),
         "stream_ingest_ecommerce": _stream_ingest(ECOMMERCE),
         "stream_ingest_online_retail": _stream_ingest(ONLINE_RETAIL),
         "raw_ecommerce": _wh(_table("raw.ecommerce_data")),

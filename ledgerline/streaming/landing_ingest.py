@@ -1,8 +1,8 @@
 """Feed load as a Structured Streaming job over the landing folder.
 
 The original pipeline loads each feed on a schedule. Here the same load --
-header mapping, missing-value tokens, quarantine split -- runs as a file
-stream: each new CSV file in a feed's landing folder is processed once, the
+each file's own header, quoted line ends, missing-value tokens, quarantine
+split -- runs as a file stream: each new CSV file in a feed's landing folder is processed once, the
 source's file log and the query checkpoint (in the shared checkpoint folder)
 record progress, and ``trigger(availableNow=True)`` gives the scheduled
 "process what has arrived, then stop" behaviour.
@@ -23,19 +23,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators import ingest
 from ledgerline.session import ensure_checkpoint_dir
-from ledgerline.sources.csv_feed import csv_options, csv_schema, refuse_malformed
+from ledgerline.sources.csv_feed import literal_path, read_feed_csv
 from ledgerline.sources.feeds import FEEDS, FeedSpec
 from ledgerline.sources.sinks import read_split, write_split
 
 # Bounds a micro-batch, whatever the backlog.
 FILES_PER_BATCH = 256
 
-def _stream(spark: SparkSession, landing_dir: str, spec: FeedSpec, max_files: int) -> DataFrame:
-    # File streams need a schema up front: every header column as text. Each
-    # file's header is checked against it, so a file that lacks a column stops
-    # the stream, where the batch load reads the column as missing.
-    reader = csv_options(spark.readStream, spec).schema(csv_schema(spec.headers)).option("maxFilesPerTrigger", max_files)
-    return refuse_malformed(reader.csv(landing_dir), spec)
+def _arrivals(spark: SparkSession, landing_dir: str, max_files: int) -> DataFrame:
+    """The paths of new files; their content is not read here."""
+    return (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+            .option("maxFilesPerTrigger", max_files).load(landing_dir).select("path"))
 
 
 def _raw_folder(out_root: str, spec: FeedSpec) -> str:
@@ -43,9 +41,11 @@ def _raw_folder(out_root: str, spec: FeedSpec) -> str:
 
 
 def _batch_writer(out_root: str, spec: FeedSpec):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # The micro-batch is parsed once; the reject records come from the
-        # rejected rows as written.
+    def write(arrived: DataFrame, batch_id: int) -> None:
+        # The files of a micro-batch are read as the batch load reads them;
+        # the reject records come from the rejected rows as written.
+        paths = [literal_path(r.path) for r in arrived.collect()]  # FILES_PER_BATCH at most
+        batch = read_feed_csv(arrived.sparkSession, paths, spec)
         flagged = ingest.flag_rejects(ingest.feed_cells(batch, spec), spec)
         path = os.path.join(_raw_folder(out_root, spec), f"batch={batch_id}")
         write_split(ingest.split_rows(flagged, spec).withColumn("_loaded_at", F.current_timestamp()), path)
@@ -61,7 +61,7 @@ def start_feed_ingest(spark: SparkSession, landing_dir: str, out_root: str, spec
                       max_files_per_trigger: int = FILES_PER_BATCH) -> StreamingQuery:
     """Start the ingest stream for one feed; returns the running query."""
     checkpoint = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "streams", f"ingest-{spec.name}")
-    writer = (_stream(spark, landing_dir, spec, max_files_per_trigger).writeStream
+    writer = (_arrivals(spark, landing_dir, max_files_per_trigger).writeStream
               .foreachBatch(_batch_writer(out_root, spec))
               .option("checkpointLocation", checkpoint)
               .queryName(f"ingest_{spec.name}"))
