@@ -27,6 +27,8 @@ from ledgerline.plans.pipeline import open_warehouse, run
 from ledgerline.plans.present import as_output
 from ledgerline.session import SESSION_DEFAULTS, build_session, ensure_checkpoint_dir
 from ledgerline.sources.derived_feed import derived_feeds
+from ledgerline.plans.catalog import retain_runs
+from ledgerline.sources.retention import sweep_scratch
 from ledgerline.sources.landing import land_feeds, read_landed
 
 
@@ -64,6 +66,11 @@ def main(argv: list[str] | None = None) -> None:
     qp.add_argument("--out", help="write the full result here as CSV instead of showing it")
     qp.add_argument("--rows", type=int, help="show only so many rows (default: all)")
     qp.add_argument("--master")
+    k = sub.add_parser("retain", help="remove old runs that no reader has open, and old scratch folders")
+    k.add_argument("--warehouse", required=True)
+    k.add_argument("--keep", type=int, default=3, help="published runs to keep (default 3)")
+    k.add_argument("--hours", type=float, default=48.0, help="age of unpublished runs and scratch to remove (default 48)")
+    k.add_argument("--master")
     d = sub.add_parser("derive", help="land feeds derived from the driver tables as CSV")
     d.add_argument("--sf-dir", required=True)
     d.add_argument("--landing", required=True)
@@ -88,6 +95,10 @@ def main(argv: list[str] | None = None) -> None:
         failing = [r for r in rows if r["failures"]]
         print(json.dumps({"checks": len(rows), "failing": failing}))
         sys.exit(1 if failing else 0)
+    if args.cmd == "retain":
+        done = retain_runs(spark, args.warehouse, args.keep, unfinished_hours=args.hours)
+        print(json.dumps({"removed": done.removed, "held": done.held, "scratch": sweep_scratch(spark, args.hours)}))
+        return
     if args.cmd == "derive":
         print(json.dumps(land_feeds(derived_feeds(spark, args.sf_dir), args.landing)))
         return

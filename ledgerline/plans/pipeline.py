@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import ingest, quality
 from ledgerline.plans.warehouse import MART_TABLES, Warehouse
 from ledgerline.sources.feeds import FEEDS
+from ledgerline.sources.retention import LEASE_HOURS, lease_run
 from ledgerline.sources.runs import latest_run_dir, mark_complete, new_run_id, run_dir
 from ledgerline.sources.sinks import read_split, read_table, table_path, write_rejects, write_split, write_table
 
@@ -171,12 +172,24 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], warehouse: str, *, gat
 
 
 def open_warehouse(spark: SparkSession, warehouse: str, run_id: str | None = None,
-                   feeds: dict[str, DataFrame] | None = None) -> Warehouse:
+                   feeds: dict[str, DataFrame] | None = None, lease_hours: float = LEASE_HOURS) -> Warehouse:
     """Warehouse over a published run (the newest unless ``run_id`` is
     given), for the business queries. ``feeds``: the feeds it was built from,
-    for steps that precede the raw layer."""
-    root = run_dir(warehouse, run_id) if run_id else latest_run_dir(spark, warehouse)
+    for steps that precede the raw layer. The run is leased for
+    ``lease_hours`` (0: not at all), so that retention leaves it alone;
+    ``lease.release(spark)`` gives it up earlier."""
+    lease, tried = None, set()
+    while True:
+        root = run_dir(warehouse, run_id) if run_id else latest_run_dir(spark, warehouse)
+        lease = lease_run(spark, root, lease_hours) if lease_hours > 0 else None
+        if lease is not None or lease_hours <= 0:
+            break
+        if root in tried:
+            raise FileNotFoundError(f"{root} is being removed")
+        tried.add(root)
     names = ([f"raw.{s.name}" for s in FEEDS] + ["raw.rejected_records", "staging.stg_transactions_unified"]
              + [f"marts.{n}" for n in MART_TABLES])
     counted = row_counts(spark, root, [f"marts.{n}" for n in DIMENSIONS])
-    return materialized(spark, root, names, dim_rows={n: counted[f"marts.{n}"] for n in DIMENSIONS}, feeds=feeds)
+    opened = materialized(spark, root, names, dim_rows={n: counted[f"marts.{n}"] for n in DIMENSIONS}, feeds=feeds)
+    opened.lease = lease
+    return opened

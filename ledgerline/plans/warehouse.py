@@ -32,6 +32,7 @@ class Warehouse:
         self._tables = dict(tables or {})
         self.dim_rows = dict(dim_rows or {})
         self._per_feed: dict[tuple[str, str], DataFrame] = {}
+        self.lease = None  # what keeps the run from being removed while it is open
 
     def _given(self, name: str) -> DataFrame | None:
         return self._tables.get(name)

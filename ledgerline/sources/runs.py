@@ -3,8 +3,8 @@ published by a ``_RUN_COMPLETE`` marker written after its gates pass.
 
 Readers open the newest completed run, so a run that fails half-way, or
 fails its key gates, is never seen, and nobody reads a table while it is
-being replaced. Older runs stay in place for rollback until retention
-tooling removes them.
+being replaced. Older runs stay in place for rollback until
+:mod:`ledgerline.sources.retention` removes them.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MARKER = "_RUN_COMPLETE"
+RETIRED = "_RETIRED"  # a run that is about to be removed
 
 
 def new_run_id() -> str:
