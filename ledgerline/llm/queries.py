@@ -98,10 +98,9 @@ FROM d WINDOW g AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id NULLS
 _WARC = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
-g AS (
-  SELECT page_id, strlen(html) AS payload_bytes, h, min(page_id) OVER w AS first, count(*) OVER w AS n
-  FROM p WINDOW w AS (PARTITION BY h)),
-t AS (SELECT *, n > 1 AND page_id IS DISTINCT FROM first OR n > 1 AND first IS NULL AS again FROM g)
+t AS (
+  SELECT page_id, strlen(html) AS payload_bytes, h, first_value(page_id) OVER w AS first, row_number() OVER w > 1 AS again
+  FROM p WINDOW w AS (PARTITION BY h ORDER BY page_id NULLS LAST))
 SELECT page_id, payload_bytes,
        array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          ((('0x' || substr(h, (i // 4) * 5 + 1, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '') AS payload_digest,

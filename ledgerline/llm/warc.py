@@ -31,24 +31,26 @@ _CHUNKS = "archive int, record bigint, chunk_no int, kind string, data binary, d
 _ROWS_TOGETHER = 128
 
 
-def _header(kind: str, page_id: int | None, url: str | None, length: int, digest: str, total: int, refers_to: int | None) -> bytes:
+def _header(kind: str, record_id: str, url: str | None, length: int, digest: str, total: int, refers_to: int | None) -> bytes:
     target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
-    fields = [("WARC-Type", kind), ("WARC-Record-ID", _record_id(page_id)), ("WARC-Date", DATE)]
+    fields = [("WARC-Type", kind), ("WARC-Record-ID", record_id), ("WARC-Date", DATE)]
     fields += [("WARC-Target-URI", target)] if target else []
     fields += [("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(total))]
     if kind == "revisit":
         fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                   ("WARC-Refers-To", _record_id(refers_to))]
+                   ("WARC-Refers-To", _record_id(refers_to, digest))]
     fields += [("Content-Type", "text/html;charset=utf-8"), ("Content-Length", str(length))]
     return "".join(["WARC/1.1\r\n", *(f"{k}: {v}\r\n" for k, v in fields), "\r\n"]).encode()
 
 
-def _record_id(page_id: int | None) -> str:
-    return f"<urn:x-page:{'' if page_id is None else page_id}>"
+def _record_id(page_id: int | None, digest: str, place: str = "") -> str:
+    """A record's id. The one response of a payload that revisits may name
+    needs no more than the digest; any other record adds its place."""
+    return f"<urn:x-page:{'' if page_id is None else page_id}:{digest}{place and ':'}{place}>"
 
 
 def _page_id(record_id: str) -> int | None:
-    digits = record_id.removeprefix("<urn:x-page:").removesuffix(">")
+    digits = record_id.removeprefix("<urn:x-page:").split(":")[0]
     return int(digits) if digits else None
 
 
@@ -64,23 +66,40 @@ def base32(digest: bytes) -> str:
 
 
 def record_types(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """page_id, url, html, sha1 and refers_to (null for responses).
-
-    Of pages with equal payloads of at least ``min_bytes`` bytes the one with
-    the smallest page_id is the response. Digests alone meet in the aggregate;
-    only revisits, by far the fewer, are joined back to the pages.
+    """page_id, url, html, sha1, refers_to and revisit for every row.
+
+    Of pages with equal payloads of at least ``min_bytes`` bytes exactly one is
+    the response: the one with the smallest page_id (a missing id is larger
+    than any), of rows that repeat it one. Digests alone meet in the
+    aggregate; only revisits, by far the fewer, are joined back to the pages,
+    by id and digest. Where that does not tell the response from its copies,
+    the rows are first written with their places.
     """
     payload = F.coalesce("html", F.lit(""))
-    digests = stage(pages.select("page_id", F.sha1(payload.cast("binary")).alias("sha1"),
-                                 F.octet_length(payload).alias("size")), "digests")
-    first = stage(digests.where(F.col("size") >= min_bytes).groupBy("sha1", "size")
-                  .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1"), "first")
-    revisits = stage(digests.join(first, ["sha1", "size"]).where("page_id is null or page_id <> first")
-                     .select(F.col("page_id").alias("again"), F.col("sha1").alias("sha1_again"), F.col("first").alias("refers_to"))
-                     .distinct(), "revisits")
-    html = pages.select("page_id", "url", payload.alias("html"), F.sha1(payload.cast("binary")).alias("sha1"))
-    return html.join(revisits, F.col("page_id").eqNullSafe(F.col("again")) & (F.col("sha1") == F.col("sha1_again")), "left") \
-        .select("page_id", "url", "html", "sha1", "refers_to", F.col("sha1_again").isNotNull().alias("revisit"))
+    sha1 = F.sha1(payload.cast("binary"))
+    digests = stage(pages.select("page_id", sha1.alias("sha1"), F.octet_length(payload).alias("size"))
+                    .where(F.col("size") >= min_bytes).groupBy("sha1", "page_id").count(), "digests")
+    by_id = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "count")).alias("first")
+    first = stage(digests.groupBy("sha1").agg(by_id, F.sum("count").alias("n")).where("n > 1"), "first")
+    if first.where("first.count > 1").limit(1).count() == 0:
+        revisits = stage(digests.join(first, "sha1").where("not page_id <=> first.page_id")
+                         .select(F.col("page_id").alias("again"), F.col("sha1").alias("sha1_again"),
+                                 F.col("first.page_id").alias("refers_to")), "revisits")
+        html = pages.select("page_id", "url", payload.alias("html"), sha1.alias("sha1"))
+        same = F.col("page_id").eqNullSafe(F.col("again")) & (F.col("sha1") == F.col("sha1_again"))
+    else:
+        html = stage(pages.select("page_id", "url", payload.alias("html"), sha1.alias("sha1"),
+                                  F.monotonically_increasing_id().alias("place")), "placed")
+        rows = html.where(F.octet_length("html") >= min_bytes).select("page_id", "sha1", "place")
+        by_place = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "place")).alias("first")
+        # written, so that the join below has plain exchanges and a payload many rows share is split
+        first = stage(rows.groupBy("sha1").agg(by_place, F.count("*").alias("n")).where("n > 1"), "first")
+        revisits = stage(rows.join(first, "sha1").where("place <> first.place")
+                         .select(F.col("place").alias("again"), F.col("sha1").alias("sha1_again"),
+                                 F.col("first.page_id").alias("refers_to")), "revisits")
+        same = F.col("place") == F.col("again")
+    return html.join(revisits, same, "left").select(
+        "page_id", "url", "html", "sha1", "refers_to", F.col("sha1_again").isNotNull().alias("revisit"))
 
 
 def write_archives(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -103,7 +122,9 @@ def write_archives(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, chunk_b
                 digest, total = base32(bytes.fromhex(sha1.as_py())), len(view)
                 kind = "revisit" if revisit.as_py() else "response"
                 body = view[:0] if revisit.as_py() else view
-                head = _header(kind, page_id.as_py(), url.as_py(), len(body), digest, total, refers_to.as_py())
+                alone = kind == "response" and total >= min_bytes
+                record_id = _record_id(page_id.as_py(), digest, "" if alone else f"{archive}.{record}")
+                head = _header(kind, record_id, url.as_py(), len(body), digest, total, refers_to.as_py())
                 rows.append((archive, record, 0, "header", head, ""))
                 running = hashlib.sha1()
                 number = 0
@@ -185,10 +206,11 @@ def _records(rows: list[tuple]) -> pa.RecordBatch:
 def round_trip(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Write ``pages`` as archives and read them back.
 
-    Rows that repeat a page_id and its payload are each of the type the first
-    of them has; a null page_id is never smallest unless all are null, and
-    then each such record revisits one without an id. An empty table gives an
-    empty result.
+    Of every group of equal payloads one record is the response, whatever ids
+    its rows have: a null page_id is larger than any other, and of rows that
+    repeat the smallest id one is the response, the others revisit it. If no
+    row of a group has an id, ``refers_to`` is null for its revisits too.
+    Record ids are distinct. An empty table gives an empty result.
     """
     return read_archives(write_archives(pages, min_bytes, chunk_bytes))
 

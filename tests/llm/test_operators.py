@@ -264,20 +264,48 @@ def test_sharding(docs, rows):
     assert many.min() > 3800 and many.max() < 4500
 
 
+def _by_record(rows):
+    records = defaultdict(list)
+    for r in rows:
+        records[r.archive, r.record].append(r)
+    return records
+
+
 def test_warc(spark):
     from pyspark.sql import functions as F
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     pages = pages.unionByName(pages.limit(9).withColumn("page_id", F.col("page_id") + 900)).union(spark.createDataFrame(
-        [(5000, "u\r\nx", None), (5001, None, ""), (None, "a", "zz"), (6000, "b", "zz"), (6000, "b", "zz"), (7000, "c", "é" * 200_000)], pages.schema))
+        [(5000, "u\r\nx", None), (5001, None, ""), (None, "a", "zz"), (6000, "b", "zz"), (6000, "b", "zz"), (6000, "b", "other"),
+         (None, "n", "lost?"), (None, "n", "lost?"), (None, "m", "lost?"), (3, "x", "first twice"), (3, "x", "first twice"), (4, "x", "first twice"), (7000, "c", "é" * 200_000)], pages.schema))
     data = [(r.page_id, (r.html or "").encode()) for r in pages.collect()]
-    first = {}
+    groups = defaultdict(list)
     for i, h in data:
-        if i is not None:
-            first[h] = min(i, first.get(h, i))
-    want = Counter((i, len(h), base64.b32encode(hashlib.sha1(h).digest()).decode(), "response" if first[h] == i else "revisit",
-                    None if first[h] == i else first[h]) for i, h in data)
+        groups[h].append(i)
+    want = Counter()
+    for h, ids in groups.items():  # one response to a payload, the smallest id, a missing one last
+        ids.sort(key=lambda i: (i is None, i or 0))
+        for n, i in enumerate(ids):
+            want[i, len(h), base64.b32encode(hashlib.sha1(h).digest()).decode(), "revisit" if n else "response", ids[0] if n else None] += 1
     chunks = warc.write_archives(pages, chunk_bytes=1000)
     assert Counter(map(tuple, warc.read_archives(chunks).collect())) == want
+    heads = [warc.parse_header(bytes(r.data)) for r in chunks.where("kind = 'header'").collect()]
+    named = {h["WARC-Record-ID"] for h in heads if h["WARC-Type"] == "response"}
+    assert len({h["WARC-Record-ID"] for h in heads}) == len(heads)
+    assert all(h["WARC-Refers-To"] in named for h in heads if h["WARC-Type"] == "revisit")
+    # every payload is there, once
+    kept = Counter(b"".join(bytes(r.data) for r in sorted(rows, key=lambda r: r.chunk_no))
+                   for rows in _by_record(chunks.where("kind = 'payload'").collect()).values())
+    assert kept == Counter(h for h in groups if h)
+    archive = heads and b"".join(warc.export_archive(chunks, 0))
+    assert archive.startswith(b"WARC/1.1\r\n") and archive.count(b"WARC/1.1\r\nWARC-Type") == chunks.where("kind = 'header' and archive = 0").count()
+    # without ids that need places, and with a least size
+    plain = pages.where("page_id < 500 or page_id > 5500 and page_id <> 6000")
+    some = [(r.page_id, (r.html or "").encode()) for r in plain.collect()]
+    least = {}
+    for i, h in some:
+        least[h] = min(i, least.get(h, i))
+    assert Counter((r.page_id, r.record_type, r.refers_to) for r in warc.round_trip(plain, min_bytes=2000).collect()) == Counter(
+        (i, "revisit", least[h]) if len(h) >= 2000 and i != least[h] else (i, "response", None) for i, h in some)
     broken = chunks.withColumn("data", F.when((F.col("kind") == "payload") & (F.col("chunk_no") == 2), F.lit(b"x")).otherwise(F.col("data")))
     with pytest.raises(Exception, match="damaged"):
         warc.read_archives(broken).collect()
