@@ -19,6 +19,15 @@ def test_exact_copies_without_ids(spark, monkeypatch, bound):
     assert sorted(got, key=str) == sorted([(None, "abc", 6), (None, "xy", 3), (None, "", 0), (3, "one", 3), (4, "lone", 4), (None, "single", 6)], key=str)
 
 
+def test_exact_ids_and_names_at_the_edges(spark):
+    rows = [(-2 ** 63, "a b", 1, 2), (2 ** 63 - 1, "ab ", 3, 4), (None, "ab", 5, 6), (-1, " ", 7, 8), (0, None, 9, 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __row int, row int")
+    got = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(docs).collect()}
+    low, high = -2 ** 63, 2 ** 63 - 1
+    assert got == {(low, low, 3, True), (high, low, 3, False), (None, low, 3, False), (-1, -1, 2, True), (0, -1, 2, False)}
+    assert sorted(map(tuple, exact_dedup.drop_exact_copies(docs).collect())) == [rows[0], rows[3]]
+
+
 def distance(a, b):
     above = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
