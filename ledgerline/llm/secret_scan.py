@@ -31,8 +31,11 @@ from ledgerline.llm.common import ship_package, stage, texts
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
-# A value is a secret from this many guesses on (decimal logarithm).
+# A value is a secret from this many guesses on (decimal logarithm), in all and
+# for each character: a compound of ordinary words is long but cheap by the
+# character (about 0.6), random letters, digits or base 64 take 1.0 to 1.4.
 MIN_GUESSES = 10.0
+MIN_PER_CHARACTER = 0.75
 MASK = "[SECRET]"
 
 # The base patterns (hex runs only where they are long enough).
@@ -41,10 +44,17 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
 
-# Whatever ends in one of these names a credential; its value is group 1.
+# Whatever ends in one of these names a credential; its value is group 1. The
+# name begins a word or a part of one (snake_case, kebab-case, camelCase), so
+# neither "monkey" nor "turkey" is one.
 _CONTEXT = re.compile(
+    r"""(?:(?<![^\W_])|(?-i:(?<=[a-z0-9])(?=[A-Z])))(?:api|auth|access|secret|private|session|signing|encryption|master|client|user|db)?"""
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|key|credentials?)["']?\x20*(?:=>|:=|[:=])\x20*["'`]?([^\s"'`<>,;]{6,})""",
     re.IGNORECASE | re.ASCII)
+# A value that stands for another one: ${NAME}, $NAME, {{ name }}, %(name)s.
+_REFERENCE = re.compile(r"\$\{?[A-Za-z_]\w*\}?\Z|\$?\{\{?|\$\(|%\(", re.ASCII)
+_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://(?:([^/?#@]*)@)?[^/?#]*(.*)", re.ASCII | re.DOTALL)
+_JOINERS = frozenset("-_./:()[]{}")  # what joins words in names, paths and calls
 _CONTEXT_HINT = re.compile(r"pass|pwd|secret|token|key|credential", re.IGNORECASE | re.ASCII)
 
 # Common password words, commonest first.
@@ -152,7 +162,7 @@ def guess_cost(value: str, words: Words = FIXED) -> float:
         one = cost[i] + math.log10(_class_size(value[i])) + (0.0 if brute[i] else join)
         if one < cost[i + 1]:
             cost[i + 1], brute[i + 1] = one, True
-        if value[i] in "-_.":  # what commonly joins words
+        if value[i] in _JOINERS:
             reach(i, i + 1, 4.0)
         for end, guesses in ((repeat[i], 12.0), (upward[i], 8.0), (downward[i], 12.0)):
             if end - i >= 3:
@@ -173,8 +183,15 @@ def guess_cost(value: str, words: Words = FIXED) -> float:
 
 
 def is_secret(value: str, words: Words = FIXED) -> bool:
-    """Whether a value is expensive to guess."""
-    return guess_cost(value, words) >= MIN_GUESSES
+    """Whether a value is expensive to guess. A reference to another value is
+    none; of a URL the user information and the parts after the host count."""
+    if _REFERENCE.match(value):
+        return False
+    if url := _URL.match(value):
+        parts = re.split(r"[/?&=#:]+", f"{url[1] or ''}/{url[2]}")
+        return any(is_secret(p, words) for p in parts if p)
+    cost = guess_cost(value, words)
+    return cost >= MIN_GUESSES and cost >= MIN_PER_CHARACTER * len(value)
 
 
 def find_spans(text: str, words: Words = FIXED) -> list[tuple[str, int, int]]:
