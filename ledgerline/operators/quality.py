@@ -6,16 +6,25 @@ foreign_key), distinct values (unique, accepted_values) or offending rows
 (primary_key) the check flags. Checks aggregate before they shuffle: a
 uniqueness test is a partial count per value, a relationship test first
 collapses the child keys (so a hot key such as GUEST crosses the exchange
-once per task) and then looks them up in the parent.
+once per task) and then looks them up in the parent. Checks travel as their
+numbers; the names come back with the result.
+
+Uniqueness is decided by 64-bit digests: only numbers and digests are
+shuffled, and whole values are read and compared only for digests that occur
+more than once, so two values of one digest are never taken for a duplicate.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.session import ensure_checkpoint_dir
+
 # The declared checks (table -> columns), as the original
 # model declarations list them.
 NOT_NULL = (
@@ -124,64 +133,77 @@ def accepted_values(table: Lookup, checks=ACCEPTED_VALUES) -> DataFrame:
 RESULT_SCHEMA = "table_name string, column_name string, check_name string, failures bigint"
 
 
-def check_families(table: Lookup) -> dict[str, DataFrame]:
-    """The declared checks as three independent jobs: column checks
-    (not_null, accepted_values), uniqueness, relationships. Every table is
-    scanned once per family that concerns it."""
-    return {"columns": _scan_checks(table, NOT_NULL, ACCEPTED_VALUES),
-            "unique": unique(table),
-            "relationships": relationships(table)}
+def check_families(table: Lookup) -> dict[str, Callable[[], DataFrame]]:
+    """The declared checks as three independent jobs, each built when called:
+    column checks (not_null, accepted_values), uniqueness, relationships.
+    Every table is scanned once per family that concerns it."""
+    return {"columns": lambda: _scan_checks(table, NOT_NULL, ACCEPTED_VALUES),
+            "unique": lambda: unique(table),
+            "relationships": lambda: relationships(table)}
 
 
 def declared_checks(table: Lookup) -> DataFrame:
     """All declared checks (not_null, unique, accepted_values, relationships)
     as one DataFrame, one row per check."""
-    return _union(list(check_families(table).values()))
-
-
-def _key_rows(df: DataFrame, table: str, cols, tag=None) -> DataFrame:
-    """One row per (checked column, value) of a table, from a single scan:
-    the columns are exploded side by side, so a table is read once however
-    many of its columns are checked. Values are compared as text."""
-    items = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("k"),
-                      F.lit(tag(c) if tag else "").alias("p")) for c in cols]
-    return df.select(F.explode(F.array(*items)).alias("x")).select(
-        F.lit(table).alias("table_name"), "x.column_name", "x.k", "x.p")
+    return _union([build() for build in check_families(table).values()])
 
 
-def _by_table(checks) -> dict[str, list]:
+def _by_table(checks) -> dict[str, list[tuple]]:
+    """table -> [(number of the check, *the rest of it)]"""
     grouped: dict[str, list] = {}
-    for item in checks:
-        grouped.setdefault(item[0], []).append(item)
+    for number, (name, *rest) in enumerate(checks):
+        grouped.setdefault(name, []).append((number, *rest))
     return grouped
 
 
-def _complete(found: DataFrame, checks, check_name: str) -> DataFrame:
-    """One row per declared check: checks with nothing flagged (or on an
-    empty table) get failures = 0."""
-    spark = found.sparkSession
-    zeros = spark.range(1).select(F.explode(F.array(*[
-        F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name")) for t, c in checks])).alias("z")
-    ).select("z.*", F.lit(0).cast("bigint").alias("failures"))
-    return (found.select("table_name", "column_name", F.col("failures").cast("bigint"))
-            .unionByName(zeros)
-            .groupBy("table_name", "column_name").agg(F.sum("failures").alias("failures"))
-            .select("table_name", "column_name", F.lit(check_name).alias("check_name"),
-                    F.col("failures").cast("bigint").alias("failures")))
+def _exploded(df: DataFrame, rows: list[dict[str, Column]]) -> DataFrame:
+    """Each of ``rows`` for every row of ``df``, from a single scan: a table
+    is read once however many of its columns are checked."""
+    return df.select(F.explode(F.array(*[F.struct(*[c.alias(n) for n, c in r.items()]) for r in rows])).alias("x")).select("x.*")
 
 
-def _value_counts(table: Lookup, checks) -> DataFrame:
-    """(table, column, value, rows) over every checked column of every
-    table: one scan per table, one partial-aggregated shuffle in all."""
-    parts = [_key_rows(table(name), name, [c for _, c in items]) for name, items in _by_table(checks).items()]
-    return _union(parts).groupBy("table_name", "column_name", "k").agg(F.count(F.lit(1)).alias("n"))
+def _complete(found: DataFrame, checks, check_name: str) -> DataFrame:
+    """One row per declared check from (id, failures): checks with nothing
+    flagged (or on an empty table) get failures = 0."""
+    zeros = found.sparkSession.range(len(checks)).select(F.col("id").cast("int"), F.lit(0).cast("bigint").alias("failures"))
+    name = lambda at: F.get(F.array(*[F.lit(c[at]) for c in checks]), F.col("id"))
+    return (found.select("id", F.col("failures").cast("bigint")).unionByName(zeros)
+            .groupBy("id").agg(F.sum("failures").alias("failures"))
+            .select(name(0).alias("table_name"), name(1).alias("column_name"), F.lit(check_name).alias("check_name"),
+                    F.col("failures").cast("bigint").alias("failures")))
 
 
-def unique(table: Lookup, checks=UNIQUE) -> DataFrame:
+def digest(value: Column) -> Column:
+    """64 bits of a value's text; null for null."""
+    return F.when(value.isNotNull(), F.xxhash64(value.cast("string")))
+
+
+def _repeated(table: Lookup, checks, of: Callable[[Column], Column] = digest) -> tuple[DataFrame, DataFrame | None]:
+    """The missing and the repeated values of every checked column: (id, n)
+    for columns with nulls, and (id, k, n) for each value whose digest occurs
+    more than once (None: there is no such digest)."""
+    parts = [_exploded(table(name), [{"id": F.lit(i), "d": of(F.col(c))} for i, c in items])
+             for name, items in _by_table(checks).items()]
+    counted = _union(parts).groupBy("id", "d").agg(F.count(F.lit(1)).alias("n")).where("d is null or n > 1")
+    spark = counted.sparkSession
+    # written: what is looked at again is small, and the tables are not counted twice
+    folder = os.path.join(ensure_checkpoint_dir(spark), "quality", uuid.uuid4().hex)
+    counted.write.parquet(folder)
+    counted = spark.read.parquet(folder)
+    nulls, twice = counted.where("d is null").select("id", "n"), counted.where("d is not null").select("id", "d")
+    if twice.limit(1).count() == 0:
+        return nulls, None
+    parts = [_exploded(table(name), [{"id": F.lit(i), "d": of(F.col(c)), "k": F.col(c).cast("string")} for i, c in items])
+             for name, items in _by_table(checks).items()]
+    values = _union(parts).join(twice, ["id", "d"], "left_semi")
+    return nulls, values.groupBy("id", "k").agg(F.count(F.lit(1)).alias("n"))
+
+
+def unique(table: Lookup, checks=UNIQUE, of: Callable[[Column], Column] = digest) -> DataFrame:
     """Distinct non-NULL values that occur more than once, per column."""
-    counts = _value_counts(table, checks)
-    found = counts.groupBy("table_name", "column_name").agg(
-        F.count_if(F.col("k").isNotNull() & (F.col("n") > 1)).alias("failures"))
+    nulls, values = _repeated(table, checks, of)
+    found = nulls.select("id", F.lit(0).alias("failures")) if values is None else (
+        values.groupBy("id").agg(F.count_if(F.col("n") > 1).alias("failures")))
     return _complete(found, checks, "unique")
 
 
@@ -189,36 +211,32 @@ def relationships(table: Lookup, checks=RELATIONSHIPS, check_name: str = "relati
     """Child rows whose non-NULL key is missing from the parent.
 
     Every child table is scanned once for all its foreign keys; child keys
-    are combined per (table, column, key) before the shuffle, so a hot key
-    (GUEST) crosses it once per task. All parents' keys are tagged with
-    their (table, column) and the whole check is one join.
+    are combined per (check, key) before the shuffle, so a hot key (GUEST)
+    crosses it once per task. All parents' keys are numbered and the whole
+    check is one join.
     """
-    parent_of = {(ct, cc): f"{pt}.{pc}" for ct, cc, pt, pc in checks}
-    children = []
-    for name, items in _by_table(checks).items():
-        cols = [cc for _, cc, _, _ in items]
-        children.append(_key_rows(table(name), name, cols, tag=lambda c, n=name: parent_of[(n, c)]))
+    parents = sorted({(pt, pc) for _, _, pt, pc in checks})
+    children = [_exploded(table(name), [{"id": F.lit(i), "p": F.lit(parents.index((pt, pc))), "k": F.col(cc).cast("string")}
+                                        for i, cc, pt, pc in items]) for name, items in _by_table(checks).items()]
     child_keys = (_union(children).filter(F.col("k").isNotNull())
-                  .groupBy("table_name", "column_name", "p", "k").agg(F.count(F.lit(1)).alias("n")))
-    parents = []
-    for pt, pc in sorted({(pt, pc) for _, _, pt, pc in checks}):
-        parents.append(table(pt).select(F.lit(f"{pt}.{pc}").alias("p"), F.col(pc).cast("string").alias("k")))
-    parent_keys = _union(parents).withColumn("_hit", F.lit(True))
+                  .groupBy("id", "p", "k").agg(F.count(F.lit(1)).alias("n")))
+    parent_keys = _union([table(pt).select(F.lit(i).alias("p"), F.col(pc).cast("string").alias("k"))
+                          for i, (pt, pc) in enumerate(parents)]).withColumn("_hit", F.lit(True))
     # A left join plus IS NULL rather than a left-anti join: the optimizer
     # pushes anti joins below aggregates, which would shuffle every child
     # row (hot keys included) whenever the parents are too large to
     # broadcast; an outer join stays above the child-key aggregation.
     missing = child_keys.join(parent_keys, on=["p", "k"], how="left").filter(F.col("_hit").isNull())
-    found = missing.groupBy("table_name", "column_name").agg(F.sum("n").alias("failures"))
-    return _complete(found, [(ct, cc) for ct, cc, _, _ in checks], check_name)
+    return _complete(missing.groupBy("id").agg(F.sum("n").alias("failures")), checks, check_name)
 
 
-def primary_keys(table: Lookup, checks=PRIMARY_KEYS) -> DataFrame:
+def primary_keys(table: Lookup, checks=PRIMARY_KEYS, of: Callable[[Column], Column] = digest) -> DataFrame:
     """Rows that break a primary key: NULL keys plus every extra copy of a
     duplicated key."""
-    counts = _value_counts(table, checks)
-    found = counts.groupBy("table_name", "column_name").agg(F.sum(
-        F.when(F.col("k").isNull(), F.col("n")).otherwise(F.col("n") - 1)).alias("failures"))
+    nulls, values = _repeated(table, checks, of)
+    found = nulls.select("id", F.col("n").alias("failures"))
+    if values is not None:
+        found = found.unionByName(values.select("id", (F.col("n") - 1).alias("failures")))
     return _complete(found, checks, "primary_key")
 
 

@@ -154,8 +154,8 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], warehouse: str, *, gat
         # declared check (58), so they are gathered, written once, and the
         # key gates are read off them.
         with _Timer(report, "quality.check_results"):
-            families = concurrently("quality", {name: (lambda df=df: df.collect())
-                                                for name, df in quality.check_families(wh.table).items()})
+            families = concurrently("quality", {name: (lambda build=build: build().collect())
+                                                for name, build in quality.check_families(wh.table).items()})
             rows = [tuple(r) for part in families.values() for r in part]
             results = spark.createDataFrame(rows, quality.RESULT_SCHEMA)
             write_table(results.coalesce(1), root, "quality.check_results")

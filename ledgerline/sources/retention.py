@@ -24,7 +24,7 @@ from ledgerline.sources.runs import RETIRED, completed_runs, run_dir
 READERS = "_READERS"
 LEASE_HOURS = 24.0
 # Folders below spark.checkpoint.dir that hold what one session wrote for itself.
-SCRATCH = ("registry", "csv_splits", "llm", "corpus")
+SCRATCH = ("registry", "csv_splits", "quality", "llm", "corpus")
 
 
 @dataclass

@@ -76,3 +76,25 @@ def test_key_gates_raise(spark):
     assert pk == {("marts.dim_producto", "producto_key"): 1}
     with pytest.raises(quality.DataQualityError):
         quality.enforce(quality.foreign_keys(t))
+
+
+def test_digests_that_collide_are_no_duplicates(spark):
+    """However badly the digest mixes values, only equal values count."""
+    import random
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(3)
+    values = [r.choice([None, *map(str, range(60))]) for _ in range(70)] + [f"only{i}" for i in range(40)] + ["hot"] * 200
+    df = spark.createDataFrame([(v, str(i)) for i, v in enumerate(values)], "a string, b string")
+    checks = (("t", "a"), ("t", "b"))
+    count = Counter(v for v in values if v is not None)
+    twice, extra = sum(n > 1 for n in count.values()), sum(n - 1 for n in count.values()) + values.count(None)
+    for of in (quality.digest, lambda c: F.when(c.isNotNull(), F.length(c).cast("bigint")), lambda c: F.when(c.isNotNull(), F.lit(1).cast("bigint"))):
+        assert _failures(quality.unique({"t": df}.__getitem__, checks, of)) == {("t", "a"): twice}
+        assert _failures(quality.primary_keys({"t": df}.__getitem__, checks, of)) == {("t", "a"): extra}
+    clean = {"t": df.select("b", F.col("b").alias("a"))}.__getitem__
+    assert [r.failures for r in quality.unique(clean, checks).collect()] == [0, 0] == [r.failures for r in quality.primary_keys(clean, checks).collect()]
+    none = {"t": df.limit(0)}.__getitem__
+    assert [tuple(r) for r in quality.unique(none, checks).orderBy("column_name").collect()] == [("t", "a", "unique", 0), ("t", "b", "unique", 0)]
