@@ -29,6 +29,7 @@ from ledgerline.session import SESSION_DEFAULTS, build_session, ensure_checkpoin
 from ledgerline.sources.derived_feed import derived_feeds
 from ledgerline.plans.catalog import retain_runs
 from ledgerline.sources.retention import sweep_scratch
+from ledgerline.sources.feeds import FEEDS
 from ledgerline.sources.landing import land_feeds, read_landed
 
 
@@ -56,6 +57,8 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--landing", required=True)
     r.add_argument("--warehouse", required=True)
     r.add_argument("--master")
+    r.add_argument("--reload", action="append", default=[], choices=[f.name for f in FEEDS],
+                   help="load only this feed anew and take the other's raw rows from the newest published run")
     r.add_argument("--no-gates", action="store_true", help="report key violations without failing")
     c = sub.add_parser("check", help="run the declared data-quality checks on the newest published run")
     c.add_argument("--warehouse", required=True)
@@ -102,7 +105,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "derive":
         print(json.dumps(land_feeds(derived_feeds(spark, args.sf_dir), args.landing)))
         return
-    feeds = read_landed(spark, args.landing)
+    feeds = read_landed(spark, args.landing, args.reload)
     report = run(spark, feeds, args.warehouse, gates=not args.no_gates)
     print(json.dumps({"run_id": report.run_id, "run_dir": report.run_dir,
                       "seconds": report.seconds, "load_counters": report.counters,

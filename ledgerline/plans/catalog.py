@@ -23,6 +23,7 @@ from ledgerline.plans.pipeline import open_warehouse
 from ledgerline.plans.warehouse import MART_TABLES
 from ledgerline.sources.feeds import ECOMMERCE, FEEDS, ONLINE_RETAIL
 from ledgerline.sources.files import children
+from ledgerline.sources.manifest import REJECTS, raw_files
 from ledgerline.sources.retention import Retention, retain
 from ledgerline.sources.runs import latest_run_dir, run_dir
 from ledgerline.sources.sinks import RAW_TABLES, accepted_path, raw_schema, read_table, table_path
@@ -89,20 +90,24 @@ def _view(spark: SparkSession, warehouse: str, name: str, body: str) -> None:
 def _add_run(spark: SparkSession, warehouse: str, run_id: str, tables) -> None:
     """Make a run's tables partitions of the tables of all runs."""
     root = run_dir(warehouse, run_id)
+    files = raw_files(spark, root)
     place = lambda *parts: _text(os.path.join(warehouse, "_catalog", *parts))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {RUNS} LOCATION {place(f'{RUNS}.db')}")
     for name in tables:
         table = _of_runs(name)
-        # a feed's raw table is the accepted part of its load
-        path = accepted_path(root, name) if name in RAW_TABLES else table_path(root, name)
-        by_feed = name == "raw.rejected_records"
+        by_feed = name == REJECTS
         if not spark.catalog.tableExists(table):
             fields = read_table(spark, root, name).schema.fields
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
             by = "run_id, source_table" if by_feed else "run_id"
             spark.sql(f"CREATE TABLE {table} ({columns}, run_id string) USING parquet PARTITIONED BY ({by}) "
                       f"LOCATION {place('tables', name)}")
-        parts = [(f", source_table = {_text(f.name)}", os.path.join(path, f"source_table={f.name}")) for f in FEEDS] if by_feed else [("", path)]
+        if by_feed:
+            parts = [(f", source_table = {_text(feed)}", folder) for (of, feed), folder in files.items() if of == REJECTS]
+        elif name in RAW_TABLES:
+            parts = [("", accepted_path(files[name, RAW_TABLES[name].name]))]
+        else:
+            parts = [("", table_path(root, name))]
         for also, folder in parts:
             spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (run_id = {_text(run_id)}{also}) LOCATION {_text(folder)}")
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import ingest, quality
 from ledgerline.plans.warehouse import MART_TABLES, Warehouse
 from ledgerline.sources.feeds import FEEDS
+from ledgerline.sources.manifest import write_manifest
 from ledgerline.sources.retention import LEASE_HOURS, lease_run
 from ledgerline.sources.runs import latest_run_dir, mark_complete, new_run_id, run_dir
 from ledgerline.sources.sinks import read_split, read_table, table_path, write_rejects, write_split, write_table
@@ -90,8 +91,9 @@ def load_raw(spark: SparkSession, feeds: dict[str, DataFrame], root: str, report
 
     with _Timer(report, "raw.load"):
         # The feeds are independent: load them side by side.
-        done = concurrently("raw", {spec.name: (lambda spec=spec: load(spec)) for spec in FEEDS})
-    report.counters.extend(done[spec.name] for spec in FEEDS)
+        given = [spec for spec in FEEDS if spec.name in feeds]
+        done = concurrently("raw", {spec.name: (lambda spec=spec: load(spec)) for spec in given})
+    report.counters.extend(done[spec.name] for spec in given)
 
 
 def row_counts(spark: SparkSession, root: str, names) -> dict[str, int]:
@@ -113,12 +115,21 @@ def materialized(spark: SparkSession, root: str, names, dim_rows: dict[str, int]
 def run(spark: SparkSession, feeds: dict[str, DataFrame], warehouse: str, *, gates: bool = True,
         checks: bool = True, run_id: str | None = None) -> RunReport:
     """Build every layer of one run under ``<warehouse>/runs/<run_id>`` and
-    publish it. ``gates`` raises on primary/foreign key violations (the run
+    publish it. A feed that is not in ``feeds`` is not loaded again: its raw
+    rows and rejects are those of the newest published run, whose files the
+    run's manifest names. ``gates`` raises on primary/foreign key violations (the run
     then stays unpublished); ``checks`` writes the declared checks' results
     to ``quality/check_results`` of the run."""
     run_id = run_id or new_run_id()
     root = run_dir(warehouse, run_id)
     report = RunReport(run_id=run_id, run_dir=root)
+    reuse = [spec.name for spec in FEEDS if spec.name not in feeds]
+    if reuse:
+        base = latest_run_dir(spark, warehouse)
+        lease = lease_run(spark, base)  # until this run is published and holds the files itself
+        if lease is None:
+            raise FileNotFoundError(f"{base} is being removed")
+        write_manifest(spark, root, base, reuse)
     load_raw(spark, feeds, root, report)
     raw_names = [f"raw.{s.name}" for s in FEEDS] + ["raw.rejected_records"]
 
@@ -168,6 +179,8 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], warehouse: str, *, gat
 
     report.row_counts = row_counts(spark, root, [n for n in done if n != "raw.rejected_records"])
     mark_complete(spark, warehouse, run_id, {"counters": report.counters, "row_counts": report.row_counts})
+    if reuse:
+        lease.release(spark)
     return report
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,5 +25,7 @@ def land_feeds(feeds: dict[str, DataFrame], landing_dir: str) -> dict[str, str]:
             for spec in FEEDS}
 
 
-def read_landed(spark: SparkSession, landing_dir: str) -> dict[str, DataFrame]:
-    return {spec.name: read_feed_csv(spark, os.path.join(landing_dir, spec.name), spec) for spec in FEEDS}
+def read_landed(spark: SparkSession, landing_dir: str, only: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The landed feeds (of the names ``only``, if any), by name."""
+    return {spec.name: read_feed_csv(spark, os.path.join(landing_dir, spec.name), spec)
+            for spec in FEEDS if not only or spec.name in only}

@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.files import children, delete, exists, touch
+from ledgerline.sources.manifest import runs_used
 from ledgerline.sources.runs import RETIRED, completed_runs, run_dir
 
 READERS = "_READERS"
@@ -67,12 +68,19 @@ def retain(spark: SparkSession, warehouse: str, keep: int = 3, *, unfinished_hou
            also: tuple[str, ...] = ()) -> Retention:
     """Remove all published runs but the newest ``keep``, and runs that were
     never published and began over ``unfinished_hours`` ago. Runs that a
-    reader leases, and those named in ``also`` (a catalog's), stay."""
+    reader leases, those named in ``also`` (a catalog's), and those whose raw
+    files another run that stays uses, stay."""
     if keep < 1:
         raise ValueError("the newest published run is always kept")
     done, report = Retention(), completed_runs(spark, warehouse)
     stay, published = {*report[-keep:], *also}, set(report)
-    for run_id, _ in children(spark, os.path.join(warehouse, "runs")):
+    runs = [name for name, _ in children(spark, os.path.join(warehouse, "runs"))]
+    # whatever runs that stay, are leased, or may still be written take their raw files from stays too
+    used = {run_id: runs_used(spark, run_dir(warehouse, run_id)) for run_id in runs}
+    for run_id, others in used.items():
+        if run_id in stay or run_id not in published or live_leases(spark, run_dir(warehouse, run_id)):
+            stay |= others
+    for run_id in runs:
         if run_id in stay:
             continue
         root = run_dir(warehouse, run_id)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.sources.feeds import FEEDS, FeedSpec
+from ledgerline.sources.manifest import REJECTS, raw_files
 
 RAW_TABLES = {f"raw.{f.name}": f for f in FEEDS}
 # With this many open files per task a write partitioned by a flag needs no
@@ -38,8 +39,9 @@ def raw_schema(spec: FeedSpec) -> str:
     return ", ".join(f"{c} string" for c in (*spec.raw_columns, "_source")) + ", _loaded_at timestamp"
 
 
-def accepted_path(root: str, qualified: str) -> str:
-    return os.path.join(table_path(root, qualified), "is_rejected=false")
+def accepted_path(folder: str) -> str:
+    """The part of a feed's load that is its raw table."""
+    return os.path.join(folder, "is_rejected=false")
 
 
 def write_split(df: DataFrame, path: str) -> None:
@@ -66,9 +68,19 @@ def write_rejects(df: DataFrame, root: str, source_table: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, qualified: str) -> DataFrame:
-    path = table_path(root, qualified)
-    if qualified == "raw.rejected_records":
-        return spark.read.option("basePath", path).parquet(path)
+    """A layer table of the run in ``root``; raw tables from the files that
+    its manifest names."""
+    if qualified == REJECTS:
+        return union_all([spark.read.parquet(folder).withColumn("source_table", F.lit(feed))
+                          for (name, feed), folder in raw_files(spark, root).items() if name == REJECTS])
     if qualified in RAW_TABLES:
-        return read_split(spark, path, RAW_TABLES[qualified]).where(~F.col("is_rejected")).drop("is_rejected")
-    return spark.read.parquet(path)
+        spec = RAW_TABLES[qualified]
+        return read_split(spark, raw_files(spark, root)[qualified, spec.name], spec).where(~F.col("is_rejected")).drop("is_rejected")
+    return spark.read.parquet(table_path(root, qualified))
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

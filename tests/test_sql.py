@@ -127,6 +127,43 @@ def test_retention_spares_readers(spark, tmp_path, database_cleanup):
     assert sweep_scratch(spark, 24) == []
 
 
+def test_reloading_one_feed(spark, tmp_path, database_cleanup):
+    import os
+
+    from ledgerline.sources.manifest import raw_files, runs_used
+    from ledgerline.sources.runs import run_dir
+    from ledgerline.sources.sinks import read_table
+
+    root = str(tmp_path)
+    lines = {**LINES, ONLINE_RETAIL.name: LINES[ONLINE_RETAIL.name] + [("9", "Z", "MUG", "1", "2010-12-02 08:00:00", "0", None, "Spain")]}
+    first = run(spark, _feeds(spark, lines), root).run_id
+    more = {ECOMMERCE.name: [("4", "C", "MUG", "1", "12/3/2010 8:00", "2.00", "7", "France"), ("5", "C", "MUG", "1", "12/3/2010 8:00", "-2", "7", "France")]}
+    feeds = lambda rows: {n: df for n, df in _feeds(spark, {**LINES, **rows}).items() if n in rows}
+    report = run(spark, feeds(more), root)
+    assert report.counters == [(ECOMMERCE.name, 1, 1)]
+    second = run_dir(root, report.run_id)
+    assert os.listdir(os.path.join(second, "raw")) and not os.path.exists(os.path.join(second, "raw", ONLINE_RETAIL.name))
+    rejects = lambda r: sorted((x.source_table, x.invoice_no) for x in read_table(spark, r, "raw.rejected_records").collect())
+    assert rejects(second) == [(ECOMMERCE.name, "5"), (ONLINE_RETAIL.name, "9")]
+    assert rejects(run_dir(root, first)) == [(ECOMMERCE.name, "2"), (ONLINE_RETAIL.name, "9")]
+    # as if both feeds had been loaded
+    whole = run(spark, _feeds(spark, {**lines, **more}), str(tmp_path / "whole")).run_dir
+    for name in ("raw.online_retail_ii", "raw.ecommerce_data", "staging.stg_transactions_unified", "marts.mart_revenue_producto"):
+        drop = lambda r: sorted(map(str, read_table(spark, r, name).drop("_loaded_at").collect()))  # noqa: B023, E731
+        assert drop(second) == drop(whole), name
+    # a reload over a reload names the run that wrote the files
+    third = run(spark, feeds({ECOMMERCE.name: LINES[ECOMMERCE.name]}), root)
+    assert runs_used(spark, third.run_dir) == {first}
+    assert raw_files(spark, third.run_dir)["raw.online_retail_ii", ONLINE_RETAIL.name].startswith(run_dir(root, first))
+    register_tables(spark, root)
+    assert spark.table("raw.online_retail_ii").count() == 1 and spark.table("raw.rejected_records").count() == 2
+    # retention leaves the files that the newest run uses
+    done = catalog.retain_runs(spark, root, keep=1)
+    assert done.removed == [report.run_id] and open_warehouse(spark, root).unified.count() == 2
+    with pytest.raises(FileNotFoundError):
+        run(spark, feeds({ECOMMERCE.name: LINES[ECOMMERCE.name]}), str(tmp_path / "nothing"))
+
+
 def test_scratch_sweep(spark):
     import os
     import time
