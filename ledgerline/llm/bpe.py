@@ -41,7 +41,7 @@ from ledgerline.llm.common import ship_package, texts
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 450_000
 BATCH_BYTES = 6_000_000
 
 def byte_alphabet() -> dict[str, int]:
@@ -52,6 +52,34 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+class Remembered:
+    """The ids of short parts in two generations of ``most`` / 2 entries each:
+    a part that is met again moves to the young one, the old one is dropped
+    when the young one is full, so what occurs once does not push out what
+    occurs often."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def ids(self, parts: list[bytes], ids_of) -> list[bytes]:
+        """The ids of ``parts``; ``ids_of`` gives those not remembered."""
+        found = list(map(self.young.get, parts))
+        lacking = [p for p, f in zip(parts, found) if f is None]
+        if lacking:
+            again = list(map(self.old.get, lacking))
+            new = {p: f for p, f in zip(lacking, again) if f is not None}
+            unknown = [p for p, f in zip(lacking, again) if f is None]
+            if unknown:
+                new.update(zip(unknown, ids_of(unknown)))
+            found = [new[p] if f is None else f for p, f in zip(parts, found)]
+            if len(self.young) + len(new) > self.most // 2:
+                self.old, self.young = self.young, {}
+            self.young.update((p, i) for p, i in new.items() if len(p) <= 64)
+        return found
+
+
 class ForcedBoundaryEncoder:
     """Encodes as the tokenizers library does with the file at ``path``
     (``add_special_tokens=False``, no truncation or padding)."""
@@ -77,8 +105,7 @@ class ForcedBoundaryEncoder:
         self.token_bytes |= {i: content.encode() for content, i in special.items()}
         self._special = special
         self._split_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self._words: dict[bytes, bytes] = {}
-        self._fragments: dict[bytes, bytes] = {}
+        self._words, self._fragments = Remembered(CACHE_ENTRIES), Remembered(CACHE_ENTRIES)
 
     def certain_cuts(self, blob: np.ndarray, before: bytes = b"") -> np.ndarray:
         """Positions of certain cuts in the bytes of one or more texts; with
@@ -119,23 +146,10 @@ class ForcedBoundaryEncoder:
         ends[1:] = end
         return ids, ends[np.searchsorted(cuts, starts)]
 
-    def _remembered(self, known: dict[bytes, bytes], parts: list[bytes], ids_of) -> list[bytes]:
-        """The ids of ``parts`` from ``known``, which gets those it lacks."""
-        found = list(map(known.get, parts))
-        lacking = [p for p, f in zip(parts, found) if f is None]
-        if lacking:
-            new = dict(zip(lacking, ids_of(lacking)))
-            found = [new[p] if f is None else f for p, f in zip(parts, found)]
-            if len(known) + len(new) > CACHE_ENTRIES:
-                for old in list(itertools.islice(known, len(known) // 2)):
-                    del known[old]
-            known.update((p, i) for p, i in new.items() if len(p) <= 64)
-        return found
-
     def _fragment_ids(self, parts: list[bytes]) -> list[bytes]:
         encode = lambda lacking: [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(
             [p.decode() for p in lacking], add_special_tokens=False)]
-        return self._remembered(self._fragments, parts, encode)
+        return self._fragments.ids(parts, encode)
 
     def _word_ids(self, parts: list[bytes]) -> list[bytes]:
         """The ids of what stands between blanks: cut at every other certain
@@ -147,7 +161,7 @@ class ForcedBoundaryEncoder:
             raw = ids.tobytes()
             return [raw[4 * a:4 * b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
-        return self._remembered(self._words, parts, encode)
+        return self._words.ids(parts, encode)
 
     def _encode_together(self, parts: list[bytes]) -> list[np.ndarray]:
         """The ids of texts without special tokens."""
