@@ -264,6 +264,21 @@ def test_sharding(docs, rows):
     assert many.min() > 3800 and many.max() < 4500
 
 
+def test_jump_hash_one_key_at_a_time():
+    def scalar(key, shards):
+        at, jump = -1, 0
+        while jump < shards:
+            at = jump
+            key = (key * 2862933555777941757 + 1) % (1 << 64)
+            jump = int((at + 1) * ((1 << 31) / ((key >> 33) + 1)))
+        return at
+
+    r = random.Random(8)
+    keys = [0, 1, (1 << 64) - 1, 1 << 63, *(r.getrandbits(64) for _ in range(3000))]
+    for shards in (1, 2, 24, 25, 1000):
+        assert sharding.jump_hash(np.array(keys, np.uint64), shards).tolist() == [scalar(k, shards) for k in keys]
+
+
 def _by_record(rows):
     records = defaultdict(list)
     for r in rows:
