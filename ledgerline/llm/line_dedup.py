@@ -15,16 +15,22 @@ with the substrings that can match there. Lines that meet under a key are
 candidates; their texts are then fetched and verified by banded bit-parallel
 edit distance.
 
-Under a key with more than ``MEET`` lines no pairs are formed: its lines are
-dealt into blocks and blocks are compared pairwise, each task giving a
-spanning forest of the links it finds. That path is exact too, and its rows
-grow with a key's lines, not with their square.
+Under a key with more than ``MEET`` lines no pairs are formed. Its lines go
+through the join once more, cut into more segments (``SEGMENTS``): edits leave
+all segments but as many whole, so a key is now all of a line but that many of
+its segments, and lines of one template meet no longer under the template
+alone. Lines crowded there go on to still more segments. What is crowded at
+the last step agrees on nearly every character; those lines are dealt into
+blocks and blocks are compared pairwise. Every step is exact: a pair within
+the edits meets under some key, which either forms it or hands both lines on.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, combinations, pairwise, product
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -41,11 +47,14 @@ MAX_EDITS = 2
 # one: two edits are a fifth of such a line, and most of a word or two.
 MIN_CHARS = 10
 MEET = 32
+# Segments of the lines that were crowded in the step before. A step is left
+# out if it would give a line more than MASKS keys of its own.
+SEGMENTS = (8, 16, 48)
+MASKS = 1200
 BLOCK = 256
 # Candidate lines up to this many (8 bytes each) are broadcast to filter the
 # second scan; beyond it the scan is joined by a shuffle.
 BROADCAST_LINES = 1 << 20
-_HASH_SEED = 42  # of the built-in xxhash64
 
 
 def within(a: str, b: str, k: int) -> bool:
@@ -105,22 +114,29 @@ def allowed(length: int, edits: int, shortest: int) -> int:
     return 0 if length <= edits else edits if length >= shortest else min(edits, 1)
 
 
+def _segments(length: int, parts: int) -> list[tuple[int, int]]:
+    """(start, end) of ``parts`` segments, the longer ones last."""
+    size, longer = divmod(length, parts)
+    starts = np.cumsum([0, *(size + (i >= parts - longer) for i in range(parts))]).tolist()
+    return list(pairwise(starts))
+
+
+# What a line looks under: a seed and the (start, end) of the parts it hashes.
+Probe = tuple[int, tuple[tuple[int, int], ...]]
+
+
 @lru_cache(maxsize=100_000)
-def substrings(length: int, edits: int, shortest: int) -> tuple[tuple[tuple[int, int, int], ...], int]:
-    """(seed, start, end) of what a line of ``length`` looks under: its own
-    segments first (their number comes second in the result), then the
-    substrings it probes indexes of its own and shorter lengths with, chosen
-    by the edits that can lie to the left and right of a match. The shorter of
-    two lines, which is the indexed one, decides how many edits are allowed."""
+def substrings(length: int, edits: int, shortest: int) -> tuple[tuple[Probe, ...], int]:
+    """What a line of ``length`` looks under: its own segments first (their
+    number comes second in the result), then the substrings it probes indexes
+    of its own and shorter lengths with, chosen by the edits that can lie to
+    the left and right of a match. The shorter of two lines, which is the
+    indexed one, decides how many edits are allowed."""
 
     def segments(n: int) -> list[tuple[int, int]]:
-        parts = allowed(n, edits, shortest) + 1
-        size, longer = divmod(n, parts)
-        sizes = [size + (i >= parts - longer) for i in range(parts)]
-        starts = np.cumsum([0, *sizes]).tolist()
-        return list(zip(starts, starts[1:]))
+        return _segments(n, allowed(n, edits, shortest) + 1)
 
-    own = [(length * (edits + 1) + i, a, b) for i, (a, b) in enumerate(segments(length))]
+    own = [(length * (edits + 1) + i, (part,)) for i, part in enumerate(segments(length))]
     probes = []
     for indexed in range(max(edits + 1, length - edits), length + 1):
         shift, most = length - indexed, allowed(indexed, edits, shortest)
@@ -129,31 +145,54 @@ def substrings(length: int, edits: int, shortest: int) -> tuple[tuple[tuple[int,
         for i, (a, b) in enumerate(segments(indexed)):
             right = most - i
             for start in range(max(0, a - i, a + shift - right), min(length - (b - a), a + i, a + shift + right) + 1):
-                probe = (indexed * (edits + 1) + i, start, start + b - a)
+                probe = (indexed * (edits + 1) + i, ((start, start + b - a),))
                 if probe not in own:
                     probes.append(probe)
     return (*own, *probes), len(own)
 
 
-def _entries(docs: DataFrame, edits: int, shortest: int) -> DataFrame:
-    """(key, line, indexed): what every line that may have edits looks under. ``line``
-    is its 64-bit hash, the built-in xxhash64."""
+@lru_cache(maxsize=64)  # some thousand spans each; a batch's lines come by length
+def remainders(length: int, edits: int, shortest: int, parts: int) -> tuple[tuple[Probe, ...], int]:
+    """Like :func:`substrings`, for lines cut into ``parts`` segments of which
+    as many are left out as there may be edits: the rest in between stands
+    whole in the other line, each stretch of it moved by the insertions and
+    deletions before it, one step at most for each segment left out."""
+
+    def masks(indexed: int, shift: int, moving: tuple[int, ...]) -> Iterator[Probe]:
+        most = allowed(indexed, edits, shortest)
+        segments = _segments(indexed, min(indexed, parts))
+        ways = [[0, *accumulate(steps)] for steps in product(moving, repeat=most) if sum(steps) == shift]
+        for number, out in enumerate(combinations(segments, most)):
+            edges = [0, *chain.from_iterable(out), indexed]
+            stretches = list(zip(edges[::2], edges[1::2]))
+            for moves in ways:
+                yield indexed * (MASKS + 1) + number, tuple((a + m, b + m) for (a, b), m in zip(stretches, moves) if a < b)
+
+    every = dict.fromkeys(masks(length, 0, (0,)))
+    own = len(every)
+    for indexed in range(max(edits + 1, length - edits), length + 1):
+        every.update(dict.fromkeys(masks(indexed, length - indexed, (-1, 0, 1))))
+    return tuple(every), own
+
+
+def _entries(lines: DataFrame, plan: Callable[[int], tuple[tuple[Probe, ...], int]]) -> DataFrame:
+    """(key, line, indexed): what every line (hash, line) looks under by
+    ``plan``. In the result ``line`` is the hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for batch in batches:
-            lines = {line for text in batch.column("text") for line in text.as_py().split("\n") if len(line) > edits and line.strip(" ")}
             keys: list[int] = []
             owners, counts, index_counts = [], [], []
-            for line in lines:
-                plan, own = substrings(len(line), edits, shortest)
+            for owner, line in sorted(zip(batch.column("hash").to_pylist(), batch.column("line").to_pylist()), key=lambda r: len(r[1])):
+                probes, own = plan(len(line))
                 raw = line.encode()
                 if len(raw) == len(line):
-                    keys += [digest(raw[a:b], seed) for seed, a, b in plan]
+                    keys += [digest(b"".join([raw[a:b] for a, b in spans]), seed) for seed, spans in probes]
                 else:
-                    keys += [digest(line[a:b].encode(), seed) for seed, a, b in plan]
-                owners.append(digest(raw, _HASH_SEED))
-                counts.append(len(plan))
+                    keys += [digest("".join([line[a:b] for a, b in spans]).encode(), seed) for seed, spans in probes]
+                owners.append(owner)
+                counts.append(len(probes))
                 index_counts.append(own)
                 if len(keys) >= 200_000:
                     yield _entry_batch(keys, owners, counts, index_counts)
@@ -161,14 +200,14 @@ def _entries(docs: DataFrame, edits: int, shortest: int) -> DataFrame:
             if keys:
                 yield _entry_batch(keys, owners, counts, index_counts)
 
-    return texts(docs).select("text").mapInArrow(run, "key bigint, line bigint, indexed boolean")
+    return lines.select("hash", "line").mapInArrow(run, "key bigint, line bigint, indexed boolean")
 
 
 def _entry_batch(keys, owners, counts, index_counts) -> pa.RecordBatch:
     count = np.array(counts)
     place = np.arange(len(keys)) - np.repeat(np.cumsum(count) - count, count)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.repeat(np.array(owners, np.uint64).view(np.int64), count)),
+        [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.repeat(np.array(owners, np.int64), count)),
          pa.array(place < np.repeat(index_counts, count))], names=["key", "line", "indexed"])
 
 
@@ -236,23 +275,10 @@ def _verify_pairs(edits: int, shortest: int):
 def _verify_block(edits: int, shortest: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         first, other = rows[rows["block"] == rows["low"].iloc[0]], rows[rows["block"] == rows["high"].iloc[0]]
-        parent: dict[str, str] = {}
-
-        def root(x: str) -> str:
-            while parent.get(x, x) != x:
-                parent[x] = x = parent.get(parent[x], parent[x])
-            return x
-
-        links = []
         same = rows["low"].iloc[0] == rows["high"].iloc[0]
         right = list(zip(other["id"], other["text"]))
-        for i, (x, text) in enumerate(zip(first["id"], first["text"])):
-            for y, also in right[i + 1:] if same else right:
-                rx, ry = root(x), root(y)
-                # what is connected already needs no comparison
-                if rx != ry and within(text, also, allowed(min(len(text), len(also)), edits, shortest)):
-                    parent[max(rx, ry)] = min(rx, ry)
-                    links.append((x, y))
+        links = [(x, y) for i, (x, text) in enumerate(zip(first["id"], first["text"])) for y, also in (right[i + 1:] if same else right)
+                 if within(text, also, allowed(min(len(text), len(also)), edits, shortest))]
         return pd.DataFrame(links, columns=["id_a", "id_b"])
 
     return run
@@ -264,38 +290,55 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return cut.where(F.trim("line") != "")
 
 
+def _named(lines: DataFrame, hashes: DataFrame, name: str) -> DataFrame:
+    """The rows of ``lines`` whose hash is in ``hashes``, staged."""
+    wanted = stage(hashes.distinct(), name)
+    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
+    return stage(lines.join(side, "hash", "left_semi"), name + "_lines")
+
+
 def near_links(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHARS) -> DataFrame:
-    """(id_a, id_b): links (MD5 of the lines) that connect all different lines
-    within the :func:`allowed` edits of each other, directly or through
-    others."""
+    """(id_a, id_b): every two different lines (MD5) within the :func:`allowed`
+    edits of each other, once, the smaller id first."""
     ship_package(docs.sparkSession)
-    met = stage(_meetings(_entries(docs, edits, shortest)), "met")
-    pairs = met.where("key is null").select("a", "b").distinct()
-    crowds = met.where("key is not null").select("key", F.col("a").alias("line")).distinct()
-    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("hash")).unionByName(crowds.select(F.col("line").alias("hash")))
-                   .distinct(), "wanted")
-    lines = lines_of(docs).where(F.char_length("line") > edits).select(F.xxhash64("line").alias("hash"), "line")
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
-    found = stage(lines.join(side, "hash", "left_semi").distinct().select("hash", F.md5("line").alias("id"), "line"), "found")
+    lines = stage(lines_of(docs).where(F.char_length("line") > edits).select("line").distinct()
+                  .select(F.xxhash64("line").alias("hash"), "line"), "different")
+    plans = [lambda n: substrings(n, edits, shortest)]
+    plans += [lambda n, parts=parts: remainders(n, edits, shortest, parts) for parts in SEGMENTS if comb(parts, edits) <= MASKS]
+    at, pairs, crowds = lines, None, None
+    for step, plan in enumerate(plans):
+        met = stage(_meetings(_entries(at, plan)), "met")
+        formed = met.where("key is null").select("a", "b")
+        pairs = formed if pairs is None else pairs.unionByName(formed)
+        crowds = met.where("key is not null").select("key", F.col("a").alias("hash")).distinct()
+        if crowds.limit(1).count() == 0:
+            crowds = None
+            break
+        if step + 1 < len(plans):
+            at = _named(lines, crowds.select("hash"), "crowded")
+    pairs = pairs.distinct()
+    found = _named(lines, pairs.select(F.explode(F.array("a", "b")).alias("hash")), "wanted").select("hash", F.md5("line").alias("id"), "line")
     side_a = found.select(F.col("hash").alias("a"), F.col("id").alias("id_a"), F.col("line").alias("text_a"))
     side_b = found.select(F.col("hash").alias("b"), F.col("id").alias("id_b"), F.col("line").alias("text_b"))
     links = pairs.join(side_a, "a").join(side_b, "b").select("id_a", "id_b", "text_a", "text_b").mapInArrow(
         _verify_pairs(edits, shortest), "id_a string, id_b string")
-    if crowds.limit(1).count() == 0:
-        return links
-    sizes = crowds.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = crowds.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int"))
-    tiles = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.col("line").alias("hash"), "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
-    tiles = tiles.join(found, "hash").select("key", "low", "high", "block", "id", F.col("line").alias("text"))
-    return links.unionByName(tiles.groupBy("key", "low", "high").applyInPandas(_verify_block(edits, shortest), "id_a string, id_b string"))
+    if crowds is not None:
+        sizes = crowds.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        dealt = crowds.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int"))
+        tiles = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "key", "hash", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+        tiles = tiles.join(lines, "hash").select("key", "low", "high", "block", F.md5("line").alias("id"), F.col("line").alias("text"))
+        links = links.unionByName(
+            tiles.groupBy("key", "low", "high").applyInPandas(_verify_block(edits, shortest), "id_a string, id_b string"))
+    links = links.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
+    return links if crowds is None else links.distinct()
 
 
 def line_classes(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHARS) -> DataFrame:
     """One row per line that is not blank: doc_id, line_no, n_chars, copies
     (lines equal to it), class_doc and class_line (the first line of its
-    class), class_size (lines in the class) and kept (whether it is that
-    first line).
+    class), class_size (lines in the class), n_links (different lines it is
+    linked to directly) and kept (whether it is that first line).
 
     Null and empty texts have no lines. A null doc_id stands before all
     others; rows that repeat a doc_id are one document, so the line that
@@ -304,16 +347,19 @@ def line_classes(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CH
     occurrences = stage(lines_of(docs).select("doc_id", "line_no", F.char_length("line").alias("n_chars"), F.md5("line").alias("id")), "lines")
     place = F.struct(order_key("doc_id").alias("key"), "line_no", "doc_id")
     distinct = occurrences.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-    joined = stage(connected_components(near_links(docs, edits, shortest)), "classes").withColumnRenamed("node", "id")
+    links = stage(near_links(docs, edits, shortest), "near")
+    degrees = links.select(F.explode(F.array("id_a", "id_b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
+    joined = stage(connected_components(links).withColumnRenamed("node", "id").join(degrees, "id"), "classes")
     distinct = stage(distinct.join(joined, "id", "left"), "distinct_lines")
     linked = distinct.where("component is not null")
     whole = linked.groupBy("component").agg(F.min("first").alias("class_first"), F.sum("copies").alias("class_size"))
-    classes = linked.join(whole, "component").select("id", "copies", "class_first", "class_size").unionByName(
-        distinct.where("component is null").select("id", "copies", F.col("first").alias("class_first"), F.col("copies").alias("class_size")))
+    classes = linked.join(whole, "component").select("id", "copies", "n_links", "class_first", "class_size").unionByName(
+        distinct.where("component is null").select("id", "copies", F.lit(0).cast("bigint").alias("n_links"),
+                                                  F.col("first").alias("class_first"), F.col("copies").alias("class_size")))
     same = F.col("doc_id").eqNullSafe(F.col("class_first.doc_id")) & (F.col("line_no") == F.col("class_first.line_no"))
     return occurrences.join(classes, "id").select(
         "doc_id", "line_no", "n_chars", "copies", F.col("class_first.doc_id").alias("class_doc"),
-        F.col("class_first.line_no").alias("class_line"), "class_size", same.alias("kept"))
+        F.col("class_first.line_no").alias("class_line"), "class_size", "n_links", same.alias("kept"))
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:

@@ -58,17 +58,48 @@ def test_short_near_lines(spark, monkeypatch, meet):
     # brute force, the rule written out: two edits from 10 code points on, one from 3 on, none below
     most = lambda n: 2 if n >= 10 else 1 if n >= 3 else 0
     part = list(range(len(lines)))
+    near = set()
     for i in range(len(lines)):
         for j in range(i):
-            if part[i] != part[j] and distance(lines[i], lines[j]) <= most(min(len(lines[i]), len(lines[j]))):
+            if distance(lines[i], lines[j]) <= most(min(len(lines[i]), len(lines[j]))):
+                near |= {frozenset((lines[i], lines[j]))} if lines[i] != lines[j] else set()
                 low, high = sorted((part[i], part[j]))
                 part = [low if p == high else p for p in part]
     df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id bigint, text string")
-    got = {r.doc_id: (r.class_doc, r.class_size, r.kept) for r in line_dedup.line_classes(df).collect()}
-    assert got == {i: (p, part.count(p), p == i) for i, p in enumerate(part)}
+    got = {r.doc_id: (r.class_doc, r.class_size, r.kept, r.n_links) for r in line_dedup.line_classes(df).collect()}
+    assert got == {i: (p, part.count(p), p == i, sum(lines[i] in pair for pair in near)) for i, p in enumerate(part)}
     assert got[1][0] == 0 and got[3][0] == 2 and got[5][0] == 5
 
 
+def test_lines_within_the_edits_share_a_remainder():
+    r = random.Random(3)
+    looks = lambda line, parts: [
+        (seed, tuple(line[a:b] for a, b in spans)) for seed, spans in line_dedup.remainders(len(line), 2, 10, parts)[0]]
+    for _ in range(3_000):
+        n, parts = r.choice([3, 5, 9, 10, 12, 17, 40, 63]), r.choice([2, 3, 8, 16])
+        a = "".join(r.choice("abc") for _ in range(n))
+        near = list(a)
+        for _ in range(r.randint(1, 2)):
+            at = r.randint(0, len(near))
+            near[at:at + r.randint(0, 1)] = r.choice(["", "a", "b"])
+        short, long = sorted(("".join(near), a), key=len)
+        most = 2 if len(short) >= 10 else 1
+        if len(short) > 2 and distance(short, long) <= most:
+            own = line_dedup.remainders(len(short), 2, 10, parts)[1]
+            assert set(looks(short, parts)[:own]) & set(looks(long, parts)), (short, long, parts)
+
+
+def test_lines_of_one_template(spark):
+    """Lines that share most of their text, a few of them near each other."""
+    r = random.Random(4)
+    text = "Order {} was shipped to the registered address".format
+    codes = ["%016x" % r.getrandbits(64) for _ in range(1_500)]
+    lines = [text(c) for c in codes] + [text(c[:5] + "x" + c[6:]) for c in codes[:10]] + [text(c[1:]) for c in codes[10:15]]
+    df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.class_doc, r.n_links) for r in line_dedup.line_classes(df).collect()}
+    assert got == {i: (i - 1_500 if i >= 1_500 else i, int(i < 15 or i >= 1_500)) for i in range(len(lines))}
+
+
 def guesses(text, words=secret_scan.FIXED):
     return [text[a:b] for kind, a, b in secret_scan.find_spans(text, words) if kind == "guess"]
 
