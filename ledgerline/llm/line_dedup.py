@@ -19,16 +19,18 @@ Under a key with more than ``MEET`` lines no pairs are formed. Its lines go
 through the join once more, cut into more segments (``SEGMENTS``): edits leave
 all segments but as many whole, so a key is now all of a line but that many of
 its segments, and lines of one template meet no longer under the template
-alone. Lines crowded there go on to still more segments. What is crowded at
-the last step agrees on nearly every character; those lines are dealt into
-blocks and blocks are compared pairwise. Every step is exact: a pair within
-the edits meets under some key, which either forms it or hands both lines on.
+alone. Every step is exact: a pair within the edits meets under some key,
+which either forms it or hands both lines on. Lines crowded in the last step
+too, which agree with many others on nearly all their characters, are dealt
+into blocks under their first keys, and blocks are compared pairwise, each
+task giving a spanning forest of the links it finds: rows grow with a key's
+lines, not with their square.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from itertools import accumulate, chain, combinations, pairwise, product
 from math import comb
 
@@ -49,8 +51,8 @@ MIN_CHARS = 10
 MEET = 32
 # Segments of the lines that were crowded in the step before. A step is left
 # out if it would give a line more than MASKS keys of its own.
-SEGMENTS = (8, 16, 48)
-MASKS = 1200
+SEGMENTS = (8, 16)
+MASKS = 600
 BLOCK = 256
 # Candidate lines up to this many (8 bytes each) are broadcast to filter the
 # second scan; beyond it the scan is joined by a shuffle.
@@ -211,18 +213,19 @@ def _entry_batch(keys, owners, counts, index_counts) -> pa.RecordBatch:
          pa.array(place < np.repeat(index_counts, count))], names=["key", "line", "indexed"])
 
 
-def _meetings(entries: DataFrame) -> DataFrame:
-    """(a, b, key): candidate pairs with a null key, and for keys with more
-    than MEET lines each line as ``a`` with its key. Keys pass in order, so a
-    task holds one key's lines at a time, and never more than MEET of them."""
+def _meetings(entries: DataFrame, keyed: bool) -> DataFrame:
+    """(a, b, key): candidate pairs with a null key, and lines (``a``) of keys
+    with more than MEET, with their key if ``keyed``, else once a batch with
+    key 0. Keys pass in order, so a task holds one key's lines at a time, and
+    never more than MEET of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held, crowded = None, {}, False  # held: whether a line is indexed
 
-        def close(out: list[tuple]) -> None:
+        def close(out: set[tuple]) -> None:
             if not crowded and len(held) > 1:
                 indexed = [line for line, own in held.items() if own]
-                out += {(min(i, p), max(i, p), None) for i in indexed for p in held if i != p}
+                out.update({(min(i, p), max(i, p), None) for i in indexed for p in held if i != p})
 
         for batch in batches:
             key, line, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "line", "indexed"))
@@ -233,7 +236,7 @@ def _meetings(entries: DataFrame) -> DataFrame:
             mixed = np.minimum.reduceat(line, starts) != np.maximum.reduceat(line, starts)
             # groups that may go on in a neighbouring batch count as mixed
             mixed[0] = mixed[-1] = True
-            out: list[tuple] = []
+            out: set[tuple] = set()
             for g in np.flatnonzero(mixed).tolist():
                 k = int(key[starts[g]])
                 if k != held_key:
@@ -241,16 +244,16 @@ def _meetings(entries: DataFrame) -> DataFrame:
                     held_key, held, crowded = k, {}, False
                 for x, i in zip(line[starts[g]:ends[g]].tolist(), own[starts[g]:ends[g]].tolist()):
                     if crowded:
-                        out.append((x, None, k))
+                        out.add((x, None, k if keyed else 0))
                     else:
                         held[x] = held.get(x, False) or i
                         if len(held) > MEET:
                             crowded = True
-                            out += [(y, None, k) for y in held]
+                            out.update((y, None, k if keyed else 0) for y in held)
                             held = {}
             if out:
                 yield _meeting_batch(out)
-        out = []
+        out = set()
         close(out)
         if out:
             yield _meeting_batch(out)
@@ -258,7 +261,7 @@ def _meetings(entries: DataFrame) -> DataFrame:
     return entries.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint, key bigint")
 
 
-def _meeting_batch(rows: list[tuple]) -> pa.RecordBatch:
+def _meeting_batch(rows: set[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["a", "b", "key"])
 
 
@@ -274,11 +277,17 @@ def _verify_pairs(edits: int, shortest: int):
 
 def _verify_block(edits: int, shortest: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        first, other = rows[rows["block"] == rows["low"].iloc[0]], rows[rows["block"] == rows["high"].iloc[0]]
-        same = rows["low"].iloc[0] == rows["high"].iloc[0]
-        right = list(zip(other["id"], other["text"]))
-        links = [(x, y) for i, (x, text) in enumerate(zip(first["id"], first["text"])) for y, also in (right[i + 1:] if same else right)
-                 if within(text, also, allowed(min(len(text), len(also)), edits, shortest))]
+        first = rows[rows["block"] == rows["low"].iloc[0]]
+        both = first if rows["low"].iloc[0] == rows["high"].iloc[0] else pd.concat([first, rows[rows["block"] == rows["high"].iloc[0]]])
+        text, ids, class_ = both["text"].tolist(), both["id"].tolist(), np.arange(len(both))
+        links = []
+        for i in range(len(first)):
+            start = i + 1 if len(both) == len(first) else len(first)
+            # what is connected already needs no comparison
+            for j in (np.flatnonzero(class_[start:] != class_[i]) + start).tolist():
+                if class_[i] != class_[j] and within(text[i], text[j], allowed(min(len(text[i]), len(text[j])), edits, shortest)):
+                    class_[class_ == class_[j]] = class_[i]
+                    links.append((ids[i], ids[j]))
         return pd.DataFrame(links, columns=["id_a", "id_b"])
 
     return run
@@ -298,40 +307,40 @@ def _named(lines: DataFrame, hashes: DataFrame, name: str) -> DataFrame:
 
 
 def near_links(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHARS) -> DataFrame:
-    """(id_a, id_b): every two different lines (MD5) within the :func:`allowed`
-    edits of each other, once, the smaller id first."""
+    """(id_a, id_b): links (MD5 of the lines) that connect all different lines
+    within the :func:`allowed` edits of each other, directly or through
+    others."""
     ship_package(docs.sparkSession)
     lines = stage(lines_of(docs).where(F.char_length("line") > edits).select("line").distinct()
                   .select(F.xxhash64("line").alias("hash"), "line"), "different")
-    plans = [lambda n: substrings(n, edits, shortest)]
-    plans += [lambda n, parts=parts: remainders(n, edits, shortest, parts) for parts in SEGMENTS if comb(parts, edits) <= MASKS]
-    at, pairs, crowds = lines, None, None
-    for step, plan in enumerate(plans):
-        met = stage(_meetings(_entries(at, plan)), "met")
-        formed = met.where("key is null").select("a", "b")
-        pairs = formed if pairs is None else pairs.unionByName(formed)
-        crowds = met.where("key is not null").select("key", F.col("a").alias("hash")).distinct()
-        if crowds.limit(1).count() == 0:
-            crowds = None
-            break
-        if step + 1 < len(plans):
-            at = _named(lines, crowds.select("hash"), "crowded")
+    met = stage(_meetings(_entries(lines, lambda n: substrings(n, edits, shortest)), True), "met")
+    pairs = met.where("key is null").select("a", "b")
+    crowds = met.where("key is not null").select("key", F.col("a").alias("hash")).distinct()
+    crowded = crowds.limit(1).count() > 0
+    left = crowds
+    for parts in SEGMENTS:
+        if crowded and comb(parts, edits) <= MASKS:
+            met = stage(_meetings(_entries(_named(lines, left.select("hash"), "crowded"), partial(
+                remainders, edits=edits, shortest=shortest, parts=parts)), False), "met")
+            pairs = pairs.unionByName(met.where("key is null").select("a", "b"))
+            left = met.where("key is not null").select(F.col("a").alias("hash")).distinct()
+            crowded = left.limit(1).count() > 0
     pairs = pairs.distinct()
     found = _named(lines, pairs.select(F.explode(F.array("a", "b")).alias("hash")), "wanted").select("hash", F.md5("line").alias("id"), "line")
     side_a = found.select(F.col("hash").alias("a"), F.col("id").alias("id_a"), F.col("line").alias("text_a"))
     side_b = found.select(F.col("hash").alias("b"), F.col("id").alias("id_b"), F.col("line").alias("text_b"))
     links = pairs.join(side_a, "a").join(side_b, "b").select("id_a", "id_b", "text_a", "text_b").mapInArrow(
         _verify_pairs(edits, shortest), "id_a string, id_b string")
-    if crowds is not None:
-        sizes = crowds.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        dealt = crowds.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int"))
-        tiles = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-            "key", "hash", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
-        tiles = tiles.join(lines, "hash").select("key", "low", "high", "block", F.md5("line").alias("id"), F.col("line").alias("text"))
-        links = links.unionByName(
-            tiles.groupBy("key", "low", "high").applyInPandas(_verify_block(edits, shortest), "id_a string, id_b string"))
-    links = links.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
-    return links if crowds is None else links.distinct()
+    if not crowded:
+        return links
+    # pairs no step has formed have both ends in ``left`` and share a first key
+    crowds = stage(crowds.join(left.select("hash").distinct(), "hash", "left_semi"), "crowds")
+    sizes = crowds.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = crowds.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int"))
+    tiles = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", "hash", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+    tiles = tiles.join(lines, "hash").select("key", "low", "high", "block", F.md5("line").alias("id"), F.col("line").alias("text"))
+    return links.unionByName(tiles.groupBy("key", "low", "high").applyInPandas(_verify_block(edits, shortest), "id_a string, id_b string"))
 
 
 def line_classes(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHARS) -> DataFrame:
@@ -347,19 +356,16 @@ def line_classes(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CH
     occurrences = stage(lines_of(docs).select("doc_id", "line_no", F.char_length("line").alias("n_chars"), F.md5("line").alias("id")), "lines")
     place = F.struct(order_key("doc_id").alias("key"), "line_no", "doc_id")
     distinct = occurrences.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-    links = stage(near_links(docs, edits, shortest), "near")
-    degrees = links.select(F.explode(F.array("id_a", "id_b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    joined = stage(connected_components(links).withColumnRenamed("node", "id").join(degrees, "id"), "classes")
+    joined = stage(connected_components(near_links(docs, edits, shortest)), "classes").withColumnRenamed("node", "id")
     distinct = stage(distinct.join(joined, "id", "left"), "distinct_lines")
     linked = distinct.where("component is not null")
     whole = linked.groupBy("component").agg(F.min("first").alias("class_first"), F.sum("copies").alias("class_size"))
-    classes = linked.join(whole, "component").select("id", "copies", "n_links", "class_first", "class_size").unionByName(
-        distinct.where("component is null").select("id", "copies", F.lit(0).cast("bigint").alias("n_links"),
-                                                  F.col("first").alias("class_first"), F.col("copies").alias("class_size")))
+    classes = linked.join(whole, "component").select("id", "copies", "class_first", "class_size").unionByName(
+        distinct.where("component is null").select("id", "copies", F.col("first").alias("class_first"), F.col("copies").alias("class_size")))
     same = F.col("doc_id").eqNullSafe(F.col("class_first.doc_id")) & (F.col("line_no") == F.col("class_first.line_no"))
     return occurrences.join(classes, "id").select(
         "doc_id", "line_no", "n_chars", "copies", F.col("class_first.doc_id").alias("class_doc"),
-        F.col("class_first.line_no").alias("class_line"), "class_size", "n_links", same.alias("kept"))
+        F.col("class_first.line_no").alias("class_line"), "class_size", same.alias("kept"))
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:

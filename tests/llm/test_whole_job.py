@@ -1,6 +1,7 @@
 """Small cases of jobs that were once done in part only."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -58,16 +59,14 @@ def test_short_near_lines(spark, monkeypatch, meet):
     # brute force, the rule written out: two edits from 10 code points on, one from 3 on, none below
     most = lambda n: 2 if n >= 10 else 1 if n >= 3 else 0
     part = list(range(len(lines)))
-    near = set()
     for i in range(len(lines)):
         for j in range(i):
-            if distance(lines[i], lines[j]) <= most(min(len(lines[i]), len(lines[j]))):
-                near |= {frozenset((lines[i], lines[j]))} if lines[i] != lines[j] else set()
+            if part[i] != part[j] and distance(lines[i], lines[j]) <= most(min(len(lines[i]), len(lines[j]))):
                 low, high = sorted((part[i], part[j]))
                 part = [low if p == high else p for p in part]
     df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id bigint, text string")
-    got = {r.doc_id: (r.class_doc, r.class_size, r.kept, r.n_links) for r in line_dedup.line_classes(df).collect()}
-    assert got == {i: (p, part.count(p), p == i, sum(lines[i] in pair for pair in near)) for i, p in enumerate(part)}
+    got = {r.doc_id: (r.class_doc, r.class_size, r.kept) for r in line_dedup.line_classes(df).collect()}
+    assert got == {i: (p, part.count(p), p == i) for i, p in enumerate(part)}
     assert got[1][0] == 0 and got[3][0] == 2 and got[5][0] == 5
 
 
@@ -96,8 +95,18 @@ def test_lines_of_one_template(spark):
     codes = ["%016x" % r.getrandbits(64) for _ in range(1_500)]
     lines = [text(c) for c in codes] + [text(c[:5] + "x" + c[6:]) for c in codes[:10]] + [text(c[1:]) for c in codes[10:15]]
     df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id bigint, text string")
-    got = {r.doc_id: (r.class_doc, r.n_links) for r in line_dedup.line_classes(df).collect()}
-    assert got == {i: (i - 1_500 if i >= 1_500 else i, int(i < 15 or i >= 1_500)) for i in range(len(lines))}
+    got = {r.doc_id: (r.class_doc, r.class_size) for r in line_dedup.line_classes(df).collect()}
+    assert got == {i: (i - 1_500 if i >= 1_500 else i, 2 if i < 15 or i >= 1_500 else 1) for i in range(len(lines))}
+
+
+def test_lines_crowded_at_every_cut(spark, monkeypatch):
+    """A dense family: every line is near many others, in several blocks."""
+    monkeypatch.setattr(line_dedup, "BLOCK", 16)
+    lines = ["%s was the number of the order that we have shipped" % n for n in range(200, 400)]
+    lines += ["%s is not the number of any order that we have sent" % c for c in "abcdefg"] + ["one line that is near none of the others"]
+    df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id bigint, text string")
+    got = Counter((r.class_doc, r.class_size) for r in line_dedup.line_classes(df).collect())
+    assert got == {(0, 200): 200, (200, 7): 7, (207, 1): 1}
 
 
 def guesses(text, words=secret_scan.FIXED):
