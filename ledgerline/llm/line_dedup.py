@@ -29,7 +29,7 @@ lines, not with their square.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache, partial
 from itertools import accumulate, chain, combinations, pairwise, product
 from math import comb
@@ -177,15 +177,35 @@ def remainders(length: int, edits: int, shortest: int, parts: int) -> tuple[tupl
     return tuple(every), own
 
 
-def _entries(lines: DataFrame, plan: Callable[[int], tuple[tuple[Probe, ...], int]]) -> DataFrame:
-    """(key, line, indexed): what every line (hash, line) looks under by
-    ``plan``. In the result ``line`` is the hash."""
+def left_out(line: str, probe: Probe, edits: int, shortest: int) -> str:
+    """What a probe of :func:`remainders` leaves out, after the edits allowed there."""
+    seed, spans = probe
+    edges = [0, *chain.from_iterable(spans), len(line)]
+    return "\n".join([str(allowed(seed // (MASKS + 1), edits, shortest)), *(line[a:b] for a, b in zip(edges[::2], edges[1::2]))])
+
+
+def near_left_out(a: str, b: str) -> bool:
+    """Whether two lines under one key are near by what it leaves out of them."""
+    most, *parts = a.split("\n")
+    budget = int(most)
+    for x, y in zip(parts, b.split("\n")[1:]):
+        budget -= next((k for k in range(budget + 1) if within(x, y, k)), budget + 1)
+        if budget < 0:
+            return False
+    return True
+
+
+def _entries(lines: DataFrame, edits: int, shortest: int, parts: int | None = None) -> DataFrame:
+    """(key, line, indexed, gap): what every line (hash, line) looks under by
+    :func:`substrings` or, given ``parts``, by :func:`remainders`, then with
+    what is left out. In the result ``line`` is the hash."""
+    plan = partial(remainders, edits=edits, shortest=shortest, parts=parts) if parts else partial(substrings, edits=edits, shortest=shortest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for batch in batches:
             keys: list[int] = []
-            owners, counts, index_counts = [], [], []
+            owners, counts, index_counts, gaps = [], [], [], []
             for owner, line in sorted(zip(batch.column("hash").to_pylist(), batch.column("line").to_pylist()), key=lambda r: len(r[1])):
                 probes, own = plan(len(line))
                 raw = line.encode()
@@ -193,42 +213,52 @@ def _entries(lines: DataFrame, plan: Callable[[int], tuple[tuple[Probe, ...], in
                     keys += [digest(b"".join([raw[a:b] for a, b in spans]), seed) for seed, spans in probes]
                 else:
                     keys += [digest("".join([line[a:b] for a, b in spans]).encode(), seed) for seed, spans in probes]
+                gaps += [left_out(line, probe, edits, shortest) for probe in probes] if parts else [None] * len(probes)
                 owners.append(owner)
                 counts.append(len(probes))
                 index_counts.append(own)
                 if len(keys) >= 200_000:
-                    yield _entry_batch(keys, owners, counts, index_counts)
-                    keys, owners, counts, index_counts = [], [], [], []
+                    yield _entry_batch(keys, owners, counts, index_counts, gaps)
+                    keys, owners, counts, index_counts, gaps = [], [], [], [], []
             if keys:
-                yield _entry_batch(keys, owners, counts, index_counts)
+                yield _entry_batch(keys, owners, counts, index_counts, gaps)
 
-    return lines.select("hash", "line").mapInArrow(run, "key bigint, line bigint, indexed boolean")
+    return lines.select("hash", "line").mapInArrow(run, "key bigint, line bigint, indexed boolean, gap string")
 
 
-def _entry_batch(keys, owners, counts, index_counts) -> pa.RecordBatch:
+def _entry_batch(keys, owners, counts, index_counts, gaps) -> pa.RecordBatch:
     count = np.array(counts)
     place = np.arange(len(keys)) - np.repeat(np.cumsum(count) - count, count)
     return pa.RecordBatch.from_arrays(
         [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.repeat(np.array(owners, np.int64), count)),
-         pa.array(place < np.repeat(index_counts, count))], names=["key", "line", "indexed"])
+         pa.array(place < np.repeat(index_counts, count)), pa.array(gaps, pa.string())], names=["key", "line", "indexed", "gap"])
 
 
-def _meetings(entries: DataFrame, keyed: bool) -> DataFrame:
+def _meetings(entries: DataFrame, first: bool) -> DataFrame:
     """(a, b, key): candidate pairs with a null key, and lines (``a``) of keys
-    with more than MEET, with their key if ``keyed``, else once a batch with
-    key 0. Keys pass in order, so a task holds one key's lines at a time, and
-    never more than MEET of them."""
+    with more than MEET, with their key in the ``first`` step, else once a
+    batch with key 0. Later steps see by what is left out which lines are near
+    and give a spanning forest of a key's. Keys pass in order, so a task holds
+    one key's lines at a time, and never more than MEET of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held, crowded = None, {}, False  # held: whether a line is indexed
+        held_key, held, crowded = None, {}, False  # held: (whether it is indexed, what is left out) of each line
 
         def close(out: set[tuple]) -> None:
-            if not crowded and len(held) > 1:
-                indexed = [line for line, own in held.items() if own]
-                out.update({(min(i, p), max(i, p), None) for i in indexed for p in held if i != p})
+            if crowded or len(held) < 2:
+                return
+            class_ = {line: line for line in held}
+            for x, y in combinations(held, 2):
+                if class_[x] != class_[y] and any(
+                        (own or also) and (first or near_left_out(gap, other)) for own, gap in held[x] for also, other in held[y]):
+                    out.add((min(x, y), max(x, y), None))
+                    if not first:
+                        old = class_[y]
+                        class_.update((z, class_[x]) for z in held if class_[z] == old)
 
         for batch in batches:
             key, line, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "line", "indexed"))
+            gaps = batch.column("gap")
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, int)
             if not len(starts):
                 continue
@@ -242,14 +272,15 @@ def _meetings(entries: DataFrame, keyed: bool) -> DataFrame:
                 if k != held_key:
                     close(out)
                     held_key, held, crowded = k, {}, False
-                for x, i in zip(line[starts[g]:ends[g]].tolist(), own[starts[g]:ends[g]].tolist()):
+                at = slice(starts[g], ends[g])
+                for x, i, gap in zip(line[at].tolist(), own[at].tolist(), gaps[at].to_pylist()):
                     if crowded:
-                        out.add((x, None, k if keyed else 0))
+                        out.add((x, None, k if first else 0))
                     else:
-                        held[x] = held.get(x, False) or i
+                        held.setdefault(x, set()).add((i, gap))
                         if len(held) > MEET:
                             crowded = True
-                            out.update((y, None, k if keyed else 0) for y in held)
+                            out.update((y, None, k if first else 0) for y in held)
                             held = {}
             if out:
                 yield _meeting_batch(out)
@@ -313,15 +344,14 @@ def near_links(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHAR
     ship_package(docs.sparkSession)
     lines = stage(lines_of(docs).where(F.char_length("line") > edits).select("line").distinct()
                   .select(F.xxhash64("line").alias("hash"), "line"), "different")
-    met = stage(_meetings(_entries(lines, lambda n: substrings(n, edits, shortest)), True), "met")
+    met = stage(_meetings(_entries(lines, edits, shortest), True), "met")
     pairs = met.where("key is null").select("a", "b")
     crowds = met.where("key is not null").select("key", F.col("a").alias("hash")).distinct()
     crowded = crowds.limit(1).count() > 0
     left = crowds
     for parts in SEGMENTS:
         if crowded and comb(parts, edits) <= MASKS:
-            met = stage(_meetings(_entries(_named(lines, left.select("hash"), "crowded"), partial(
-                remainders, edits=edits, shortest=shortest, parts=parts)), False), "met")
+            met = stage(_meetings(_entries(_named(lines, left.select("hash"), "crowded"), edits, shortest, parts), False), "met")
             pairs = pairs.unionByName(met.where("key is null").select("a", "b"))
             left = met.where("key is not null").select(F.col("a").alias("hash")).distinct()
             crowded = left.limit(1).count() > 0
