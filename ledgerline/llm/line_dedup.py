@@ -53,6 +53,8 @@ MEET = 32
 # out if it would give a line more than MASKS keys of its own.
 SEGMENTS = (8, 16)
 MASKS = 600
+# Lines that a task remembers, so that a repeated one enters its keys once.
+SEEN = 500_000
 BLOCK = 256
 # Candidate lines up to this many (8 bytes each) are broadcast to filter the
 # second scan; beyond it the scan is joined by a shuffle.
@@ -203,10 +205,14 @@ def _entries(lines: DataFrame, edits: int, shortest: int, parts: int | None = No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
+        seen: set[int] = set()
         for batch in batches:
             keys: list[int] = []
             owners, counts, index_counts, gaps = [], [], [], []
             for owner, line in sorted(zip(batch.column("hash").to_pylist(), batch.column("line").to_pylist()), key=lambda r: len(r[1])):
+                if owner in seen:
+                    continue
+                seen.add(owner)
                 probes, own = plan(len(line))
                 raw = line.encode()
                 if len(raw) == len(line):
@@ -222,6 +228,8 @@ def _entries(lines: DataFrame, edits: int, shortest: int, parts: int | None = No
                     keys, owners, counts, index_counts, gaps = [], [], [], [], []
             if keys:
                 yield _entry_batch(keys, owners, counts, index_counts, gaps)
+            if len(seen) > SEEN:
+                seen.clear()  # a line that enters again changes nothing
 
     return lines.select("hash", "line").mapInArrow(run, "key bigint, line bigint, indexed boolean, gap string")
 
@@ -331,10 +339,10 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def _named(lines: DataFrame, hashes: DataFrame, name: str) -> DataFrame:
-    """The rows of ``lines`` whose hash is in ``hashes``, staged."""
+    """The different ``lines`` whose hash is in ``hashes``, staged."""
     wanted = stage(hashes.distinct(), name)
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
-    return stage(lines.join(side, "hash", "left_semi"), name + "_lines")
+    return stage(lines.join(side, "hash", "left_semi").distinct(), name + "_lines")
 
 
 def near_links(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHARS) -> DataFrame:
@@ -342,8 +350,7 @@ def near_links(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHAR
     within the :func:`allowed` edits of each other, directly or through
     others."""
     ship_package(docs.sparkSession)
-    lines = stage(lines_of(docs).where(F.char_length("line") > edits).select("line").distinct()
-                  .select(F.xxhash64("line").alias("hash"), "line"), "different")
+    lines = lines_of(docs).where(F.char_length("line") > edits).select(F.xxhash64("line").alias("hash"), "line")
     met = stage(_meetings(_entries(lines, edits, shortest), True), "met")
     pairs = met.where("key is null").select("a", "b")
     crowds = met.where("key is not null").select("key", F.col("a").alias("hash")).distinct()
@@ -369,7 +376,7 @@ def near_links(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHAR
     dealt = crowds.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int"))
     tiles = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", "hash", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
-    tiles = tiles.join(lines, "hash").select("key", "low", "high", "block", F.md5("line").alias("id"), F.col("line").alias("text"))
+    tiles = tiles.join(_named(lines, crowds.select("hash"), "dense"), "hash").select("key", "low", "high", "block", F.md5("line").alias("id"), F.col("line").alias("text"))
     return links.unionByName(tiles.groupBy("key", "low", "high").applyInPandas(_verify_block(edits, shortest), "id_a string, id_b string"))
 
 
