@@ -4,8 +4,10 @@ Pieces of at most ``capacity`` tokens are put into as few sequences as
 possible. A sequence is begun with the largest piece that is left; the
 undominated fillings around it, of any number of pieces, are tried from the
 fullest on, and branches whose waste already forbids beating the incumbent
-are cut. The incumbent at the start is the best-fit-decreasing packing. The
-search is by limited discrepancy (Harvey and Ginsberg, 1995): first the
+are cut. The incumbent at the start is the best-fit-decreasing packing or, if
+better, one of :func:`by_number`, which settles first how many pieces share a
+sequence: where pieces are large, the fullest filling spends the small ones
+on the largest and leaves pieces that waste more. The search is by limited discrepancy (Harvey and Ginsberg, 1995): first the
 fullest filling everywhere, then all ways that leave it once, the earliest
 sequences first, then twice, and so on. It ends with a packing that meets the
 lower bound, when nothing is left to try, or after the nodes that ``DESCENTS``
@@ -37,11 +39,38 @@ GROUP_PIECES = 20_000
 # Nodes of search: so many for each sequence, and so many besides.
 DESCENTS = 3
 STEPS = 2_000
+# Shares of a sequence that by_number leaves free, tried in turn.
+SLACKS = (0.0, 0.001, 0.003, 0.01)
+
+
+def number_bound(ordered: np.ndarray, capacity: int) -> int:
+    """Lower bound by the number of pieces in a sequence, for sizes from the
+    smallest on. If q sequences hold j pieces or more, the j * q smallest
+    pieces fit into q sequences; so at most Q(j) do, and a packing into B
+    sequences places at most the sum of min(B, Q(j)) over j."""
+    ends = np.concatenate([[0], np.cumsum(ordered)])
+    most = []
+    for j in range(1, len(ordered) + 1):
+        q = np.arange(1, len(ordered) // j + 1)
+        most.append(int((ends[j * q] <= q * capacity).sum()))
+        if not most[-1]:
+            break
+    most_of = np.array(most)
+    low, high = 0, len(ordered)
+    while low < high:
+        middle = (low + high) // 2
+        if int(np.minimum(most_of, middle).sum()) >= len(ordered):
+            high = middle
+        else:
+            low = middle + 1
+    return low
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
-    """The larger of Martello and Toth's L2 and the bounds by Fekete and
-    Schepers' dual feasible functions u(k): no packing takes fewer sequences."""
+    """The largest of Martello and Toth's L2, the bounds by Fekete and
+    Schepers' dual feasible functions u(k), and :func:`number_bound` of all
+    pieces and of those over a third to an eighth of a sequence: no packing
+    takes fewer sequences."""
     if not len(sizes):
         return 0
     count = np.bincount(sizes, minlength=capacity + 1).astype(np.int64)
@@ -61,6 +90,9 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
         parts, rest = np.divmod((k + 1) * have, capacity)
         scaled = np.where(rest == 0, have * k, parts * capacity)
         best = max(best, -(-int((scaled * count[have]).sum()) // (k * capacity)))
+    ordered = np.sort(sizes)
+    for least in (0, *(capacity // k + 1 for k in range(3, 9))):
+        best = max(best, number_bound(ordered[np.searchsorted(ordered, least):], capacity))
     return best
 
 
@@ -120,6 +152,41 @@ def fullest(count: np.ndarray, room: int) -> tuple[int, ...]:
     return tuple(taken[::-1])
 
 
+def by_number(sizes: np.ndarray, capacity: int, slack: float) -> list[list[int]]:
+    """A packing that settles the number of pieces first. From the largest
+    number m that a sequence may hold down to two, the smallest pieces left,
+    as many as average ``(1 - slack) * capacity / m``, are those that share a
+    sequence by m. From the largest pieces on, each such class is packed by
+    :func:`fullest` fillings around its largest piece, which takes no pieces
+    of a smaller class but goes on with what a larger one has left over."""
+    ordered = np.sort(sizes)
+    ends = np.concatenate([[0], np.cumsum(ordered)])
+    cuts, at, m = [0], 0, capacity // int(ordered[0])
+    while at < len(ordered) and m > 1:
+        n = np.arange(1, len(ordered) - at + 1)
+        fits = (ends[at + n] - ends[at]) * m <= n * (1 - slack) * capacity
+        at += int(n[fits][-1]) if fits.any() else 0  # an average of the smallest pieces only grows
+        cuts.append(at)
+        m = min(m - 1, capacity // int(ordered[at])) if at < len(ordered) else 1
+    cuts.append(len(ordered))
+    count = np.zeros(capacity + 1, np.int64)
+    packed: list[list[int]] = []
+    for a, b in reversed(list(zip(cuts, cuts[1:]))):
+        count += np.bincount(ordered[a:b], minlength=capacity + 1)
+        left = int(count.sum())
+        while left:
+            largest = int(np.flatnonzero(count)[-1])
+            count[largest] -= 1
+            way = fullest(count, capacity - largest)
+            left -= 1 + len(way)
+            if not left and a:  # the class's last sequence may have room for smaller pieces
+                count[largest] += 1
+                break
+            np.subtract.at(count, list(way), 1)
+            packed.append([largest, *way])
+    return packed
+
+
 def dominated(count: np.ndarray, room: int, way: tuple[int, ...]) -> bool:
     """Whether pieces of ``way`` could be changed for one larger piece that is
     left, or two or more of them for one piece as large as they together."""
@@ -179,6 +246,10 @@ def bin_completion(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     """Sequences (lists of sizes) that hold all ``sizes``, 1 to ``capacity``."""
     best = best_fit_decreasing(sizes, capacity)
     bound = lower_bound(sizes, capacity)
+    for slack in SLACKS:
+        if len(best) <= bound:
+            break
+        best = min(best, by_number(sizes, capacity, slack), key=len)
     total = int(sizes.sum())
     steps = DESCENTS * len(best) + STEPS
     limit = 0  # of discrepancies on a path
