@@ -330,9 +330,8 @@ def test_quality():
     r = np.random.default_rng(0)
     good, bad = r.normal(0, 1, (4000, 6)), r.normal(0, 1, (4000, 6)) + np.array([4, 0, 0, 0, 0, 0])
     mixed = np.concatenate([good[2000:3600], bad[:400]])
-    prior = quality_pu.estimate_prior(good[:2000], mixed)
-    model = quality_pu._fit(good[:2000], mixed, prior)
-    assert 0.7 < prior < 0.9
+    model = quality_pu.fit_local(good[:2000], mixed)
+    assert 0.75 < model.prior < 0.85
     assert (model.score(good[3600:]) >= 0.5).mean() > 0.95 and (model.score(bad[400:]) < 0.5).mean() > 0.7
 
 
