@@ -9,7 +9,8 @@ The others stay split too. What a line does to the quoting state is one of
 four things: keep it, leave a quote open, leave none open, or turn it round.
 Composed over a split's lines that gives the split's effect, composed over
 the splits before it the state a split starts in, and from there every line's
-record follows. Only such files' lines are shuffled, by split and by record.
+record follows. Only such files' lines are shuffled, by split, and by record
+those of the records that a split's border cuts.
 """
 
 from __future__ import annotations
@@ -149,7 +150,7 @@ def _state_after(rows: DataFrame, by: Sequence[str], order: str, start: Column)
 
 def _splits(lines: DataFrame) -> DataFrame:
     """file, block, start (state the split begins in), before (records begun
-    in earlier splits) and after.
+    in earlier splits), begun (in this one) and after.
 
     The lines of a split that have an effect are folded in order: the split's
     own effect, and how many lines begin outside quotes if it starts so (with
@@ -184,7 +185,7 @@ def _splits(lines: DataFrame) -> DataFrame:
     begun = F.col("always") + F.when(F.col("start") == 0, F.col("outside")).otherwise(F.col("inside"))
     earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
     return states.withColumn("begun", begun).select(
-        "file", "block", "start", "after", F.coalesce(F.sum("begun").over(earlier), F.lit(0)).alias("before"))
+        "file", "block", "start", "after", F.coalesce(F.sum("begun").over(earlier), F.lit(0)).alias("before"), "begun")
 
 
 def records(spark: SparkSession, paths: Sequence[str], spec: FeedSpec) -> DataFrame:
@@ -199,13 +200,20 @@ def records(spark: SparkSession, paths: Sequence[str], spec: FeedSpec) -> DataFr
     endless = splits.groupBy("file").agg(F.max_by("after", "block").alias("after")).where("after = 1").limit(1).collect()
     if endless:
         raise ValueError(f"{spec.name}: {endless[0].file}: a quote is still open at the end of the file")
-    lines = _state_after(lines.join(splits.drop("after"), ["file", "block"]), ["file", "block"], "at", F.col("start"))
+    lines = _state_after(lines.join(splits.withColumnRenamed("after", "ends"), ["file", "block"]), ["file", "block"], "at", F.col("start"))
     in_split = Window.partitionBy("file", "block").orderBy("at")
     lines = lines.withColumn("begins", (F.coalesce(F.lag("after").over(in_split), F.col("start")) == 0).cast("int"))
     record = F.col("before") + F.sum("begins").over(in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = F.sort_array(F.collect_list(F.struct("block", "at", _text(F.col("value"), spec).alias("text"))))
-    return (lines.withColumn("record", record).groupBy("file", "record").agg(whole.alias("lines"))
-            .select("file", "record", F.regexp_replace(F.array_join("lines.text", "\n"), "\r\\z", "").alias("text")))
+    # Where the lines are, by split, they become records; only those that a
+    # split's border cuts, two a split at most, are put together by a shuffle.
+    cut = ((F.col("start") == 1) & (F.col("record") == F.col("before"))) | (
+        (F.col("ends") == 1) & (F.col("record") == F.col("before") + F.col("begun")))
+    joined = lambda order, text: F.array_join(F.sort_array(F.collect_list(F.struct(order, text)))["text"], "\n")
+    parts = lines.withColumn("record", record).withColumn("cut", cut).groupBy("file", "block", "record", "cut").agg(
+        joined("at", _text(F.col("value"), spec).alias("text")).alias("text"))
+    across = parts.where("cut").groupBy("file", "record").agg(joined("block", "text").alias("text"))
+    return (parts.where("NOT cut").select("file", "record", "text").unionByName(across)
+            .withColumn("text", F.regexp_replace("text", "\r\\z", "")))
 
 
 def _scan(spark: SparkSession, paths: Sequence[str], names: Sequence[str], spec: FeedSpec) -> DataFrame:

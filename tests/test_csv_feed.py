@@ -5,6 +5,7 @@ import csv
 import io
 import os
 import random
+import re
 import subprocess
 import sys
 
@@ -14,7 +15,7 @@ from data_dirs import ROOT, SF_SMALL
 from ledgerline.functions.numbers import is_return_invoice, python_float_nonpositive
 from ledgerline.functions.timestamps import minute_text
 from ledgerline.operators import ingest
-from ledgerline.sources.csv_feed import left_open, read_feed_csv
+from ledgerline.sources.csv_feed import left_open, read_feed_csv, records
 from ledgerline.sources.feeds import ECOMMERCE, ONLINE_RETAIL
 from pyspark.sql import functions as F
 
@@ -132,6 +133,16 @@ def test_each_file_has_its_own_header(spark, tmp_path):
                                        ("3", None, None, None, None, "It\naly"), ("4", "D", None, None, None, None)]
 
 
+def test_only_records_that_a_border_cuts_are_shuffled_again(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A,B\n" + '1,"x\ny"\n' * 50)
+    df = records(spark, [str(tmp_path)], ECOMMERCE)
+    assert df.count() == 51
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    shuffles = re.findall(r"hashpartitioning\(file#\d+, (\w+)", plan)
+    # two reads of the lines by split, and by record those that are cut
+    assert sorted(set(shuffles)) == ["block", "record"] and shuffles.count("record") == 1 and "cut#" in plan
+
+
 def test_invalid_utf8_stops_the_load(spark, tmp_path):
     head = ",".join(ONLINE_RETAIL.headers).encode()
     (tmp_path / "a.csv").write_bytes(b"\xef\xbb\xbf" + head + "\n1,A,caf\u00e9,1,2010-12-01 08:00:00,1.00,5,\u6f22\n".encode())
