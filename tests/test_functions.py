@@ -1,6 +1,7 @@
 """Unit rows for the column functions (cleaning and parsing rules)."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -106,3 +107,23 @@ def test_row_json_matches_python_dumps(spark):
     df = spark.createDataFrame(rows, "a string, b string, c string, d string")
     got = [r[0] for r in df.select(row_json(["a", "b", "c", "d"])).collect()]
     assert got == [json.dumps(dict(zip("abcd", r))) for r in rows]
+
+
+def test_feed_timestamps_by_field(spark):
+    """Against the calendar, field by field."""
+    r = random.Random(3)
+    n = lambda k: str(r.choice([0, 1, 2, 9, 12, 13, 23, 24, 28, 29, 30, 31, 32, 59, 60, 99])).zfill(k)
+    iso = [f"{r.choice(['2010', '2012', '1900', '0001', '9999'])}-{n(2)}-{n(2)} {n(2)}:{n(2)}:{n(2)}" for _ in range(3000)]
+    us = [f"{n(r.choice([1, 2]))}/{n(1)}/{r.choice(['2010', '2012', '1900'])} {n(1)}:{n(2)}" for _ in range(3000)]
+    odd = ["", " ", "unknown", "2010-1-01 08:00:00", "2010-01-01T08:00:00", "2010-01-01 08:00:00Z", "1/2/2010 8:00:00", "1/2/10 8:00", "01/02/2010 08:00\n"]
+    for layout, texts, form in (("iso_hms", iso, "%Y-%m-%d %H:%M:%S"), ("mdy_hm", us, "%m/%d/%Y %H:%M")):
+        def want(t):
+            try:
+                return None if t in odd or t.endswith(":60") or t.endswith(":61") else dt.datetime.strptime(t, form)
+            except ValueError:
+                return None
+        parsed = parse_feed_timestamp(F.col("t"), layout)
+        df = spark.createDataFrame([(t,) for t in texts + odd], "t string").select("t", parsed.alias("p"))
+        for t, p in df.collect():
+            assert p == want(t), (t, p)
+        assert "split(" not in df._jdf.queryExecution().optimizedPlan().toString()  # the text is not split for each field
