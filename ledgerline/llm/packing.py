@@ -22,6 +22,7 @@ costs some 0.02 % of the sequences, whatever the size of the input.
 from __future__ import annotations
 
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bpe import encoder, vocabulary_path
-from ledgerline.llm.common import ship_package, stage, texts
+from ledgerline.llm.common import ARROW_ROWS, ship_package, stage, texts
 
 CAPACITY = 2048
 END_ID = 0
@@ -311,19 +312,31 @@ def bin_completion(sizes: np.ndarray, capacity: int) -> list[list[int]]:
 def _pieces(docs: DataFrame, capacity: int, path: str | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path or vocabulary_path())
-        for batch in batches:
-            rows = []
-            found = bpe.encode_many(t.as_py() for t in batch.column("text"))
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), found):
-                raw = memoryview(np.append(ids, np.uint32(END_ID)).astype("<u4").tobytes())
-                n = len(raw) // 4
-                cuts = [0, *range(n % capacity or capacity, n, capacity), n]
-                rows += [(doc_id, i, a, b - a, zlib.crc32(raw[4 * a:4 * b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-            columns = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
+        waiting: deque[int | None] = deque()
+
+        def given() -> Iterator[str]:  # batches go on into each other, so that the encoder fills its own
+            for batch in batches:
+                waiting.extend(batch.column("doc_id").to_pylist())
+                yield from (t.as_py() for t in batch.column("text"))
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
+        rows = []
+        for ids in bpe.encode_many(given()):
+            doc_id = waiting.popleft()
+            raw = memoryview(np.append(ids, np.uint32(END_ID)).astype("<u4").tobytes())
+            n = len(raw) // 4
+            cuts = [0, *range(n % capacity or capacity, n, capacity), n]
+            rows += [(doc_id, i, a, b - a, zlib.crc32(raw[4 * a:4 * b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+            if len(rows) >= ARROW_ROWS:
+                yield batch_of(rows)
+                rows = []
+        if rows:
+            yield batch_of(rows)
+
     return texts(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
         run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 

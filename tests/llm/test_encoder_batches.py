@@ -1,0 +1,57 @@
+"""What the BPE encoder takes together and remembers."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+
+from ledgerline.llm import bpe, packing
+
+
+def test_remembered_parts_are_encoded_once():
+    asked = []
+
+    def ids_of(parts):
+        asked.append(parts.to_pylist())
+        found = [list(p) for p in asked[-1]]
+        return np.array([i for f in found for i in f], "<u4"), np.cumsum([len(f) for f in found])
+
+    def given(*parts):
+        asked.clear()
+        found = kept.ids(pa.array(parts, pa.large_binary()), ids_of)
+        ids, ends = found.of(np.arange(len(parts)))
+        assert [bytes(p.astype(np.uint8)) for p in np.split(ids, ends[:-1])] == list(parts)
+        return [p for batch in asked for p in batch]
+
+    kept = bpe.Remembered(8)
+    assert given(b"a", b"bc", b"x" * 65) == [b"a", b"bc", b"x" * 65]
+    assert given(b"bc", b"def", b"x" * 65, b"g") == [b"def", b"x" * 65, b"g"]  # long parts are not remembered
+    assert given(b"h", b"bc") == [b"h"]  # the young generation is full: a, bc, def, g grow old
+    assert given(b"a", b"bc", b"h") == []
+    assert given(b"i", b"j", b"k") == [b"i", b"j", b"k"]
+    assert given(b"def", b"a") == [b"def"]  # not met again, so dropped with the old generation
+
+
+def test_batches_are_bounded_by_bytes(monkeypatch):
+    e = bpe.ForcedBoundaryEncoder(bpe.vocabulary_path())
+    sizes, together = [], e._encode_together
+    monkeypatch.setattr(bpe, "BATCH_BYTES", 3000)
+    monkeypatch.setattr(e, "_encode_together", lambda parts: sizes.append(sum(map(len, parts))) or together(parts))
+    texts = ["漢字" * 50, "", "ab cd<|endoftext|>ef", "é" * 100] * 40
+    assert [i.tolist() for i in e.encode_many(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(sizes) < 3000 + 300 and sum(sizes) == sum(len(t.replace("<|endoftext|>", "").encode()) for t in texts)
+
+
+def test_pieces_across_arrow_batches(spark):
+    rows = [(i if i % 7 else None, None if i % 5 == 0 else f"text {i} 漢字 " * (i % 4)) for i in range(2500)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    tokenizer = bpe.encoder(bpe.vocabulary_path()).tokenizer
+    want = []
+    for doc_id, text in rows:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        n, first = len(ids), len(ids) % 16 or 16
+        cuts = [0, *range(first, n, 16), n] if n > first else [0, n]
+        want += [(doc_id, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    assert [tuple(r) for r in packing._pieces(df, 16, None).collect()] == want
