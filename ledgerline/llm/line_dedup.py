@@ -53,6 +53,8 @@ MEET = 32
 # out if it would give a line more than MASKS keys of its own.
 SEGMENTS = (8, 16)
 MASKS = 600
+# Lines that a task remembers, so that it enters none of its lines twice.
+SEEN = 500_000
 BLOCK = 256
 # Candidate lines up to this many (8 bytes each) are broadcast to filter the
 # second scan; beyond it the scan is joined by a shuffle.
@@ -198,15 +200,20 @@ def near_left_out(a: str, b: str) -> bool:
 def _entries(lines: DataFrame, edits: int, shortest: int, parts: int | None = None) -> DataFrame:
     """(key, line, indexed, gap): what every line (hash, line) looks under by
     :func:`substrings` or, given ``parts``, by :func:`remainders`, then with
-    what is left out. In the result ``line`` is the hash."""
+    what is left out. In the result ``line`` is the hash. Equal lines of a
+    task enter once, those of different tasks once each: their entries are the
+    same and meet as one, so texts need no shuffle to find them."""
     plan = partial(remainders, edits=edits, shortest=shortest, parts=parts) if parts else partial(substrings, edits=edits, shortest=shortest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
+        seen: set[int] = set()
         for batch in batches:
             keys: list[int] = []
             owners, counts, index_counts, gaps = [], [], [], []
-            for owner, line in sorted(zip(batch.column("hash").to_pylist(), batch.column("line").to_pylist()), key=lambda r: len(r[1])):
+            new = {owner: line for owner, line in zip(batch.column("hash").to_pylist(), batch.column("line").to_pylist()) if owner not in seen}
+            seen.update(new)
+            for owner, line in sorted(new.items(), key=lambda r: len(r[1])):
                 probes, own = plan(len(line))
                 raw = line.encode()
                 if len(raw) == len(line):
@@ -222,6 +229,8 @@ def _entries(lines: DataFrame, edits: int, shortest: int, parts: int | None = No
                     keys, owners, counts, index_counts, gaps = [], [], [], [], []
             if keys:
                 yield _entry_batch(keys, owners, counts, index_counts, gaps)
+            if len(seen) > SEEN:
+                seen.clear()  # a line that enters again changes nothing
 
     return lines.select("hash", "line").mapInArrow(run, "key bigint, line bigint, indexed boolean, gap string")
 
@@ -331,19 +340,24 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def _named(lines: DataFrame, hashes: DataFrame, name: str) -> DataFrame:
-    """The rows of ``lines`` whose hash is in ``hashes``, staged."""
+    """The different ``lines`` (hash, line) whose hash is in ``hashes``, staged."""
     wanted = stage(hashes.distinct(), name)
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
-    return stage(lines.join(side, "hash", "left_semi"), name + "_lines")
+    return stage(lines.join(side, "hash", "left_semi").distinct(), name + "_lines", "zstd")
 
 
 def near_links(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHARS) -> DataFrame:
     """(id_a, id_b): links (MD5 of the lines) that connect all different lines
     within the :func:`allowed` edits of each other, directly or through
     others."""
-    ship_package(docs.sparkSession)
-    lines = stage(lines_of(docs).where(F.char_length("line") > edits).select("line").distinct()
-                  .select(F.xxhash64("line").alias("hash"), "line"), "different")
+    return _links(stage(lines_of(docs).select("line"), "lines", "zstd"), edits, shortest)
+
+
+def _links(lines: DataFrame, edits: int, shortest: int) -> DataFrame:
+    """The links of :func:`near_links` from the column ``line``, staged, of
+    all lines."""
+    ship_package(lines.sparkSession)
+    lines = lines.where(F.char_length("line") > edits).select(F.xxhash64("line").alias("hash"), "line")
     met = stage(_meetings(_entries(lines, edits, shortest), True), "met")
     pairs = met.where("key is null").select("a", "b")
     crowds = met.where("key is not null").select("key", F.col("a").alias("hash")).distinct()
@@ -369,7 +383,7 @@ def near_links(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHAR
     dealt = crowds.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int"))
     tiles = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", "hash", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
-    tiles = tiles.join(lines, "hash").select("key", "low", "high", "block", F.md5("line").alias("id"), F.col("line").alias("text"))
+    tiles = tiles.join(_named(lines, crowds.select("hash"), "dense"), "hash").select("key", "low", "high", "block", F.md5("line").alias("id"), F.col("line").alias("text"))
     return links.unionByName(tiles.groupBy("key", "low", "high").applyInPandas(_verify_block(edits, shortest), "id_a string, id_b string"))
 
 
@@ -383,11 +397,14 @@ def line_classes(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CH
     others; rows that repeat a doc_id are one document, so the line that
     stays does so in each of them. An empty table gives an empty result.
     """
-    occurrences = stage(lines_of(docs).select("doc_id", "line_no", F.char_length("line").alias("n_chars"), F.md5("line").alias("id")), "lines")
+    # ids are shuffled and written as bytes, half of what their digits take
+    lines = stage(lines_of(docs).select("doc_id", "line_no", F.char_length("line").alias("n_chars"), F.unhex(F.md5("line")).alias("id"), "line"),
+                  "lines", "zstd")
+    occurrences = lines.drop("line")
     place = F.struct(order_key("doc_id").alias("key"), "line_no", "doc_id")
     distinct = occurrences.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-    joined = stage(connected_components(near_links(docs, edits, shortest)), "classes").withColumnRenamed("node", "id")
-    distinct = stage(distinct.join(joined, "id", "left"), "distinct_lines")
+    joined = stage(connected_components(_links(lines, edits, shortest)), "classes").select(F.unhex("node").alias("id"), "component")
+    distinct = stage(distinct.join(joined, "id", "left"), "distinct_lines", "zstd")
     linked = distinct.where("component is not null")
     whole = linked.groupBy("component").agg(F.min("first").alias("class_first"), F.sum("copies").alias("class_size"))
     classes = linked.join(whole, "component").select("id", "copies", "class_first", "class_size").unionByName(
