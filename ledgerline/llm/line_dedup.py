@@ -31,7 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache, partial
-from itertools import accumulate, chain, combinations, pairwise, product
+from itertools import accumulate, chain, combinations, pairwise, product, repeat
 from math import comb
 
 import numpy as np
@@ -53,6 +53,8 @@ MEET = 32
 # out if it would give a line more than MASKS keys of its own.
 SEGMENTS = (8, 16)
 MASKS = 600
+# All bits of a key but the one that tells whether the line is indexed.
+ANY = -2
 # Lines that a task remembers, so that it enters none of its lines twice.
 SEEN = 500_000
 BLOCK = 256
@@ -198,9 +200,10 @@ def near_left_out(a: str, b: str) -> bool:
 
 
 def _entries(lines: DataFrame, edits: int, shortest: int, parts: int | None = None) -> DataFrame:
-    """(key, line, indexed, gap): what every line (hash, line) looks under by
+    """(key, line): what every line (hash, line) looks under by
     :func:`substrings` or, given ``parts``, by :func:`remainders`, then with
-    what is left out. In the result ``line`` is the hash. Equal lines of a
+    ``gap``, what is left out. In the result ``line`` is the hash and the
+    key's last bit tells whether the line is indexed there. Equal lines of a
     task enter once, those of different tasks once each: their entries are the
     same and meet as one, so texts need no shuffle to find them."""
     plan = partial(remainders, edits=edits, shortest=shortest, parts=parts) if parts else partial(substrings, edits=edits, shortest=shortest)
@@ -220,27 +223,28 @@ def _entries(lines: DataFrame, edits: int, shortest: int, parts: int | None = No
                     keys += [digest(b"".join([raw[a:b] for a, b in spans]), seed) for seed, spans in probes]
                 else:
                     keys += [digest("".join([line[a:b] for a, b in spans]).encode(), seed) for seed, spans in probes]
-                gaps += [left_out(line, probe, edits, shortest) for probe in probes] if parts else [None] * len(probes)
+                if parts:
+                    gaps += [left_out(line, probe, edits, shortest) for probe in probes]
                 owners.append(owner)
                 counts.append(len(probes))
                 index_counts.append(own)
                 if len(keys) >= 200_000:
-                    yield _entry_batch(keys, owners, counts, index_counts, gaps)
+                    yield _entry_batch(keys, owners, counts, index_counts, gaps if parts else None)
                     keys, owners, counts, index_counts, gaps = [], [], [], [], []
             if keys:
-                yield _entry_batch(keys, owners, counts, index_counts, gaps)
+                yield _entry_batch(keys, owners, counts, index_counts, gaps if parts else None)
             if len(seen) > SEEN:
                 seen.clear()  # a line that enters again changes nothing
 
-    return lines.select("hash", "line").mapInArrow(run, "key bigint, line bigint, indexed boolean, gap string")
+    return lines.select("hash", "line").mapInArrow(run, "key bigint, line bigint" + (", gap string" if parts else ""))
 
 
 def _entry_batch(keys, owners, counts, index_counts, gaps) -> pa.RecordBatch:
     count = np.array(counts)
     place = np.arange(len(keys)) - np.repeat(np.cumsum(count) - count, count)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.repeat(np.array(owners, np.int64), count)),
-         pa.array(place < np.repeat(index_counts, count)), pa.array(gaps, pa.string())], names=["key", "line", "indexed", "gap"])
+    indexed = place < np.repeat(index_counts, count)
+    columns = {"key": pa.array((np.array(keys, np.uint64).view(np.int64) & ANY) | indexed), "line": pa.array(np.repeat(np.array(owners, np.int64), count))}
+    return pa.RecordBatch.from_pydict(columns if gaps is None else columns | {"gap": pa.array(gaps, pa.string())})
 
 
 def _meetings(entries: DataFrame, first: bool) -> DataFrame:
@@ -266,8 +270,8 @@ def _meetings(entries: DataFrame, first: bool) -> DataFrame:
                         class_.update((z, class_[x]) for z in held if class_[z] == old)
 
         for batch in batches:
-            key, line, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "line", "indexed"))
-            gaps = batch.column("gap")
+            key, line = (batch.column(c).to_numpy() for c in ("key", "line"))
+            own, key = key & 1 == 1, key & ANY
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, int)
             if not len(starts):
                 continue
@@ -282,7 +286,7 @@ def _meetings(entries: DataFrame, first: bool) -> DataFrame:
                     close(out)
                     held_key, held, crowded = k, {}, False
                 at = slice(starts[g], ends[g])
-                for x, i, gap in zip(line[at].tolist(), own[at].tolist(), gaps[at].to_pylist()):
+                for x, i, gap in zip(line[at].tolist(), own[at].tolist(), repeat(None) if first else batch.column("gap")[at].to_pylist()):
                     if crowded:
                         out.add((x, None, k if first else 0))
                     else:
@@ -298,7 +302,7 @@ def _meetings(entries: DataFrame, first: bool) -> DataFrame:
         if out:
             yield _meeting_batch(out)
 
-    return entries.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint, key bigint")
+    return entries.repartition(F.col("key").bitwiseAND(ANY)).sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint, key bigint")
 
 
 def _meeting_batch(rows: set[tuple]) -> pa.RecordBatch:
