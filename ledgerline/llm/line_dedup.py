@@ -24,7 +24,8 @@ which either forms it or hands both lines on. Lines crowded in the last step
 too, which agree with many others on nearly all their characters, are dealt
 into blocks under their first keys, and blocks are compared pairwise, each
 task giving a spanning forest of the links it finds: rows grow with a key's
-lines, not with their square.
+lines, not with their square. Two lines are compared there once, under the
+smallest of the keys they share.
 """
 
 from __future__ import annotations
@@ -63,6 +64,18 @@ BLOCK = 256
 BROADCAST_LINES = 1 << 20
 
 
+def _common_start(a: str, b: str) -> int:
+    """Code points that two strings share at their start, found by halving."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 def within(a: str, b: str, k: int) -> bool:
     """Whether the edit distance of two strings is at most ``k``.
 
@@ -72,12 +85,10 @@ def within(a: str, b: str, k: int) -> bool:
     """
     if abs(len(a) - len(b)) > k:
         return False
-    lo, hi_a, hi_b = 0, len(a), len(b)
-    while lo < hi_a and lo < hi_b and a[lo] == b[lo]:
-        lo += 1
-    while hi_a > lo and hi_b > lo and a[hi_a - 1] == b[hi_b - 1]:
-        hi_a, hi_b = hi_a - 1, hi_b - 1
-    a, b = a[lo:hi_a], b[lo:hi_b]
+    lo = _common_start(a, b)
+    a, b = a[lo:], b[lo:]
+    end = _common_start(a[::-1], b[::-1])
+    a, b = a[:len(a) - end], b[:len(b) - end]
     m, n = len(a), len(b)
     if min(m, n) == 0:
         return max(m, n) <= k
@@ -91,12 +102,14 @@ def within(a: str, b: str, k: int) -> bool:
                 row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (x != y)))
             above = row
         return above[-1] <= k
-    rows: dict[str, int] = {}
-    for i, c in enumerate(a):
+    rows: dict[str, int] = {}  # of the characters that the band has reached
+    for i, c in enumerate(a[:k]):
         rows[c] = rows.get(c, 0) | 1 << i
     band = (1 << 2 * k + 1) - 1
     vp, vn, distance = (band >> k) << k, 0, k
     for j in range(n):
+        if j + k < m:
+            rows[a[j + k]] = rows.get(a[j + k], 0) | 1 << j + k
         # bit t of the band is row j - k + t of ``a``
         match = rows.get(b[j], 0)
         x = (match >> j - k if j >= k else match << k - j) & band
@@ -319,16 +332,29 @@ def _verify_pairs(edits: int, shortest: int):
     return run
 
 
+def _first_shared(keys: list, key: int, rows: int) -> np.ndarray:
+    """Whether ``key``, which all lines have, is the smallest key that each of
+    the first ``rows`` lines shares with each line: lines that meet under
+    several keys are compared under one of them."""
+    lower = [[k for k in own if k < key] for own in keys]
+    number = {k: i for i, k in enumerate(sorted(set(chain.from_iterable(lower))))}
+    has = np.zeros((len(keys), len(number)), np.float32)
+    for i, own in enumerate(lower):
+        has[i, [number[k] for k in own]] = 1
+    return has[:rows] @ has.T == 0
+
+
 def _verify_block(edits: int, shortest: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         first = rows[rows["block"] == rows["low"].iloc[0]]
         both = first if rows["low"].iloc[0] == rows["high"].iloc[0] else pd.concat([first, rows[rows["block"] == rows["high"].iloc[0]]])
         text, ids, class_ = both["text"].tolist(), both["id"].tolist(), np.arange(len(both))
+        here = _first_shared(both["keys"].tolist(), both["key"].iloc[0], len(first))
         links = []
         for i in range(len(first)):
             start = i + 1 if len(both) == len(first) else len(first)
             # what is connected already needs no comparison
-            for j in (np.flatnonzero(class_[start:] != class_[i]) + start).tolist():
+            for j in (np.flatnonzero((class_[start:] != class_[i]) & here[i, start:]) + start).tolist():
                 if class_[i] != class_[j] and within(text[i], text[j], allowed(min(len(text[i]), len(text[j])), edits, shortest)):
                     class_[class_ == class_[j]] = class_[i]
                     links.append((ids[i], ids[j]))
@@ -343,11 +369,13 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return cut.where(F.trim("line") != "")
 
 
-def _named(lines: DataFrame, hashes: DataFrame, name: str) -> DataFrame:
-    """The different ``lines`` (hash, line) whose hash is in ``hashes``, staged."""
-    wanted = stage(hashes.distinct(), name)
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
-    return stage(lines.join(side, "hash", "left_semi").distinct(), name + "_lines", "zstd")
+def _among(lines: DataFrame, hashes: DataFrame, rows: int, name: str) -> DataFrame:
+    """The rows of ``lines`` whose hash is in ``hashes``, which has ``rows``
+    rows; repeated ones are dropped only where they are too many to broadcast."""
+    if rows > BROADCAST_LINES:
+        hashes = stage(hashes.distinct(), name)
+        rows = hashes.count()
+    return lines.join(F.broadcast(hashes) if rows <= BROADCAST_LINES else hashes, "hash", "left_semi")
 
 
 def near_links(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CHARS) -> DataFrame:
@@ -364,17 +392,22 @@ def _links(lines: DataFrame, edits: int, shortest: int) -> DataFrame:
     lines = lines.where(F.char_length("line") > edits).select(F.xxhash64("line").alias("hash"), "line")
     met = stage(_meetings(_entries(lines, edits, shortest), True), "met")
     pairs = met.where("key is null").select("a", "b")
-    crowds = met.where("key is not null").select("key", F.col("a").alias("hash")).distinct()
-    crowded = crowds.limit(1).count() > 0
-    left = crowds
+    crowds = met.where("key is not null").select("key", F.col("a").alias("hash"))
+    left = crowds.select("hash")
+    crowded = left.count()
+    # a step takes its lines from those of the step before, read once from all
+    dense = stage(_among(lines, left, crowded, "crowded").distinct(), "crowded_lines", "zstd") if crowded else None
     for parts in SEGMENTS:
         if crowded and comb(parts, edits) <= MASKS:
-            met = stage(_meetings(_entries(_named(lines, left.select("hash"), "crowded"), edits, shortest, parts), False), "met")
+            met = stage(_meetings(_entries(dense, edits, shortest, parts), False), "met")
             pairs = pairs.unionByName(met.where("key is null").select("a", "b"))
-            left = met.where("key is not null").select(F.col("a").alias("hash")).distinct()
-            crowded = left.limit(1).count() > 0
-    pairs = pairs.distinct()
-    found = _named(lines, pairs.select(F.explode(F.array("a", "b")).alias("hash")), "wanted").select("hash", F.md5("line").alias("id"), "line")
+            left = met.where("key is not null").select(F.col("a").alias("hash"))
+            crowded = left.count()
+            if crowded:
+                dense = stage(_among(dense, left, crowded, "crowded"), "crowded_lines", "zstd")
+    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("hash")).distinct(), "wanted")
+    found = stage(_among(lines, wanted, wanted.count(), "wanted").distinct(), "wanted_lines", "zstd").select("hash", F.md5("line").alias("id"), "line")
+    pairs = pairs.repartition("a").distinct()  # one shuffle for the distinct pairs and their first join
     side_a = found.select(F.col("hash").alias("a"), F.col("id").alias("id_a"), F.col("line").alias("text_a"))
     side_b = found.select(F.col("hash").alias("b"), F.col("id").alias("id_b"), F.col("line").alias("text_b"))
     links = pairs.join(side_a, "a").join(side_b, "b").select("id_a", "id_b", "text_a", "text_b").mapInArrow(
@@ -382,12 +415,12 @@ def _links(lines: DataFrame, edits: int, shortest: int) -> DataFrame:
     if not crowded:
         return links
     # pairs no step has formed have both ends in ``left`` and share a first key
-    crowds = stage(crowds.join(left.select("hash").distinct(), "hash", "left_semi"), "crowds")
-    sizes = crowds.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = crowds.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int"))
+    keys = _among(crowds, left, crowded, "crowded").groupBy("hash").agg(F.collect_set("key").alias("keys"))
+    dense = stage(keys.join(dense, "hash").select("hash", "keys", F.md5("line").alias("id"), F.col("line").alias("text")), "dense", "zstd")
+    sizes = dense.select(F.explode("keys").alias("key")).groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = dense.withColumn("key", F.explode("keys")).join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int"))
     tiles = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", "hash", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
-    tiles = tiles.join(_named(lines, crowds.select("hash"), "dense"), "hash").select("key", "low", "high", "block", F.md5("line").alias("id"), F.col("line").alias("text"))
+        "key", "keys", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "id", "text")
     return links.unionByName(tiles.groupBy("key", "low", "high").applyInPandas(_verify_block(edits, shortest), "id_a string, id_b string"))
 
 
@@ -407,7 +440,7 @@ def line_classes(docs: DataFrame, edits: int = MAX_EDITS, shortest: int = MIN_CH
     occurrences = lines.drop("line")
     place = F.struct(order_key("doc_id").alias("key"), "line_no", "doc_id")
     distinct = occurrences.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-    joined = stage(connected_components(_links(lines, edits, shortest)), "classes").select(F.unhex("node").alias("id"), "component")
+    joined = connected_components(_links(lines, edits, shortest)).select(F.unhex("node").alias("id"), "component")
     distinct = stage(distinct.join(joined, "id", "left"), "distinct_lines", "zstd")
     linked = distinct.where("component is not null")
     whole = linked.groupBy("component").agg(F.min("first").alias("class_first"), F.sum("copies").alias("class_size"))

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
+from itertools import combinations
 
+import pandas as pd
 import pytest
 
 from ledgerline.llm import line_dedup
@@ -49,3 +52,38 @@ def test_copies_in_many_tasks(spark, monkeypatch, seen, meet):
         at = class_of[line]
         assert (g.class_doc, g.class_line, g.class_size, g.copies) == (*first[at], size[at], count[line])
         assert g.kept == ((g.doc_id, g.line_no) == first[at])
+
+
+def test_lines_that_share_crowded_keys_are_compared_once(monkeypatch):
+    compared, within = [], line_dedup.within
+    monkeypatch.setattr(line_dedup, "within", lambda a, b, k: compared.append((min(a, b), max(a, b))) or within(a, b, k))
+    r = random.Random(6)
+    lines = [f"the same start {r.getrandbits(64):016x} and the same end" for _ in range(40)]
+    lines += [line[:20] + "Z" + line[21:] for line in lines[:5]]
+    keys = {line: sorted(r.sample((-9, -4, 3, 8, 12), r.choice((2, 3, 4)))) for line in lines}
+    block = {line: r.randrange(2) for line in lines}
+    links = set()
+    for key in (-9, -4, 3, 8, 12):
+        for low, high in ((0, 0), (0, 1), (1, 1)):
+            own = [line for line in lines if key in keys[line] and block[line] in (low, high)]
+            rows = pd.DataFrame([(key, low, high, block[line], line, line, keys[line]) for line in own],
+                                columns=["key", "low", "high", "block", "id", "text", "keys"])
+            if len(own):
+                links |= {(min(x), max(x)) for x in line_dedup._verify_block(2, 10)(rows).itertuples(index=False, name=None)}
+    meeting = {(min(x), max(x)) for x in combinations(lines, 2) if set(keys[x[0]]) & set(keys[x[1]])}
+    assert Counter(compared) == Counter(meeting)
+    assert links == {x for x in meeting if within(*x, 2)} and links
+
+
+def test_crowded_lines_are_read_from_all_lines_once(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 16)
+    staged, stage = [], line_dedup.stage
+    monkeypatch.setattr(line_dedup, "stage", lambda df, name, *codec: staged.append((name, df)) or stage(df, name, *codec))
+    lines = [f"{n} was the number of the order that we have shipped" for n in range(200, 300)] + ["a line that is near none of the others"]
+    df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id bigint, text string")
+    got = Counter((r.class_doc, r.class_size) for r in line_dedup.line_classes(df).collect())
+    assert got == {(0, 100): 100, (100, 1): 1}
+    assert [name for name, _ in staged] == [
+        "lines", "met", "crowded_lines", "met", "crowded_lines", "met", "crowded_lines", "wanted", "wanted_lines", "dense", "distinct_lines"]
+    shuffled = ["Aggregate" in df._jdf.queryExecution().optimizedPlan().toString() for name, df in staged if name == "crowded_lines"]
+    assert shuffled == [True, False, False]
