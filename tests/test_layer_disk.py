@@ -101,3 +101,29 @@ def test_digests_are_shuffled_as_bytes(spark):
     assert dict(sales.dtypes)["producto_key"] == dict(sales.dtypes)["pais_key"] == "binary"
     got, plain = mart.text_keys(sales), mart.sales_by_day(wh.fact_ventas)
     assert got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0
+
+
+def facts(spark, keys, lines):
+    """``lines`` sales and as many returns; a third of each is on one key."""
+    rows = spark.range(lines).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % keys).alias("k"), F.col("id")).select(
+        F.md5(F.col("k").cast("string")).alias("producto_key"), F.concat(F.lit("2010-12-0"), F.col("k") % 7 + 1).alias("tiempo_key"),
+        F.when(F.col("k") % 50 != 1, F.md5((F.col("k") % 5).cast("string"))).alias("pais_key"),
+        (F.col("id") % 700).cast("string").alias("invoice_no"), F.lit(2).alias("cantidad"), F.lit(1).alias("cantidad_devuelta"),
+        F.lit(1.5).cast("decimal(29,4)").alias("revenue_bruto"), F.lit(0.5).cast("decimal(29,4)").alias("revenue_devolucion"))
+    return rows.repartition(8), rows.where(F.substring("producto_key", 1, 1) < "c").repartition(8)
+
+
+@pytest.mark.parametrize("light, some_heavy", [(100_000, False), (1, True)])
+def test_merge_by_light_and_heavy_keys(spark, monkeypatch, light, some_heavy):
+    monkeypatch.setattr(mart, "LIGHT_LINES", light)
+    sold, returned = facts(spark, 400, 6000)
+    heavy = mart.heavy_buckets(sold)
+    assert bool(heavy) == some_heavy and len(heavy) < int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = mart.sales_returns_merge(mart.sales_by_day(sold), mart.returns_by_day(returned))
+    for got in (mart.merged_by_day(sold, returned), mart.merged_by_day(sold, returned, heavy)):
+        got = mart.text_keys(got)
+        assert got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0
+    own = [x for x in exchanges(mart.merged_by_day(sold, returned, heavy)) if "RoundRobin" not in x]
+    # light keys: the sales once, the returns once; heavy ones, one task's work too much: by invoice too
+    assert len(own) == (5 if some_heavy else 2) and sum("invoice_no" in x for x in own) == some_heavy
