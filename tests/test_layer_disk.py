@@ -13,7 +13,7 @@ from ledgerline.operators import mart, staging
 from ledgerline.plans import registry
 from ledgerline.sources.derived_feed import order_lines
 from ledgerline.sources.feeds import ECOMMERCE, ONLINE_RETAIL
-from ledgerline.sources.sinks import DROP_SHUFFLES_CONF
+from ledgerline.sources.sinks import DROP_SHUFFLES_CONF, setting
 
 
 @pytest.fixture
@@ -127,3 +127,26 @@ def test_merge_by_light_and_heavy_keys(spark, monkeypatch, light, some_heavy):
     own = [x for x in exchanges(mart.merged_by_day(sold, returned, heavy)) if "RoundRobin" not in x]
     # light keys: the sales once, the returns once; heavy ones, one task's work too much: by invoice too
     assert len(own) == (5 if some_heavy else 2) and sum("invoice_no" in x for x in own) == some_heavy
+
+
+@pytest.mark.parametrize("light, some_heavy", [(100_000, False), (1, True)])
+def test_many_products_are_merged_where_their_lines_are(spark, tmp_path, monkeypatch, no_broadcast, light, some_heavy):
+    monkeypatch.setattr(mart, "LIGHT_LINES", light)
+    sold, returned = facts(spark, 400, 6000)
+    names = sold.select("producto_key").union(returned.select("producto_key")).distinct().select(
+        "producto_key", F.col("producto_key").alias("codigo_producto"), F.lit("N").alias("nombre_canonico"), F.lit("C").alias("categoria"))
+    tables = {}
+    for name, df in {"sold": sold, "returned": returned, "names": names.where(F.substring("producto_key", 2, 1) != "0")}.items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    sold, returned, names = tables["sold"], tables["returned"], tables["names"]
+    plain = mart.sales_returns_merge(mart.sales_by_day(sold), mart.returns_by_day(returned)).join(names, "producto_key")
+    with setting(spark, mart.CO_PARTITION_CONF, "false"):
+        got = mart.merged_by_product(sold, returned, names)
+        own = exchanges(got)
+        got.write.parquet(str(tmp_path / "got"))
+    got = mart.text_keys(spark.read.parquet(str(tmp_path / "got"))).select(*plain.columns)
+    assert got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0 and got.count() > 0
+    assert sum("invoice_no" in x for x in own) == some_heavy
+    if not some_heavy:  # both facts by product, and the products for each
+        assert len(own) == 4 and not any("tiempo_key" in x for x in own)
